@@ -82,3 +82,11 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: in
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=total[1:])
         h = (total[ends] - total[starts]) * down[starts]
         return mix64(h + np.uint64(0x632BE59BD9B4E019) * (ends - starts).astype(np.uint64))
+
+
+def free_name(df: DataFrame, wanted: str) -> str:
+    """A column name that df doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, html_extract, media, sharding
+from . import bpe, fingerprint, html_extract, line_dedup, media, mixing, quality, sharding
 from .common import read
 
 
@@ -24,6 +24,15 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(read(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op2_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.edited_pairs(read(spark, sf_dir, "documents"))
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    return quality.classify(docs, read(spark, sf_dir, "labels"), into="found").select("doc_id", "found.*")
+
+
 def op4_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.text_media(read(spark, sf_dir, "documents"))
 
@@ -32,17 +41,29 @@ def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(read(spark, sf_dir, "pages"))
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(read(spark, sf_dir, "documents"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.interleaved_shards(read(spark, sf_dir, "documents"))
 
 
+def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_fingerprint": op2_fingerprint,
+    "op3_quality": op3_quality,
     "op4_media": op4_media,
     "op5_html": op5_html,
+    "op6_mixing": op6_mixing,
     "op8_sharding": op8_sharding,
+    "op10_lines": op10_lines,
 }
 
 #: The vocabulary merges of 1, the media of 4, the parser of 5 and the check sums of 8 have no SQL form; their tests compare with
 #: the tokenizers library, an exact round trip, marked pages and brute force.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op10_lines": line_dedup.line_sql()}
