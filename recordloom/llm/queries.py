@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprint, html_extract, line_dedup, media, mixing, quality, sharding
+from . import bpe, fingerprint, html_extract, line_dedup, media, mixing, ngram_join, quality, sharding
 from .common import read
 
 
@@ -49,6 +49,10 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.interleaved_shards(read(spark, sf_dir, "documents"))
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(read(spark, sf_dir, "documents"))
 
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_html": op5_html,
     "op6_mixing": op6_mixing,
     "op8_sharding": op8_sharding,
+    "op9_ngram_join": op9_ngram_join,
     "op10_lines": op10_lines,
 }
 
