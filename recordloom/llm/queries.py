@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprint, html_extract, line_dedup, media, mixing, ngram_join, quality, sharding
+from . import bpe, fingerprint, html_extract, line_dedup, media, mixing, ngram_join, quality, sharding, suffix_dedup
 from .common import read
 
 
@@ -45,6 +45,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(read(spark, sf_dir, "documents"))
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removal_report(read(spark, sf_dir, "documents"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.interleaved_shards(read(spark, sf_dir, "documents"))
 
@@ -64,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_media": op4_media,
     "op5_html": op5_html,
     "op6_mixing": op6_mixing,
+    "op7_repeats": op7_repeats,
     "op8_sharding": op8_sharding,
     "op9_ngram_join": op9_ngram_join,
     "op10_lines": op10_lines,
