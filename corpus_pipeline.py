@@ -1,8 +1,75 @@
-"""The corpus pipeline; its stages follow as the operators land."""
+"""The corpus pipeline: quality, boilerplate lines, near duplicates, mixture, tokens.
 
-STAGES: list = []
+Each stage is a function of (spark, docs, sf_dir) that returns a DataFrame; it works on all that the stage before it kept.
+All but the last return the columns of documents. A runner writes each result as Parquet and reads it again as the next
+stage's docs; run() chains them without that.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from recordloom.llm import bpe, line_dedup, mixing, ngram_join, quality
+from recordloom.llm.common import free_name, read, reliable
+from recordloom.llm.queries import tokenizer_path
+
+#: Ids of dropped documents that may be broadcast; beyond, they are joined by shuffling.
+FEW_IDS = 500_000
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier keeps."""
+    name = free_name(docs, "quality")
+    return quality.classify(docs, read(spark, sf_dir, "labels"), into=name).where(F.col(f"{name}.keep")).drop(name)
+
+
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without boilerplate lines; n_chars follows the text."""
+    name = free_name(docs, "cleaned")
+    out = line_dedup.dedup_lines(docs, into=name)
+    changed = F.col(f"{name}.n_removed") > 0
+    values = {"text": F.when(changed, F.col(f"{name}.text")).otherwise(F.col("text"))}
+    if "n_chars" in docs.columns:
+        values["n_chars"] = F.when(changed, F.length(f"{name}.text").cast("long")).otherwise(F.col("n_chars"))
+    return out.select(*[values[c].alias(c) if c in values else F.col(f"`{c}`") for c in docs.columns])
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked ones: that of smallest id. Rows that repeat an id go with it; rows without an
+    id stay."""
+    found = ngram_join.near_duplicates(docs)
+    gone = reliable(found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone")).distinct())
+    if gone.count() <= FEW_IDS:
+        gone = F.broadcast(gone)
+    return docs.join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: a document comes as many times as its source's target takes it."""
+    return mixing.mixed_documents(docs)
+
+
+def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of each row of the mix."""
+    return bpe.encode_digests(docs, tokenizer_path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("quality", quality_stage),
+    ("lines", line_stage),
+    ("near_duplicates", near_duplicate_stage),
+    ("mixing", mixing_stage),
+    ("tokens", token_stage),
+]
+
+#: SQL has no form of the classifier's fit and of the merges; the tests compare the stages with brute-force versions.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages on documents. Between stages the lineage is cut in the shared folder, so no stage is computed twice."""
+    docs = read(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = reliable(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
