@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,9 +76,21 @@ def _powers(n: int, base: int = _BASE) -> tuple[np.ndarray, np.ndarray]:
     return have
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = _BASE) -> np.ndarray:
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = _BASE, piece: int = 1 << 19) -> np.ndarray:
     """64-bit hashes of data[starts:ends], equal for equal bytes wherever they stand: prefix sums of a polynomial,
-    brought back to position 0 with the inverse power, then mixed with the length."""
+    brought back to position 0 with the inverse power, then mixed with the length. starts and ends ascend. Works in
+    pieces, so that long inputs need no long tables."""
+    out = np.empty(len(starts), dtype=np.uint64)
+    i = 0
+    while i < len(starts):
+        at = int(starts[i])
+        j = max(i + 1, int(np.searchsorted(starts, at + piece)))
+        out[i:j] = _piece_hashes(data[at : int(ends[j - 1])], starts[i:j] - at, ends[i:j] - at, base)
+        i = j
+    return out
+
+
+def _piece_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
     up, down = _powers(len(data) + 1, base)
     with np.errstate(over="ignore"):
         total = np.empty(len(data) + 1, dtype=np.uint64)
@@ -90,3 +106,14 @@ def free_name(df: DataFrame, wanted: str) -> str:
     while wanted.lower() in taken:
         wanted += "_"
     return wanted
+
+
+def slices(batch: pa.RecordBatch, text: int, most: int) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about `most` bytes of the text column with that number; a longer text is alone."""
+    if batch.num_rows:
+        at, sizes = 0, np.cumsum(pa.compute.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+        while at < batch.num_rows:
+            before = int(sizes[at - 1]) if at else 0
+            stop = max(at + 1, int(np.searchsorted(sizes, before + most, side="right")))
+            yield batch.slice(at, stop - at)
+            at = stop

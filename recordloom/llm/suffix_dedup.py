@@ -14,8 +14,10 @@ hash (the leftmost of equals). Equal windows have their anchors at equal offsets
    one deeper right interval, is a maximal repeat with all its occurrences. Those of `width` bytes or more cover bytes.
 4. Texts gather what covers them, and lose it.
 
-An anchor that more than `hot` places have isn't brought together in one task: the windows around its places are hashed
-and counted by partial aggregation, and those with two places cover bytes. The result is the same.
+Equal contexts within a text, as periodic passages have by thousands, cover each other at once, and one of them goes on.
+An anchor that more than `hot` texts have isn't brought together in one task: equal contexts are counted by partial
+aggregation, the windows of different ones are hashed and counted in the same way, and those with two places cover bytes.
+The result is the same.
 """
 
 from __future__ import annotations
@@ -29,11 +31,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import reliable, span_hashes, text_of
+from .common import reliable, slices, span_hashes, text_of
 
-#: Production parameters: bytes of a repeat, bytes of an anchor, places of an anchor that one task may hold.
-WIDTH, ANCHOR, HOT = 200, 64, 20_000
-_PIECE = 1 << 21
+#: Production parameters: bytes of a repeat, bytes of an anchor, texts with an anchor that one task may hold.
+WIDTH, ANCHOR, HOT = 200, 64, 200_000
+_PIECE = 1 << 19
 
 
 def _windows_min(keys: np.ndarray, w: int) -> np.ndarray:
@@ -67,11 +69,6 @@ def anchors(raw: bytes, width: int = WIDTH, k: int = ANCHOR) -> tuple[np.ndarray
     return p, h[i]
 
 
-def _text_key(raw: bytes) -> tuple[int, int]:
-    h = xxhash.xxh3_128_intdigest(raw)
-    return (h >> 64) - (1 << 63), (h & ((1 << 64) - 1)) - (1 << 63)
-
-
 def _common(a: bytes, b: bytes) -> int:
     """Length of the common prefix."""
     if a == b:
@@ -107,8 +104,11 @@ def maximal_repeats(rights: list[bytes], lefts: list[bytes], width: int = WIDTH)
         shared = [_common(lefts[a], lefts[b]) for a, b in zip(order, order[1:], strict=False)]
         for left, i, j in _intervals(shared, width - right):
             members = order[i : j + 1]
-            if not any(a <= min(members) and max(members) <= b for a, b in children):
-                yield left, right, members
+            if children:
+                low, high = min(members), max(members)
+                if any(a <= low and high <= b for a, b in children):
+                    continue
+            yield left, right, members
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
@@ -125,14 +125,17 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
 
 
 def _covers(rows: list[tuple], width: int) -> Iterator[tuple[int, int, int, int]]:
-    """(k1, k2, from, to) for each row (anchor, k1, k2, place, right, left) that is in a maximal repeat."""
+    """(k1, k2, from, to) for each row (anchor, k1, k2, place, stop, right, left) that is in a maximal repeat; rows with a
+    stop are ranges that are covered already."""
+    yield from (r[1:5] for r in rows if r[4] is not None)
+    rows = [r for r in rows if r[4] is None]
     if len(rows) < 2:
         return
     far = [[0, 0] for _ in rows]
-    for left, right, members in maximal_repeats([r[4] for r in rows], [r[5] for r in rows], width):
+    for left, right, members in maximal_repeats([r[5] for r in rows], [r[6] for r in rows], width):
         for i in members:
             far[i] = [max(far[i][0], left), max(far[i][1], right)]
-    for (_, k1, k2, at, _, _), (left, right) in zip(rows, far, strict=True):
+    for (_, k1, k2, at, *_), (left, right) in zip(rows, far, strict=True):
         if right:
             yield k1, k2, at - left, at + right
 
@@ -152,95 +155,108 @@ def _batches(rows: Iterator[tuple], schema: str, size: int) -> Iterator[pa.Recor
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held, strict=True), kinds, strict=True)], names=list(names))
 
 
-def _repeated_anchors(slim: DataFrame, width: int, k: int) -> DataFrame:
-    """anchor, k1, k2, place, rank of the anchors that stand at two places or more; rank numbers an anchor's places."""
+def _repeated_anchors(keyed: DataFrame, width: int, k: int) -> DataFrame:
+    """anchor, k1, k2, place, rank of the anchors that stand at two places or more; rank numbers an anchor's texts."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            seen, cols = set(), [[], [], [], []]
-            for t in b.column(0).to_pylist():
-                raw = t.encode()
-                key = _text_key(raw)
-                if len(raw) < width or key in seen:
-                    continue
-                seen.add(key)
-                places, hashes = anchors(raw, width, k)
-                for c, v in zip(cols, (hashes.view(np.int64), np.full(len(places), key[0]), np.full(len(places), key[1]), places), strict=True):
-                    c.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c) if c else np.empty(0, np.int64)) for c in cols], names=["anchor", "k1", "k2", "place"])
+        for batch in batches:
+            seen = set()
+            for b in slices(batch, 2, 1 << 23):
+                cols = [[], [], [], []]
+                for *key, t in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                    raw = t.encode()
+                    if len(raw) < width or tuple(key) in seen:
+                        continue
+                    seen.add(tuple(key))
+                    places, hashes = anchors(raw, width, k)
+                    for c, v in zip(cols, (hashes.view(np.int64), np.full(len(places), key[0]), np.full(len(places), key[1]), places), strict=True):
+                        c.append(v)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c) if c else np.empty(0, np.int64)) for c in cols], names=["anchor", "k1", "k2", "place"])
 
     def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["anchor", "k1", "k2", "place", "rank"]
         tail = None  # the last row, of which it isn't known yet whether its anchor comes again
-        count = 0  # rows of that anchor that were sent
+        known, rank = False, 0  # whether its anchor has come before, and its rank
         for b in batches:
             if not b.num_rows:
                 continue
             now = np.stack([c.to_numpy() for c in b.columns])
             if tail is not None:
                 now = np.concatenate([tail, now], axis=1)
-            new = np.concatenate([[True], (now[:, 1:] != now[:, :-1]).any(axis=0)])  # copies from several tasks
-            now = now[:, new]
+            now = now[:, np.concatenate([[True], (now[:, 1:] != now[:, :-1]).any(axis=0)])]  # copies from several tasks
             same = now[0, 1:] == now[0, :-1]
+            step = np.concatenate([[0], np.cumsum(same & (now[1:3, 1:] != now[1:3, :-1]).any(axis=0))])
             starts = np.concatenate([[0], np.nonzero(~same)[0] + 1])
-            rank = np.arange(now.shape[1]) - np.repeat(starts, np.diff(np.concatenate([starts, [now.shape[1]]])))
-            rank[: starts[1] if len(starts) > 1 else now.shape[1]] += count
+            ranks = step - np.repeat(step[starts], np.diff(np.concatenate([starts, [now.shape[1]]])))
+            ranks[: starts[1] if len(starts) > 1 else now.shape[1]] += rank
             keep = np.zeros(now.shape[1], dtype=bool)
             keep[:-1] |= same
             keep[1:] |= same
-            keep |= rank > 0
-            tail = now[:, -1:]
-            out, rank_out = now[:, :-1][:, keep[:-1]], rank[:-1][keep[:-1]]
-            count = int(rank[-1])
-            yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in out), pa.array(rank_out.astype(np.int64))], names=names)
-        if tail is not None and count:
-            yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in tail), pa.array([count], pa.int64())], names=names)
-
-    found = slim.select("text").mapInArrow(find, "anchor long, k1 long, k2 long, place long")
+            keep[0] |= known
+            tail, known, rank = now[:, -1:], bool(keep[-1]), int(ranks[-1])
+            yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in now[:, :-1][:, keep[:-1]]), pa.array(ranks[:-1][keep[:-1]])], names=names)
+        if known:
+            yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in tail), pa.array([rank], pa.int64())], names=names)
+
+    found = keyed.select("k1", "k2", "text").mapInArrow(find, "anchor long, k1 long, k2 long, place long")
     return found.repartition("anchor").sortWithinPartitions("anchor", "k1", "k2", "place").mapInArrow(repeated, "anchor long, k1 long, k2 long, place long, rank long")
 
 
-def covered(docs: DataFrame, texts: DataFrame, width: int = WIDTH, k: int = ANCHOR, hot: int = HOT) -> DataFrame:
-    """k1, k2, start, stop: byte ranges of texts (k1, k2, text) that maximal repeats cover. docs has a column text."""
-    places = reliable(_repeated_anchors(docs, width, k))
-    crowded = places.where(F.col("rank") >= hot).select(F.col("anchor").alias("crowd")).distinct()
-    crowded = reliable(crowded)
+def covered(keyed: DataFrame, texts: DataFrame, width: int = WIDTH, k: int = ANCHOR, hot: int = HOT) -> DataFrame:
+    """k1, k2, start, stop: byte ranges of texts that maximal repeats cover. keyed has k1, k2, text for each row, texts k1,
+    k2, text, copies for each text."""
+    places = reliable(_repeated_anchors(keyed, width, k))
+    crowded = reliable(places.where(F.col("rank") >= hot).select(F.col("anchor").alias("crowd")).distinct())
     by_text = places.groupBy("k1", "k2").agg(F.collect_list(F.struct("place", "anchor")).alias("places"))
-    fields = "anchor long, k1 long, k2 long, place long, right binary, left binary"
+    fields = "anchor long,k1 long,k2 long,place long,stop long,right binary,left binary"
+    ranges = "k1 long,k2 long,start long,stop long"
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
             for b in batches:
-                for k1, k2, text, own in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                    raw = text.encode()
+                for k1, k2, text, _, own in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                    raw, seen, again = text.encode(), {}, []
                     for p in own:
                         at = p["place"]
-                        yield p["anchor"], k1, k2, at, raw[at : at + width], raw[max(0, at - width + k) : at][::-1]
+                        low, high = max(0, at - width + k), min(len(raw), at + width)
+                        first = seen.setdefault((raw[low:high], at - low), at)
+                        if first != at:
+                            again += [{"start": x - at + low, "stop": x - at + high} for x in (first, at)]
+                            continue
+                        yield p["anchor"], k1, k2, at, None, raw[at:high], raw[low:at][::-1]
+                    for a, z in _spans(again):
+                        yield k1, k1, k2, a, z, None, None
 
         yield from _batches(rows(), fields, 4096)
 
     def cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _batches((x for rows in _groups(batches) for x in _covers(rows, width)), "k1 long, k2 long, start long, stop long", 8192)
+        yield from _batches((x for rows in _groups(batches) for x in _covers(rows, width)), ranges, 8192)
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
             for b in batches:
-                for _, k1, k2, at, right, left in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                for anchor, c, right, left, low, high in zip(*(c.to_pylist() for c in b.columns), strict=True):
                     whole = left[::-1] + right
                     for i in range(len(whole) - width + 1):
-                        yield (*_text_key(whole[i : i + width]), k1, k2, at - len(left) + i)
+                        h, shift = xxhash.xxh3_128_intdigest(whole[i : i + width]), i - len(left)
+                        yield (h >> 64) - (1 << 63), (h & ((1 << 64) - 1)) - (1 << 63), anchor, c, shift, low["k1"], low["k2"], low["place"] + shift, high["k1"], high["k2"], high["place"] + shift
 
-        yield from _batches(rows(), "w1 long, w2 long, k1 long, k2 long, start long", 8192)
+        yield from _batches(rows(), "w1 long,w2 long,anchor long,c string,shift long,a1 long,a2 long,a long,b1 long,b2 long,b long", 8192)
 
-    found = texts.select("k1", "k2", "text").join(by_text, ["k1", "k2"]).mapInArrow(contexts, fields)
-    grouped = lambda df: df.repartition("anchor").sortWithinPartitions("anchor", "right").mapInArrow(cover, "k1 long, k2 long, start long, stop long")
+    found = texts.select("k1", "k2", "text", "copies").join(by_text, ["k1", "k2"]).mapInArrow(contexts, fields)
+    grouped = lambda df: df.repartition("anchor").sortWithinPartitions("anchor", "right").mapInArrow(cover, ranges)
     if crowded.isEmpty():
         return grouped(found)
-    calm = grouped(found.join(crowded, F.col("anchor") == F.col("crowd"), "left_anti"))
-    each = found.join(crowded, F.col("anchor") == F.col("crowd"), "left_semi").mapInArrow(windows, "w1 long, w2 long, k1 long, k2 long, start long")
-    place = F.struct("k1", "k2", "start")
-    twice = each.groupBy("w1", "w2").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low <> high").select("w1", "w2")
-    return calm.union(each.join(twice, ["w1", "w2"], "left_semi").select("k1", "k2", "start", (F.col("start") + width).alias("stop")))
+    is_crowded = (F.col("anchor") == F.col("crowd")) & F.col("stop").isNull()
+    calm = grouped(found.join(crowded, is_crowded, "left_anti"))
+    dense = found.join(crowded, is_crowded, "left_semi").withColumn("c", F.concat_ws("-", F.sha2("right", 256), F.sha2("left", 256)))
+    place = F.struct("k1", "k2", "place")
+    kinds = dense.groupBy("anchor", "c").agg(F.first("right").alias("right"), F.first("left").alias("left"), F.min(place).alias("low"), F.max(place).alias("high"))
+    each = kinds.mapInArrow(windows, "w1 long, w2 long, anchor long, c string, shift long, a1 long, a2 long, a long, b1 long, b2 long, b long")
+    twice = each.groupBy("w1", "w2").agg(F.min(F.struct("a1", "a2", "a")).alias("low"), F.max(F.struct("b1", "b2", "b")).alias("high"))
+    twice = twice.where((F.col("low.a1") != F.col("high.b1")) | (F.col("low.a2") != F.col("high.b2")) | (F.col("low.a") != F.col("high.b"))).select("w1", "w2")
+    shifts = each.join(twice, ["w1", "w2"], "left_semi").groupBy("anchor", "c").agg(F.min("shift").alias("from"), F.max("shift").alias("to"))
+    return calm.union(dense.join(shifts, ["anchor", "c"]).select("k1", "k2", (F.col("place") + F.col("from")).alias("start"), (F.col("place") + F.col("to") + width).alias("stop")))
 
 
 def _spans(own: list[dict]) -> list[tuple[int, int]]:
@@ -262,18 +278,11 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, k: int = ANCHOR, hot: in
     the input. Null and empty texts keep nothing and lose nothing; texts shorter than `width` stay; repeated rows are
     copies of each other and lose all from `width` bytes on; null ids are kept. An empty table gives no rows.
     """
-    keyed = docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-
-    @F.pandas_udf("struct<k1:long,k2:long>")
-    def key(texts):
-        import pandas as pd
-
-        return pd.DataFrame([_text_key(t.encode()) for t in texts], columns=["k1", "k2"])
-
-    keyed = keyed.withColumn("key", key("text")).select("doc_id", "text", "key.k1", "key.k2")
+    text = text_of(text_col)
+    keyed = docs.select(docs[id_col].cast("long").alias("doc_id"), F.xxhash64(F.lit(1), text).alias("k1"), F.xxhash64(F.lit(2), text).alias("k2"), text.alias("text"))
     texts = keyed.groupBy("k1", "k2").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
-    ranges = covered(keyed.select("text"), texts, width, k, hot).groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "stop")).alias("ranges"))
-    fields = "k1 long, k2 long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string"
+    ranges = covered(keyed, texts, width, k, hot).groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "stop")).alias("ranges"))
+    fields = "k1 long,k2 long,n_bytes long,n_removed long,n_spans long,kept binary,kept_sha256 string"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
