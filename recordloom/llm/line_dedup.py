@@ -22,7 +22,7 @@ MIN_SITES, LG_K, FEW_LINES = 10, 12, 200_000
 
 def _line_hashes(text: Column) -> Column:
     """Hashes of the lines that aren't blank, spaces around them left out, each once."""
-    lines = F.filter(F.transform(F.split(text, "\n"), F.trim), lambda x: x != "")
+    lines = F.filter(F.transform(F.split(text, "\n"), lambda x: F.trim(x)), lambda x: x != "")
     return F.array_distinct(F.transform(lines, lambda x: F.xxhash64(x)))
 
 
@@ -74,11 +74,11 @@ def remove_lines(docs: DataFrame, lines: DataFrame, least_kept: float = 0.5, few
     def clean_by(texts: pd.Series, hits: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([_clean(t, frozenset(map(int, h)) if h is not None else frozenset(), least_kept) for t, h in zip(texts, hits, strict=True)], columns=["text", "n_lines", "n_removed"])
 
-    own, hits = free_name(docs, "own"), free_name(docs, "hits")
+    own, hits, k = free_name(docs, "own"), free_name(docs, "hits"), free_name(docs, "k")
     keyed = docs.withColumn(own, F.sha2(F.encode(text_of(text_col), "utf-8"), 256))
-    found = keyed.select(F.col(own).alias("k"), F.explode(_line_hashes(text_of(text_col))).alias("line")).distinct().join(lines, "line", "left_semi")
-    found = found.groupBy("k").agg(F.collect_set("line").alias(hits))
-    out = keyed.join(found, keyed[own] == found["k"], "left").withColumn(into, clean_by(text_of(text_col), F.col(hits)))
+    found = keyed.select(F.col(own).alias(k), F.explode(_line_hashes(text_of(text_col))).alias("line")).distinct().join(lines, "line", "left_semi")
+    found = found.groupBy(k).agg(F.collect_set("line").alias(hits))
+    out = keyed.join(found, F.col(own) == F.col(k), "left").withColumn(into, clean_by(text_of(text_col), F.col(hits)))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns], into)
 
 
