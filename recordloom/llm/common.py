@@ -46,6 +46,16 @@ def reliable(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def lean(df: DataFrame, rows: int = 1000, size: str = "8m") -> DataFrame:
+    """df, after lowering the session's Arrow batches for Python workers to what suits columns of whole texts. A batch is held
+    several times over (buffer, strings, results), by two workers or more on an executor."""
+    conf = df.sparkSession.conf
+    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+    return df
+
+
 def mix64(h: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers that spreads all bits (the constants are those of splitmix64)."""
     h = h.astype(np.uint64, copy=True)

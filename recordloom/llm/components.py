@@ -8,22 +8,26 @@ from pyspark.sql import functions as F
 from .common import reliable
 
 
+def _round(now: DataFrame) -> DataFrame:
+    """Each node points its larger neighbours to its smallest one, then its smaller ones and itself."""
+    both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    low = F.least(F.col("u"), F.min("v").over(Window.partitionBy("u")))
+    large = both.withColumn("m", low).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    small = large.distinct().withColumn("m", F.min("v").over(Window.partitionBy("u")))
+    pair = lambda x: F.struct(F.col(x).alias("u"), F.col("m").alias("v"))
+    return small.select(F.explode(F.array(pair("u"), pair("v"))).alias("e")).select("e.*").where("u <> v").distinct()
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """node, root for each node of an edge: root is the smallest node of its component.
+    """node, root for each node of an edge with another: root is the smallest node of its component.
 
-    Alternating star contraction: each node points its larger neighbours to its smallest one, then its smaller ones. Each
-    step is a window over the edges, which stay distributed; lineage is cut by checkpoint() after each round.
+    Alternating star contraction: the edges stay distributed, a round is two windows over them, and the number of rounds
+    grows with the logarithm of the longest chain. Each round cuts the lineage by checkpoint().
     """
     now = reliable(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct())
     state = None
     while True:
-        both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = F.least(F.col("u"), F.min("v").over(Window.partitionBy("u")))
-        large = both.withColumn("m", low).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        low = F.min("v").over(Window.partitionBy("u"))
-        small = large.distinct().withColumn("m", low)
-        small = small.select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*")
-        now = reliable(small.where("u <> v").distinct())
+        now = reliable(_round(now))
         seen = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if seen == state:
             break

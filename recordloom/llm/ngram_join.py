@@ -14,8 +14,12 @@ How it runs:
 2. Sets gather their shared tokens. As unique tokens never match, a set with fewer shared tokens than t of its size is
    linked with nothing and ends here too.
 3. The rest are indexed. In each key's list the most central set is the pivot, and the other sets are verified against it
-   by exact intersection. In lists whose sets aren't in one component by then, all pairs across components are
-   verified. So a list of near copies costs as much as it is long, and no link between components is lost.
+   by exact intersection. Lists whose sets are in one component by then are done: a list of near copies costs as much
+   as it is long. In the other short lists, pairs across components are verified.
+4. The other long lists overlap, for they come from groups of texts that are alike but not enough. Lists that share sets
+   make a cluster, which is cut into blocks; a task has two blocks, counts all their intersections as a matrix product
+   over the tokens, in slices, and gives the links that join components. No pair is a row, and no link between
+   components is lost.
 
 Tokens that a third of all documents have would fill one bucket. A bounded sample of documents names tokens that are that
 frequent; these are dealt with their sets instead, as shared ones. The sample decides only where a token is handled.
@@ -30,10 +34,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE_BYTES, mix64, reliable, span_hashes, text_of
+from .common import SPACE_BYTES, lean, mix64, reliable, slices, span_hashes, text_of
 from .components import components
 
 #: Production parameters: likeness in hundredths, words in an n-gram.
@@ -42,7 +46,11 @@ LIKENESS, WORDS = 85, 4
 FREQUENT, LONG = 40, 400
 #: Documents of the sample that names very frequent tokens, and the share of them from which a token is one.
 SKEW_SAMPLE, SKEW_SHARE = 4000, 0.005
-BUCKET_CHARS = 1 << 22
+BUCKET_CHARS = 1 << 23
+#: Sets of a list whose pairs are rows at most; sets of a block.
+SHORT, BLOCK = 16, 2000
+#: Bytes of text that a worker packs at a time.
+SLICE = 1 << 23
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -57,7 +65,7 @@ def token_sets(texts: list[str], words: int = WORDS) -> list[np.ndarray]:
     at = 0
     while at < len(raw):
         size, stop = 0, at
-        while stop < len(raw) and (stop == at or size + len(raw[stop]) < 1 << 22):
+        while stop < len(raw) and (stop == at or size + len(raw[stop]) < 1 << 20):
             size += len(raw[stop]) + 1
             stop += 1
         out += _sets_of(raw[at:stop], words)
@@ -110,7 +118,7 @@ def set_table(docs: DataFrame, words: int = WORDS, id_col: str = "doc_id", text_
     """doc_id, n, set: the size and the id of each document's set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (x for batch in batches for x in slices(batch, 1, SLICE)):
             sets = token_sets(b.column(1).to_pylist(), words)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_id(s) for s in sets], pa.int64())], names=["doc_id", "n", "set"])
 
@@ -124,7 +132,7 @@ def skewed_tokens(docs: DataFrame, n_docs: int, words: int = WORDS, sample: int
     some = docs.select(text.alias("text")).where(F.pmod(F.xxhash64(text), F.lit(max(1, n_docs // sample))) == 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (x for batch in batches for x in slices(batch, 0, SLICE)):
             sets = {s.tobytes() for s in token_sets(b.column(0).to_pylist(), words)}
             own = np.concatenate([np.frombuffer(s, dtype=np.uint64) for s in sets] or [np.empty(0, np.uint64)])
             tokens, count = np.unique(own, return_counts=True)
@@ -299,7 +307,8 @@ def candidate_sets(docs: DataFrame, likeness: int = LIKENESS, words: int = WORDS
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield _batch(list(_pack(b.column(0).to_pylist(), words, buckets, skewed.value)))
+            for part in slices(b, 0, SLICE):
+                yield _batch(list(_pack(part.column(0).to_pylist(), words, buckets, skewed.value)))
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, rows in _by_part(batches):
@@ -341,25 +350,105 @@ def _verified(pairs: DataFrame, sets: DataFrame, likeness: int) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").where(linked("t_a", "t_b", "n_a", "n_b")).select("a", "b")
 
 
-def set_links(sets: DataFrame, likeness: int = LIKENESS) -> DataFrame:
+def _fits(x: Column, y: Column, x_shared: Column, y_shared: Column, likeness: int) -> Column:
+    """Whether sets of x and y tokens, x_shared and y_shared of them in other sets too, can be as like as asked."""
+    most = F.least(x_shared, y_shared)
+    return most * 100 >= (x + y - most) * likeness
+
+
+def _block_links(rows: list[tuple], likeness: int) -> Iterator[tuple[int, int]]:
+    """Links that join components among the sets (block, set, n, root, packed tokens) of one block or two."""
+    low = min(r[0] for r in rows)
+    rows.sort(key=lambda r: (r[0], r[1]))
+    first = [r for r in rows if r[0] == low]
+    second = [r for r in rows if r[0] != low] or first
+    every = first if second is first else first + second
+    tokens = [np.frombuffer(r[4], dtype=np.int64) for r in every]
+    flat, owner = np.concatenate(tokens), np.repeat(np.arange(len(every)), [len(t) for t in tokens])
+    _, column, count = np.unique(flat, return_inverse=True, return_counts=True)
+    often = count[column] > 1
+    names, column = np.unique(column[often], return_inverse=True)
+    owner = owner[often]
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    common = np.zeros((len(first), len(second)), dtype=np.float32)
+    shift = 0 if second is first else len(first)
+    for at in range(0, len(names), 1024):
+        i, j = np.searchsorted(column, [at, at + 1024])
+        part = np.zeros((len(every), min(1024, len(names) - at)), dtype=np.float32)
+        part[owner[i:j], column[i:j] - at] = 1
+        common += part[: len(first)] @ part[shift:].T
+    sizes = np.array([r[2] for r in every], dtype=np.float64)
+    linked = common * (100.0 + likeness) >= likeness * (sizes[: len(first), None] + sizes[None, shift:])
+    roots = np.array([r[3] for r in every])
+    linked &= roots[: len(first), None] != roots[None, shift:]
+    up: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while up.setdefault(x, x) != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    for x, y in zip(*np.nonzero(linked), strict=True):
+        a, b = top(int(roots[x])), top(int(roots[shift + y]))
+        if a != b:
+            up[a] = b
+            yield first[x][1], second[y][1]
+
+
+def _cluster_links(keyed: DataFrame, sets: DataFrame, likeness: int, block: int) -> DataFrame:
+    """a, b: the links that join components among sets (key, set, root) of lists that overlap."""
+    stars = keyed.withColumn("hub", F.min("set").over(Window.partitionBy("key"))).select(F.col("set").alias("a"), F.col("hub").alias("b"))
+    clusters = components(stars).select("node", F.col("root").alias("cluster"))
+    members = keyed.select("set", "root").distinct().join(clusters, F.col("set") == F.col("node")).select("set", "root", "cluster")
+    counts = members.groupBy("cluster").agg((F.floor((F.count("*") - 1) / block) + 1).cast("int").alias("blocks"))
+    dealt = members.join(counts, "cluster").withColumn("block", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "set", "root")
+    dealt = dealt.join(sets.select("set", "n", "tokens"), "set").select("cluster", "i", "j", "block", "set", "n", "root", "tokens")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found() -> Iterator[tuple[int, int]]:
+            now, rows = None, []
+            for b in batches:
+                for cluster, i, j, *row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                    if (cluster, i, j) != now and rows:
+                        yield from _block_links(rows, likeness)
+                        rows = []
+                    now = (cluster, i, j)
+                    rows.append(tuple(row))
+            if rows:
+                yield from _block_links(rows, likeness)
+
+        links = list(found())
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    return dealt.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j").mapInArrow(run, "a long, b long")
+
+
+def set_links(sets: DataFrame, likeness: int = LIKENESS, short: int = SHORT, block: int = BLOCK) -> DataFrame:
     """node, root of the sets that have links: equal roots exactly where links connect."""
-    keyed = sets.select("set", "n", "central", F.explode("keys").alias("key"))
-    lists = keyed.groupBy("key").agg(F.count("*").alias("m"), F.max(F.struct("central", "set", "n")).alias("pivot")).where("m > 1")
-    keyed = keyed.select("key", "set", "n").join(lists.select("key", "pivot"), "key")
-    fits = lambda x, y: (F.least(x, y) * 100 >= F.greatest(x, y) * likeness)
-    stars = keyed.where((F.col("set") != F.col("pivot.set")) & fits(F.col("n"), F.col("pivot.n")))
+    keyed = sets.select("set", "n", F.expr("octet_length(tokens) div 8").alias("m"), "central", F.explode("keys").alias("key"))
+    lists = keyed.groupBy("key").agg(F.count("*").alias("size"), F.max(F.struct("central", "set", "n", "m")).alias("pivot")).where("size > 1")
+    keyed = reliable(keyed.drop("central").join(lists, "key"))
+    stars = keyed.where((F.col("set") != F.col("pivot.set")) & _fits(F.col("n"), F.col("pivot.n"), F.col("m"), F.col("pivot.m"), likeness))
     stars = reliable(stars.select(F.least("set", "pivot.set").alias("a"), F.greatest("set", "pivot.set").alias("b")).distinct())
     links = reliable(_verified(stars, sets, likeness))
     roots = components(links)
 
-    named = keyed.join(roots, keyed["set"] == roots["node"], "left").select("key", "set", "n", F.coalesce("root", "set").alias("root"))
-    by_key = Window.partitionBy("key")
-    mixed = named.withColumn("low", F.min("root").over(by_key)).withColumn("high", F.max("root").over(by_key)).where("low <> high").select("key", "set", "n", "root")
+    named = keyed.drop("pivot").join(roots, keyed["set"] == roots["node"], "left").select("key", "size", "set", "n", "m", F.coalesce("root", "set").alias("root"))
+    mixed = named.join(named.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key"), "key", "left_semi")
     mixed = reliable(mixed)
-    x, y = mixed.alias("x"), mixed.alias("y")
-    across = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.set") < F.col("y.set")) & (F.col("x.root") != F.col("y.root")) & fits(F.col("x.n"), F.col("y.n")))
+    x, y = mixed.where(F.col("size") <= short).alias("x"), mixed.where(F.col("size") <= short).alias("y")
+    differ = (F.col("x.key") == F.col("y.key")) & (F.col("x.set") < F.col("y.set")) & (F.col("x.root") != F.col("y.root"))
+    across = x.join(y, differ & _fits(F.col("x.n"), F.col("y.n"), F.col("x.m"), F.col("y.m"), likeness))
     across = across.select(F.col("x.set").alias("a"), F.col("y.set").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
-    more = reliable(_verified(across, sets, likeness))
+    more = _verified(across, sets, likeness)
+    crowded = mixed.where(F.col("size") > short)
+    if not crowded.isEmpty():
+        more = more.union(_cluster_links(crowded, sets, likeness, block))
+    more = reliable(more)
     if more.isEmpty():
         return roots
     return components(links.union(more))
@@ -372,9 +461,9 @@ def near_duplicates(docs: DataFrame, likeness: int = LIKENESS, words: int = WORD
     Rows with a null id link others but never name a component (null where all ids are null). Repeated rows are rows.
     Very long texts are whole sets. An empty table gives no rows; other columns are not read.
     """
-    slim = docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(text_col).alias("text"))
+    slim = lean(docs).select(docs[id_col].cast("long").alias("doc_id"), text_of(text_col).alias("text"))
     table = reliable(set_table(slim, words))
-    roots = reliable(set_links(candidate_sets(slim, likeness, words, frequent, long), likeness))
+    roots = set_links(candidate_sets(slim, likeness, words, frequent, long), likeness)
     first = table.where("n > 0").groupBy("set").agg(F.min("doc_id").alias("own"))
     named = first.join(roots, first["set"] == roots["node"], "left").select("set", "own", "root")
     groups = named.where("root is not null").groupBy(F.col("root").alias("group")).agg(F.min("own").alias("least"))
