@@ -36,7 +36,7 @@ def same_as_library(texts, reference):
 
 def test_bpe_equals_the_library(reference):
     r = random.Random(3)
-    alphabets = ["ab", "aaab", "the in on er", "abcdefghijklmnopqrstuvwxyz' ", "ΣσÄß€漢🎉́e İ1２٣", "'s't're!?- \n"]
+    alphabets = ["ab", "aaab", "the in on er", "abcdefghijklmnopqrstuvwxyz' ", "ΣσÄß€漢🎉́e İ1２٣", "ȺɄɅKÅẞªº²¼×ǅñ a", "'s't're!?- \n"]
     same_as_library(["".join(r.choice(a) for _ in range(r.randint(0, 40))) for a in alphabets for _ in range(800)] + [x or "" for x in ODD], reference)
 
 
