@@ -38,11 +38,11 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked ones: that of smallest id. Rows that repeat an id go with it; rows without an
     id stay."""
-    found = ngram_join.near_duplicates(docs)
-    gone = reliable(found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone")).distinct())
+    found, name = ngram_join.near_duplicates(docs), free_name(docs, "gone")
+    gone = reliable(found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(name)).distinct())
     if gone.count() <= FEW_IDS:
         gone = F.broadcast(gone)
-    return docs.join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
+    return docs.join(gone, F.col("doc_id") == F.col(name), "left_anti")
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import reliable, text_of
+from .common import lean, reliable, text_of
 
 #: log2 of the bitmap's bits (1 MB), and different-bytes buckets that may be broadcast.
 MAP_BITS, FEW_CLASHES = 23, 100_000
@@ -46,7 +46,7 @@ def _place(d: str) -> int:
 
 def clashes(docs: DataFrame, text_col: str = "text", bits: int = 128) -> DataFrame:
     """digest of each bucket whose members have different canonical bytes; normally no rows."""
-    slim = docs.select(text_of(text_col).alias("text"))
+    slim = lean(docs).select(text_of(text_col).alias("text"))
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -121,7 +121,7 @@ def edited_pairs(docs: DataFrame, bits: int = 128, few: int = FEW_CLASHES, id_co
     """
     wide, clash = _widen(docs, text_col, bits, few)
     spark = docs.sparkSession
-    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(text_col).alias("text"))
+    rows = lean(docs).select(docs[id_col].cast("long").alias("doc_id"), text_of(text_col).alias("text"))
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     quantiles = rows.agg(F.max("doc_id").alias("top"), F.percentile_approx("doc_id", [i / parts for i in range(1, parts)] or [0.5], 10_000).alias("cuts")).first()
     cuts = np.array(sorted({*(quantiles["cuts"] or []), quantiles["top"]} if quantiles["top"] is not None else [], reverse=True), dtype=np.int64)

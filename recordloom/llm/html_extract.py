@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import text_of
+from .common import lean, text_of
 
 #: Names of elements, by what they do to lines.
 BLOCKS = frozenset("address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hr html iframe legend li main menu nav ol optgroup option p pre section select summary table tbody td tfoot th thead title tr ul".split())
@@ -153,5 +153,5 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
             texts = [main_text(h) for h in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
-    rows = pages.select(pages[id_col].cast("long").alias("page_id"), pages[url_col].cast("string").alias("url"), text_of(html_col).alias("html"))
+    rows = lean(pages).select(pages[id_col].cast("long").alias("page_id"), pages[url_col].cast("string").alias("url"), text_of(html_col).alias("html"))
     return rows.mapInArrow(run, "page_id long, url string, text string, n_chars long")

@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, key_of, reliable, text_of
+from .common import free_name, key_of, lean, reliable, text_of
 
 #: Production parameters: sites from which a line is boilerplate; log2 of a sketch's registers; hashes that may be broadcast.
 MIN_SITES, LG_K, FEW_LINES = 10, 12, 200_000
@@ -59,7 +59,7 @@ def remove_lines(docs: DataFrame, lines: DataFrame, least_kept: float = 0.5, few
     removal is for, not a page with boilerplate. Hashes are broadcast only if there are few_lines of them at most;
     beyond, they're joined to the lines of the documents, and each document gets its own.
     """
-    lines = reliable(lines)
+    lines, docs = reliable(lines), lean(docs)
     kind = "text string, n_lines long, n_removed long"
     if lines.count() <= few_lines:
         hit = docs.sparkSession.sparkContext.broadcast(frozenset(r[0] for r in lines.collect()))

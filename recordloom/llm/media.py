@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import lean, text_of
 
 #: Magic bytes, how far from an object's start they stand, and the format.
 MAGIC = [
@@ -262,7 +262,7 @@ def inspect(df: DataFrame, value_col: str, declared_col: str | None = None, id_c
                 objects.append([{"start": f.start, "end": f.end, "kind": f.kind, "detail": f.detail, "sha256": hashlib.sha256(value[f.start : f.end]).hexdigest()} for f in found])
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(kinds, pa.string()), pa.array(fixed, pa.bool_()), pa.array(objects, pa.list_(kind))], names=["id", "declared", "kind", "corrected", "objects"])
 
-    return df.select(*cols).mapInArrow(run, "id string, declared string, kind string, corrected boolean, objects array<struct<start:long,end:long,kind:string,detail:string,sha256:string>>")
+    return lean(df).select(*cols).mapInArrow(run, "id string, declared string, kind string, corrected boolean, objects array<struct<start:long,end:long,kind:string,detail:string,sha256:string>>")
 
 
 def text_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit: int = 192) -> DataFrame:
@@ -288,5 +288,5 @@ def text_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 rows.append((i, len(raw), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-16:]), len(stored), hashlib.sha256(stored).hexdigest(), f"{whole.kind};{whole.detail};{len(back)} samples;inside:{inner}"))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 8, types, strict=True)], names=names)
 
-    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(text_col).alias("text"))
+    rows = lean(docs).select(docs[id_col].cast("long").alias("doc_id"), text_of(text_col).alias("text"))
     return rows.mapInArrow(run, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")

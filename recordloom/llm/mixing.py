@@ -101,13 +101,14 @@ def take_counts(docs: DataFrame, quality: Column | None = None, seed: int = 29,
     cuts = [f"cut{r}" for r in range(rounds)]
     for r, cut in enumerate(cuts):
         state = reliable(_fill(slim, F.broadcast(state) if few else state, bins, cuts[:r], cut))
-    state = state.withColumnRenamed("src", "cut_src")
-    out = rows.join(F.broadcast(state) if few else state, F.col(f"{calc}.src") == F.col("cut_src"), "left")
+    by = free_name(docs, "state")
+    state = state.select(F.struct(*state.columns).alias(by))
+    out = rows.join(F.broadcast(state) if few else state, F.col(f"{calc}.src") == F.col(f"{by}.src"), "left")
     taken = F.lit(False)
     for cut in cuts:
-        taken = taken | _in_cut(F.col(f"{calc}.size"), F.col(f"{calc}.bin"), F.col(f"{calc}.at"), cut)
-    copies = (F.col("epochs") + taken.cast("int")).cast("int")
-    return out.select(*rest, F.struct(F.col(f"{calc}.size").alias("size"), F.col("source_size"), F.col("target"), copies.alias("copies")).alias(into))
+        taken = taken | _in_cut(F.col(f"{calc}.size"), F.col(f"{calc}.bin"), F.col(f"{calc}.at"), f"{by}.{cut}")
+    copies = (F.col(f"{by}.epochs") + taken.cast("int")).cast("int")
+    return out.select(*rest, F.struct(F.col(f"{calc}.size").alias("size"), F.col(f"{by}.source_size").alias("source_size"), F.col(f"{by}.target").alias("target"), copies.alias("copies")).alias(into))
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, key_of, reliable, text_of
+from .common import free_name, key_of, lean, reliable, text_of
 
 #: Labelled documents that the classifier is fitted on at most, and paths whose table may be broadcast.
 SAMPLE, FEW_PATHS = 6000, 200_000
@@ -91,6 +91,7 @@ def classify(docs: DataFrame, labels: DataFrame, host: Column | None = None, pat
     null text is classified as empty text. Without labels the evidence is 0.5 and everything is kept. Repeated rows
     are classified alike; an empty table gives no rows. Extra columns are kept; the struct's name must be free.
     """
+    docs = lean(docs)
     weights, base = train(docs, labels, sample, id_col, text_col)
 
     @F.pandas_udf("double")
@@ -122,15 +123,16 @@ def classify(docs: DataFrame, labels: DataFrame, host: Column | None = None, pat
     k_host = strength(by_host["k"], by_host["w"] or 0.0, spread, by_host["n2"] or 0.0, 1)
     k_path = strength(by_path["k"], by_path["w"] or 0.0, by_host["w"] or 0.0, by_path["n2"] or 0.0, by_host["k"])
 
-    sites = reliable(paths.join(hosts, "h").select(F.col("p").alias("site"), "n_p", "s_p", "n_h", "s_h"))
+    by = free_name(docs, "site")
+    sites = reliable(paths.join(hosts, "h").select(F.struct("p", "n_p", "s_p", "n_h", "s_h").alias(by)))
     if sites.count() <= few_paths:
         sites = F.broadcast(sites)
     e = F.col(f"{calc}.e")
-    host_rate = (F.col("s_h") - e + k_host * mean) / (F.col("n_h") - 1 + k_host)
-    path_rate = (F.col("s_p") - e + k_path * host_rate) / (F.col("n_p") - 1 + k_path)
+    host_rate = (F.col(f"{by}.s_h") - e + k_host * mean) / (F.col(f"{by}.n_h") - 1 + k_host)
+    path_rate = (F.col(f"{by}.s_p") - e + k_path * host_rate) / (F.col(f"{by}.n_p") - 1 + k_path)
     log_odds = _logit(e) - float(np.log(base / (1 - base))) + _logit(path_rate)
     posterior = 1 / (1 + F.exp(-log_odds))
     if not np.any(weights):
         posterior = F.lit(0.5)
-    out = rows.join(sites, F.col(f"{calc}.p") == F.col("site"), "left")
+    out = rows.join(sites, F.col(f"{calc}.p") == F.col(f"{by}.p"), "left")
     return out.select(*rest, F.struct(e.alias("evidence"), host_rate.alias("host_rate"), path_rate.alias("path_rate"), posterior.alias("posterior"), (posterior >= threshold).alias("keep")).alias(into))

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import reliable, slices, span_hashes, text_of
+from .common import lean, reliable, slices, span_hashes, text_of
 
 #: Production parameters: bytes of a repeat, bytes of an anchor, texts with an anchor that one task may hold.
 WIDTH, ANCHOR, HOT = 200, 64, 200_000
@@ -279,7 +279,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, k: int = ANCHOR, hot: in
     copies of each other and lose all from `width` bytes on; null ids are kept. An empty table gives no rows.
     """
     text = text_of(text_col)
-    keyed = docs.select(docs[id_col].cast("long").alias("doc_id"), F.xxhash64(F.lit(1), text).alias("k1"), F.xxhash64(F.lit(2), text).alias("k2"), text.alias("text"))
+    keyed = lean(docs).select(docs[id_col].cast("long").alias("doc_id"), F.xxhash64(F.lit(1), text).alias("k1"), F.xxhash64(F.lit(2), text).alias("k2"), text.alias("text"))
     texts = keyed.groupBy("k1", "k2").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
     ranges = covered(keyed, texts, width, k, hot).groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "stop")).alias("ranges"))
     fields = "k1 long,k2 long,n_bytes long,n_removed long,n_spans long,kept binary,kept_sha256 string"
