@@ -5,6 +5,429 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import similarity as S
+from ..functions.text import char_ngrams
+from ..operators import blocking as B
+from ..operators import checks as C
+from ..operators import evaluate as E
+from ..operators import pairs as P
+from ..operators import tfidf as T
+from ..operators.normalise import NORM_SQL, normalise
+from ..sources.entities import ENTITIES_SQL, entities, table, truth_pairs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None, name: str | None = None):
+    """Register a function of (spark, sf_dir) under its own name, and its SQL."""
+
+    def add(f):
+        key = name or f.__name__
+        QUERIES[key] = f
+        if sql is not None:
+            ORACLE_SQL[key] = sql
+        return f
+
+    return add
+
+
+# --- building blocks, Spark and SQL side by side ---
+
+
+def _norm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return normalise(entities(spark, sf_dir))
+
+
+def _anchors(spark, sf_dir):
+    return entities(spark, sf_dir).where("src = 'S1'").select(F.col("entity_id").alias("s1_id"))
+
+
+def _truth(spark, sf_dir):
+    return truth_pairs(entities(spark, sf_dir))
+
+
+def _rule_cands(spark, sf_dir):
+    keys = B.rule_keys(_norm(spark, sf_dir))
+    return B.probe_rules(keys, B.postings(keys, B.RULE_POSTINGS))
+
+
+def _standard_cands(spark, sf_dir):
+    keys = B.standard_keys(_norm(spark, sf_dir))
+    return B.probe_standard(keys, B.postings(keys, B.STANDARD_POSTINGS))
+
+
+def _vectors(spark, sf_dir):
+    """Unit vectors of anchors and of targets, under a model fitted on the targets."""
+    norm = _norm(spark, sf_dir)
+    tf = T.counts(norm, "entity_id", "name_canonical")
+    n = norm.where("src <> 'S1'").count()
+    target = ~F.col("id").startswith("S1-")
+    vectors = T.unit_vectors(tf, T.idf(tf.where(target), n))
+    return vectors.where(~target), vectors.where(target)
+
+
+def _tfidf_cands(spark, sf_dir):
+    return T.top_k(*_vectors(spark, sf_dir))
+
+
+def _merged(spark, sf_dir):
+    return E.merge_candidates(_standard_cands(spark, sf_dir), _tfidf_cands(spark, sf_dir))
+
+
+def _features(spark, sf_dir):
+    return P.pair_features(_merged(spark, sf_dir), _norm(spark, sf_dir))
+
+
+def _scored(spark, sf_dir, fuzzy=False):
+    return P.rule_score(_rule_cands(spark, sf_dir), _norm(spark, sf_dir), fuzzy=fuzzy)
+
+
+def _matches(spark, sf_dir, tau=P.TAU):
+    return E.top_matches(_scored(spark, sf_dir), tau)
+
+
+def sql(*parts: str, then: str) -> str:
+    return "WITH " + ", ".join([ENTITIES_SQL, NORM_SQL, *parts]) + " " + then
+
+
+join = lambda c: F.array_join(c, " ")
+RULES = [B.RULE_KEYS_SQL, B.POSTINGS_SQL, B.RULE_CANDIDATES_SQL]
+STANDARD = [B.STANDARD_KEYS_SQL, B.STANDARD_CANDIDATES_SQL]
+MERGED = """
+merged AS (SELECT s1_id, target_id, s.s1_id IS NOT NULL AS in_standard, t.s1_id IS NOT NULL AS in_tfidf, coalesce(t.score, 0.0) AS tfidf,
+  row_number() OVER (PARTITION BY s1_id ORDER BY (s.s1_id IS NOT NULL AND t.s1_id IS NOT NULL) DESC, coalesce(t.score, 0.0) DESC, target_id) AS place
+  FROM scands s FULL JOIN ttop t USING (s1_id, target_id) QUALIFY place <= 50)"""
+JACCARD = "CASE WHEN len({a}) = 0 OR len({b}) = 0 THEN 0.0 ELSE len(list_intersect({a}, {b})) / len(list_distinct(list_concat({a}, {b}))) END"
+CONTRADICTS = """(len({a}.addr_numbers) > 0 AND len({b}.addr_numbers) > 0 AND CASE WHEN len(list_filter({a}.addr_numbers, lambda v: v IS DISTINCT FROM {a}.addr_postal)) > 0 AND len(list_filter({b}.addr_numbers, lambda w: w IS DISTINCT FROM {b}.addr_postal)) > 0
+  THEN len(list_intersect(list_filter({a}.addr_numbers, lambda v: v IS DISTINCT FROM {a}.addr_postal), list_filter({b}.addr_numbers, lambda w: w IS DISTINCT FROM {b}.addr_postal))) = 0 ELSE len(list_intersect({a}.addr_numbers, {b}.addr_numbers)) = 0 END)"""
+
+
+def _jac(a, b):
+    return JACCARD.format(a=a, b=b)
+
+
+def _both(a, b, then):
+    return f"CASE WHEN {a} = '' AND {b} = '' THEN 1.0 WHEN {a} = '' OR {b} = '' THEN 0.0 ELSE {then} END"
+
+
+def _lev(a, b):
+    return _both(a, b, f"1 - levenshtein({a}, {b}) / greatest(length({a}), length({b}))")
+
+
+# --- normalisation and scalar functions ---
+
+
+@query(f"WITH {ENTITIES_SQL} SELECT entity_id, business_name, business_address, country, text_md5 FROM ent")
+def entity_view(spark, sf_dir):
+    return entities(spark, sf_dir).select("entity_id", "business_name", "business_address", "country", "text_md5")
+
+
+@query(sql(then="SELECT entity_id, name_clean, name_canonical, array_to_string(name_sorted, ' ') AS name_sorted, name_suffix, name_url FROM norm"))
+def name_norm(spark, sf_dir):
+    return _norm(spark, sf_dir).select("entity_id", "name_clean", "name_canonical", join("name_sorted").alias("name_sorted"), "name_suffix", "name_url")
+
+
+@query(sql(then="SELECT entity_id, addr_clean, addr_canonical, array_to_string(addr_sorted, ' ') AS addr_sorted, array_to_string(addr_numbers, ' ') AS addr_numbers, addr_postal, addr_empty FROM norm"))
+def addr_norm(spark, sf_dir):
+    return _norm(spark, sf_dir).select("entity_id", "addr_clean", "addr_canonical", join("addr_sorted").alias("addr_sorted"), join("addr_numbers").alias("addr_numbers"), "addr_postal", "addr_empty")
+
+
+@query(sql(then="SELECT entity_id, country_canonical, country_missing, country_seen FROM norm"))
+def country_norm(spark, sf_dir):
+    return _norm(spark, sf_dir).select("entity_id", "country_canonical", "country_missing", "country_seen")
+
+
+@query(sql(T.TFIDF_SQL.split("ttf AS")[0].rstrip().rstrip(","), then="SELECT id AS entity_id, len(gs) AS n_grams, array_to_string(gs, '|') AS grams FROM tgrams"))
+def char_ngrams_of_names(spark, sf_dir):
+    grams = char_ngrams(F.col("name_canonical"))
+    return _norm(spark, sf_dir).select("entity_id", F.size(grams).cast("long").alias("n_grams"), F.array_join(grams, "|").alias("grams"))
+
+
+PAIRED = "pn AS (SELECT r.s1_id, r.target_id, a, t FROM rcands r JOIN norm a ON r.s1_id = a.entity_id JOIN norm t ON r.target_id = t.entity_id)"
+
+
+@query(sql(*RULES, PAIRED, then=f"""SELECT s1_id, target_id, {_jac('a.name_tokens', 't.name_tokens')} AS jaccard, len(list_intersect(a.name_tokens, t.name_tokens)) AS overlap,
+  CASE WHEN len(a.name_tokens) = 0 OR len(t.name_tokens) = 0 THEN 0.0 ELSE len(list_intersect(a.name_tokens, t.name_tokens)) / least(len(a.name_sorted), len(t.name_sorted)) END AS containment FROM pn"""))
+def token_sets(spark, sf_dir):
+    a, t = F.col("a.name_tokens"), F.col("t.name_tokens")
+    return P.paired(_rule_cands(spark, sf_dir), _norm(spark, sf_dir)).select("s1_id", "target_id", S.jaccard(a, t).alias("jaccard"), S.overlap(a, t).cast("long").alias("overlap"), S.containment(a, t).alias("containment"))
+
+
+@query(sql(*RULES, PAIRED, then=f"""SELECT s1_id, target_id, levenshtein(a.name_canonical, t.name_canonical) AS distance, least(levenshtein(a.name_canonical, t.name_canonical), 6) AS bounded,
+  {_lev('a.name_canonical', 't.name_canonical')} AS similarity, {_both('a.name_canonical', 't.name_canonical', 'least(length(a.name_canonical), length(t.name_canonical)) / greatest(length(a.name_canonical), length(t.name_canonical))')} AS length_ratio FROM pn"""))
+def edit_similarity(spark, sf_dir):
+    a, t = F.col("a.name_canonical"), F.col("t.name_canonical")
+    return P.paired(_rule_cands(spark, sf_dir), _norm(spark, sf_dir)).select("s1_id", "target_id", S.edit_distance(a, t).cast("long").alias("distance"), S.edit_distance(a, t, 5).cast("long").alias("bounded"), S.edit_similarity(a, t).alias("similarity"), S.length_ratio(a, t).alias("length_ratio"))
+
+
+@query(sql(*RULES, PAIRED, then=f"SELECT s1_id, target_id, {_jac('a.addr_numbers', 't.addr_numbers')} AS number_jaccard, {CONTRADICTS.format(a='a', b='t')} AS contradiction FROM pn"))
+def numeric_evidence(spark, sf_dir):
+    a, t = F.col("a.addr_numbers"), F.col("t.addr_numbers")
+    return P.paired(_rule_cands(spark, sf_dir), _norm(spark, sf_dir)).select("s1_id", "target_id", S.jaccard(a, t).alias("number_jaccard"), S.numeric_contradiction(a, t, F.col("a.addr_postal"), F.col("t.addr_postal")).alias("contradiction"))
+
+
+NEAR = "len(list_filter({a}.addr_numbers, lambda v: length(v) >= 2 AND len(list_filter({b}.addr_numbers, lambda w: length(w) >= 2 AND (starts_with(v, w) OR starts_with(w, v)) AND abs(length(v) - length(w)) <= 1)) > 0)) > 0"
+
+
+@query(sql(*RULES, PAIRED, then=f"SELECT s1_id, target_id, {NEAR.format(a='a', b='t')} AS near FROM pn"))
+def ocr_number_match(spark, sf_dir):
+    return P.paired(_rule_cands(spark, sf_dir), _norm(spark, sf_dir)).select("s1_id", "target_id", S.near_numbers(F.col("a.addr_numbers"), F.col("t.addr_numbers")).alias("near"))
+
+
+# --- blocking and retrieval ---
+
+
+@query(sql(B.RULE_KEYS_SQL, then="SELECT entity_id, key, key_ord FROM rkeys"))
+def blocking_keys(spark, sf_dir):
+    return B.rule_keys(_norm(spark, sf_dir)).select("entity_id", "key", F.col("key_ord").cast("long").alias("key_ord"))
+
+
+@query(sql(B.STANDARD_KEYS_SQL, then="SELECT entity_id, key FROM skeys"))
+def standard_blocking_keys(spark, sf_dir):
+    return B.standard_keys(_norm(spark, sf_dir)).select("entity_id", "key")
+
+
+@query(sql(B.RULE_KEYS_SQL, B.POSTINGS_SQL, then="SELECT key, target_id, post_ord FROM posts"))
+def postings_capped(spark, sf_dir):
+    return B.postings(B.rule_keys(_norm(spark, sf_dir)), B.RULE_POSTINGS).withColumn("post_ord", F.col("post_ord").cast("long"))
+
+
+@query(sql(*RULES, then="SELECT s1_id, target_id, cand_ord FROM rcands"))
+def candidates_rule(spark, sf_dir):
+    return _rule_cands(spark, sf_dir).withColumn("cand_ord", F.col("cand_ord").cast("long"))
+
+
+@query(sql(*STANDARD, then="SELECT s1_id, target_id FROM scands"))
+def candidates_std(spark, sf_dir):
+    return _standard_cands(spark, sf_dir)
+
+
+@query(sql(B.RULE_KEYS_SQL, then="SELECT DISTINCT entity_id AS target_id FROM rkeys WHERE src <> 'S1' AND key IN (SELECT key FROM rkeys WHERE src = 'S1')"))
+def semi_join_targets(spark, sf_dir):
+    return B.targets_with_keys(B.rule_keys(_norm(spark, sf_dir)))
+
+
+@query(sql(B.RULE_KEYS_SQL, B.TRUTH_SQL, then="""SELECT t.s1_id, t.target_id, count(b.key) AS n_shared, coalesce(string_agg(DISTINCT split_part(b.key, ':', 1), ',' ORDER BY split_part(b.key, ':', 1)), '') AS channels
+  FROM truth t LEFT JOIN rkeys a ON a.entity_id = t.s1_id LEFT JOIN rkeys b ON b.entity_id = t.target_id AND b.key = a.key GROUP BY ALL"""))
+def shared_keys(spark, sf_dir):
+    return B.shared_keys(B.rule_keys(_norm(spark, sf_dir)), _truth(spark, sf_dir))
+
+
+@query(sql(B.TRUTH_SQL, then="""SELECT x.s1_id, x.target_id AS s2_id, y.target_id AS s3_id FROM (SELECT * FROM truth WHERE target_id LIKE 'S2-%' QUALIFY row_number() OVER (PARTITION BY s1_id ORDER BY target_id) <= 2) x
+  JOIN (SELECT * FROM truth WHERE target_id LIKE 'S3-%' QUALIFY row_number() OVER (PARTITION BY s1_id ORDER BY target_id) <= 2) y USING (s1_id)"""))
+def cross_source_pairs(spark, sf_dir):
+    from pyspark.sql import Window
+
+    first = F.row_number().over(Window.partitionBy("s1_id", F.substring("target_id", 1, 2)).orderBy("target_id"))
+    top = _truth(spark, sf_dir).withColumn("r", first).where("r <= 2")
+    a = top.where(F.col("target_id").startswith("S2-")).select("s1_id", F.col("target_id").alias("s2_id"))
+    return a.join(top.where(F.col("target_id").startswith("S3-")).select("s1_id", F.col("target_id").alias("s3_id")), "s1_id")
+
+
+@query(sql(T.TFIDF_SQL, then="SELECT gram, df, round(idf, 9) AS idf FROM tidf"))
+def tfidf_idf(spark, sf_dir):
+    norm = _norm(spark, sf_dir).where("src <> 'S1'")
+    return T.idf(T.counts(norm, "entity_id", "name_canonical"), norm.count()).select("gram", "df", F.round("idf", 9).alias("idf"))
+
+
+@query(sql(T.TFIDF_SQL, then="SELECT s1_id, target_id, score FROM ttop"))
+def tfidf_topk(spark, sf_dir):
+    return _tfidf_cands(spark, sf_dir)
+
+
+def _grams_sql(x):
+    return f"CASE WHEN {x} = '' THEN [] ELSE list_transform(range(1, length({x}) + 1), lambda i: substr('#' || {x} || '#', i, 3)) END"
+
+
+def _cosine_sql(a, b):
+    """Cosine of n-gram counts with sublinear weights, from lists."""
+    w = lambda g, v: f"(1 + ln(len(list_filter({g}, lambda q: q = {v}))))"
+    ga, gb = _grams_sql(a), _grams_sql(b)
+    total = lambda items, f: f"coalesce(list_sum(list_transform({items}, lambda u: {f})), 0.0)"
+    dot = total(f"list_sort(list_distinct(list_intersect({ga}, {gb})))", f"{w(ga, 'u')} * {w(gb, 'u')}")
+    norm = lambda g: f"sqrt({total(f'list_distinct({g})', f'{w(g, chr(117))} * {w(g, chr(117))}')})"
+    return f"CASE WHEN {a} = '' OR {b} = '' THEN 0.0 WHEN {a} = {b} THEN 1.0 ELSE least(1.0, {dot} / ({norm(ga)} * {norm(gb)})) END"
+
+
+@query(sql(*RULES, PAIRED, then=f"SELECT s1_id, target_id, round({_cosine_sql('a.name_canonical', 't.name_canonical')}, 6) AS cosine FROM pn"))
+def pair_cosine(spark, sf_dir):
+    return P.paired(_rule_cands(spark, sf_dir), _norm(spark, sf_dir)).select("s1_id", "target_id", F.round(T.cosine(F.col("a.name_canonical"), F.col("t.name_canonical")), 6).alias("cosine"))
+
+
+@query(sql(*STANDARD, T.TFIDF_SQL, MERGED, then="SELECT s1_id, target_id, in_standard, in_tfidf, tfidf, place FROM merged"))
+def candidate_merge(spark, sf_dir):
+    return _merged(spark, sf_dir).withColumn("place", F.col("place").cast("long"))
+
+
+# --- features and scores ---
+
+
+def _f(expr: str) -> str:
+    return f"CAST(coalesce({expr}, false) AS INTEGER)::DOUBLE"
+
+
+FEATURES_SQL = f"""
+fp AS (SELECT m.*, a, t, (a.addr_empty OR t.addr_empty) AS gone FROM merged m JOIN norm a ON m.s1_id = a.entity_id JOIN norm t ON m.target_id = t.entity_id),
+f1 AS (SELECT s1_id, target_id, in_standard, in_tfidf, tfidf,
+  {_f("a.name_raw <> '' AND a.name_raw = t.name_raw")} AS name_exact_match, {_f("a.name_clean <> '' AND a.name_clean = t.name_clean")} AS name_clean_exact_match,
+  {_f("a.name_canonical <> '' AND a.name_canonical = t.name_canonical")} AS name_canonical_exact_match, round({_jac('a.name_tokens', 't.name_tokens')}, 4) AS name_token_jaccard,
+  len(list_intersect(a.name_tokens, t.name_tokens))::DOUBLE AS name_token_overlap_count,
+  round(CASE WHEN len(a.name_tokens) = 0 OR len(t.name_tokens) = 0 THEN 0.0 ELSE len(list_intersect(a.name_tokens, t.name_tokens)) / least(len(a.name_sorted), len(t.name_sorted)) END, 4) AS name_token_containment,
+  round({_lev('a.name_canonical', 't.name_canonical')}, 4) AS name_levenshtein_sim,
+  round({_both('a.name_canonical', 't.name_canonical', 'least(length(a.name_canonical), length(t.name_canonical)) / greatest(length(a.name_canonical), length(t.name_canonical))')}, 4) AS name_length_ratio,
+  round({_jac("list_filter(a.name_tokens, lambda x: regexp_full_match(x, '[0-9]+'))", "list_filter(t.name_tokens, lambda x: regexp_full_match(x, '[0-9]+'))")}, 4) AS name_numeric_overlap,
+  round({_cosine_sql('a.name_canonical', 't.name_canonical')}, 4) AS name_char_ngram_cosine,
+  CASE WHEN gone THEN 0.0 ELSE {_f("a.addr_raw = t.addr_raw")} END AS address_exact_match, CASE WHEN gone THEN 0.0 ELSE {_f("a.addr_clean <> '' AND a.addr_clean = t.addr_clean")} END AS address_clean_exact_match,
+  CASE WHEN gone THEN 0.0 ELSE {_f("a.addr_canonical <> '' AND a.addr_canonical = t.addr_canonical")} END AS address_canonical_exact_match,
+  CASE WHEN gone THEN 0.0 ELSE round({_jac('a.addr_tokens', 't.addr_tokens')}, 4) END AS address_token_jaccard, CASE WHEN gone THEN 0.0 ELSE len(list_intersect(a.addr_tokens, t.addr_tokens))::DOUBLE END AS address_token_overlap_count,
+  CASE WHEN gone THEN 0.0 ELSE round({_lev('a.addr_canonical', 't.addr_canonical')}, 4) END AS address_levenshtein_sim, CASE WHEN gone THEN 0.0 ELSE round({_jac('a.addr_numbers', 't.addr_numbers')}, 4) END AS address_numeric_jaccard,
+  CASE WHEN gone THEN 0.0 ELSE {_f(CONTRADICTS.format(a='a', b='t'))} END AS address_numeric_contradiction, CASE WHEN gone THEN 0.0 ELSE {_f("a.addr_postal = t.addr_postal")} END AS address_postal_code_match,
+  {_f("gone")} AS address_is_missing, CASE WHEN gone THEN 0.0 ELSE round({_cosine_sql('a.addr_canonical', 't.addr_canonical')}, 4) END AS address_char_ngram_cosine,
+  {_f("NOT (a.country_missing OR t.country_missing) AND a.country_canonical = t.country_canonical")} AS country_exact_match,
+  {_f("a.country_missing OR t.country_missing OR a.country_canonical = t.country_canonical")} AS country_compatible,
+  {_f("NOT (a.country_missing OR t.country_missing) AND a.country_canonical <> t.country_canonical")} AS country_contradiction, {_f("NOT (a.country_seen AND t.country_seen)")} AS has_unseen_country FROM fp),
+f2 AS (SELECT *, (name_token_jaccard >= 0.70 OR name_canonical_exact_match = 1 OR name_levenshtein_sim >= 0.85) AS hn,
+  (address_is_missing = 0 AND (address_token_jaccard >= 0.50 OR address_canonical_exact_match = 1 OR address_levenshtein_sim >= 0.75)) AS ha,
+  CASE WHEN name_exact_match = 1 THEN 1.0 WHEN name_canonical_exact_match = 1 THEN greatest(name_token_jaccard, name_levenshtein_sim, name_char_ngram_cosine, 0.95) ELSE greatest(name_token_jaccard, name_levenshtein_sim, name_char_ngram_cosine) END AS ns,
+  CASE WHEN address_exact_match = 1 THEN 1.0 WHEN address_canonical_exact_match = 1 THEN greatest(address_token_jaccard, address_levenshtein_sim, address_char_ngram_cosine, 0.95) ELSE greatest(address_token_jaccard, address_levenshtein_sim, address_char_ngram_cosine) END AS ads,
+  CASE WHEN country_exact_match = 1 THEN 1.0::DOUBLE WHEN country_compatible = 1 THEN 0.8::DOUBLE ELSE 0.0::DOUBLE END AS cs FROM f1),
+feats AS (SELECT * EXCLUDE (hn, ha, ns, ads, cs), {_f("hn AND ha")} AS name_and_address_high_sim, {_f("hn AND address_numeric_contradiction = 1")} AS name_high_address_contradiction,
+  {_f("(name_exact_match = 1 OR name_clean_exact_match = 1 OR name_canonical_exact_match = 1) AND country_contradiction = 1")} AS name_exact_diff_country,
+  greatest(0.0, least(1.0, round((CASE WHEN address_is_missing = 1 THEN 0.85::DOUBLE * ns + 0.15::DOUBLE * cs ELSE 0.55::DOUBLE * ns + 0.35::DOUBLE * ads + 0.10::DOUBLE * cs END) * CASE WHEN country_contradiction = 1 THEN 0.15::DOUBLE ELSE 1.0::DOUBLE END * CASE WHEN address_numeric_contradiction = 1 THEN 0.30::DOUBLE ELSE 1.0::DOUBLE END, 4))) AS overall_composite_similarity,
+  {_f("in_standard")} AS retrieved_by_standard, {_f("in_tfidf")} AS retrieved_by_tfidf, {_f("in_standard AND in_tfidf")} AS retrieved_by_both, tfidf AS tfidf_retrieval_score FROM f2)"""
+FEATURE_PARTS = [*STANDARD, T.TFIDF_SQL, MERGED, FEATURES_SQL]
+GROUPS = {"features_name": "name_", "features_address": "address_", "features_country": "country_", "features_provenance": "retriev"}
+
+
+def _feature_query(name: str, columns: list[str]) -> None:
+    query(sql(*FEATURE_PARTS, then=f"SELECT s1_id, target_id, {', '.join(f'{c}::DOUBLE AS {c}' for c in columns)} FROM feats"), name)(lambda spark, sf_dir: _features(spark, sf_dir).select("s1_id", "target_id", *columns))
+
+
+CROSS = ["name_and_address_high_sim", "name_high_address_contradiction", "name_exact_diff_country", "overall_composite_similarity"]
+for _name, _start in GROUPS.items():
+    _feature_query(_name, [c for c in P.FEATURES if c.startswith(_start) and c not in CROSS or _name == "features_provenance" and c == "tfidf_retrieval_score" or _name == "features_country" and c == "has_unseen_country"])
+_feature_query("features_cross", CROSS)
+
+BASELINE_SQL = """
+base AS (SELECT s1_id, target_id, CASE WHEN country_contradiction = 1 THEN 'REJECT_COUNTRY_CONTRADICTION' WHEN address_numeric_contradiction = 1 THEN 'REJECT_ADDRESS_NUMERIC_CONTRADICTION'
+  WHEN (name_canonical_exact_match = 1 OR name_clean_exact_match = 1) AND (fits OR address_is_missing = 1) THEN 'RULE_EXACT_CANONICAL_WITH_COMPATIBLE_ADDRESS'
+  WHEN name_and_address_high_sim = 1 THEN 'RULE_NAME_AND_ADDRESS_HIGH_SIM' WHEN overall_composite_similarity >= 0.85 THEN 'RULE_HIGH_COMPOSITE_SCORE' ELSE 'INSUFFICIENT_EVIDENCE' END AS rule, fits, overall_composite_similarity AS o
+  FROM (SELECT *, address_canonical_exact_match = 1 OR address_postal_code_match = 1 OR address_token_jaccard >= 0.30 OR address_levenshtein_sim >= 0.50 AS fits FROM feats))"""
+
+
+@query(sql(*FEATURE_PARTS, BASELINE_SQL, then="""SELECT s1_id, target_id, rule LIKE 'RULE%' AS is_match, rule, CASE WHEN rule LIKE 'REJECT%' THEN 0.0 WHEN rule = 'RULE_EXACT_CANONICAL_WITH_COMPATIBLE_ADDRESS' THEN CASE WHEN fits THEN 0.96 ELSE 0.88 END
+  WHEN rule = 'RULE_NAME_AND_ADDRESS_HIGH_SIM' THEN 0.92 ELSE o END::DOUBLE AS confidence FROM base"""))
+def baseline_decision(spark, sf_dir):
+    return P.baseline(_features(spark, sf_dir))
+
+
+@query(sql(*FEATURE_PARTS, then="SELECT s1_id, target_id, overall_composite_similarity::DOUBLE AS composite FROM feats WHERE country_contradiction = 0 AND address_numeric_contradiction = 0"))
+def veto_filter(spark, sf_dir):
+    return _features(spark, sf_dir).where("country_contradiction = 0 and address_numeric_contradiction = 0").select("s1_id", "target_id", F.col("overall_composite_similarity").alias("composite"))
+
+
+SCORE_SQL = f"""
+q0 AS (SELECT r.s1_id, r.target_id, r.cand_ord, a, t, list_distinct(list_filter(a.name_tokens, lambda v: length(v) >= 2)) AS an, list_distinct(list_filter(t.name_tokens, lambda v: length(v) >= 2)) AS tn,
+  list_distinct(list_filter(a.addr_tokens, lambda v: length(v) >= 2)) AS aa, list_distinct(list_filter(t.addr_tokens, lambda v: length(v) >= 2)) AS ta, a.addr_numbers AS x, t.addr_numbers AS y, a.name_canonical AS ac, t.name_canonical AS tc,
+  array_to_string(a.name_tokens, '') AS aj, array_to_string(t.name_tokens, '') AS tj, coalesce(a.addr_postal, '') AS ap, coalesce(t.addr_postal, '') AS tp, {NEAR.format(a='a', b='t')} AS near_num
+  FROM rcands r JOIN norm a ON r.s1_id = a.entity_id JOIN norm t ON r.target_id = t.entity_id),
+q1 AS (SELECT *, len(x) > 0 AND len(y) > 0 AS both_num, len(list_intersect(x, y)) > 0 AS common, {_jac('an', 'tn')} AS jac, len(list_intersect(an, tn)) AS over, least(len(an), len(tn)) AS lo, greatest(len(an), len(tn)) AS hi, {_jac('aa', 'ta')} AS s, ac <> '' AND tc <> '' AS named, ap <> '' AND ap = tp AS postal FROM q0),
+q2 AS (SELECT *, lo >= 2 AND over = lo AS subset,
+  (a.country_canonical <> '' AND t.country_canonical <> '' AND a.country_canonical <> t.country_canonical) OR CASE WHEN both_num AND common THEN len(x) >= 2 AND len(y) >= 2 AND ((x[1] <> y[1] AND NOT list_contains(y, x[1]) AND NOT list_contains(x, y[1])) OR (x[-1] <> y[-1] AND NOT list_contains(y, x[-1]) AND NOT list_contains(x, y[-1]))) WHEN both_num THEN NOT near_num ELSE false END AS veto FROM q1),
+q3 AS (SELECT *, CASE WHEN named AND ac = tc THEN 1.0 WHEN len(an) > 0 AND tc <> '' AND len(tn) > 0 THEN CASE WHEN subset AND jac < 0.85 THEN greatest(jac, 0.70::DOUBLE + 0.20::DOUBLE * (lo / hi)) ELSE jac END ELSE 0.0 END AS n1 FROM q2),
+q4 AS (SELECT *, CASE WHEN n1 < 0.85 AND named THEN CASE WHEN aj <> '' AND (aj = replace(tc, ' ', '') OR tj = replace(ac, ' ', '') OR aj = tj) THEN greatest(n1, 0.95) WHEN length(ac) >= 8 AND length(tc) >= 8 AND (contains(tc, ac) OR contains(ac, tc)) THEN greatest(n1, 0.90) ELSE n1 END ELSE n1 END AS n FROM q3),
+q5 AS (SELECT *, CASE WHEN n >= 0.85 THEN CASE WHEN s >= 0.20 THEN 0.60::DOUBLE * n + 0.40::DOUBLE * s WHEN len(ta) = 0 THEN 0.55::DOUBLE * n ELSE 0.40::DOUBLE * n END WHEN n >= 0.65 THEN CASE WHEN s >= 0.30 THEN 0.50::DOUBLE * n + 0.50::DOUBLE * s WHEN len(ta) = 0 THEN 0.45::DOUBLE * n ELSE 0.35::DOUBLE * n END
+  WHEN n >= 0.50 AND s >= 0.40 THEN 0.45::DOUBLE * n + 0.55::DOUBLE * s ELSE 0.0 END AS mixed, s >= 0.82 AND len(ta) > 0 AND len(aa) > 0 AND over >= 1 AS by_address FROM q4),
+scored AS (SELECT s1_id, target_id, cand_ord, CASE WHEN veto THEN 0.0 WHEN n < 0.45 AND by_address THEN 0.585 WHEN n < 0.45 THEN 0.0 WHEN mixed >= 0.58 THEN mixed WHEN named AND ac = tc AND length(ac) >= 10 AND postal AND length(ap) >= 5 THEN 0.59
+  WHEN both_num AND common AND postal AND subset THEN 0.585 WHEN len(an) >= 3 AND len(an) = len(tn) AND over = len(an) AND postal THEN 0.585 WHEN mixed >= 0.56 AND mixed < 0.58 AND len(ta) > 0 AND s >= 0.15 THEN 0.5801::DOUBLE + (mixed - 0.56::DOUBLE) * 0.1::DOUBLE
+  WHEN by_address THEN 0.585 WHEN postal AND length(ap) >= 5 AND jac >= 0.80 THEN 0.585 ELSE 0.0 END::DOUBLE AS score FROM q5)"""
+MATCHES_SQL = "matches AS (SELECT s1_id, target_id, score, row_number() OVER (PARTITION BY s1_id ORDER BY score DESC, cand_ord) AS rank FROM scored WHERE score >= 0.58 QUALIFY rank <= 8)"
+SCORED = [*RULES, SCORE_SQL]
+MATCHED = [*SCORED, MATCHES_SQL, B.TRUTH_SQL, "anchors AS (SELECT entity_id AS s1_id FROM ent WHERE src = 'S1')"]
+
+
+@query(sql(*SCORED, then="SELECT s1_id, target_id, round(score, 9) AS score FROM scored"))
+def rule_score(spark, sf_dir):
+    return _scored(spark, sf_dir).select("s1_id", "target_id", F.round("score", 9).alias("score"))
+
+
+@query(sql(*MATCHED, then="SELECT s1_id, target_id, round(score, 9) AS score, rank FROM matches"))
+def match_topk(spark, sf_dir):
+    return _matches(spark, sf_dir).select("s1_id", "target_id", F.round("score", 9).alias("score"), F.col("rank").cast("long").alias("rank"))
+
+
+@query()
+def rule_score_fuzzy(spark, sf_dir):
+    """With the character ratio, which SQL doesn't have."""
+    return _scored(spark, sf_dir, fuzzy=True).select("s1_id", "target_id", "score")
+
+
+# --- metrics ---
+
+F05 = "CASE WHEN n_true = 0 AND n_pred = 0 THEN 1.0 WHEN tp = 0 THEN 0.0 ELSE 1.25::DOUBLE * (tp / n_pred) * (tp / n_true) / (0.25::DOUBLE * (tp / n_pred) + (tp / n_true)) END"
+ENTITY_SQL = f"""
+es0 AS (SELECT s1_id, (SELECT count(DISTINCT target_id) FROM truth t WHERE t.s1_id = a.s1_id) AS n_true, (SELECT count(DISTINCT target_id) FROM matches m WHERE m.s1_id = a.s1_id) AS n_pred,
+  (SELECT count(DISTINCT t.target_id) FROM truth t JOIN matches m ON t.s1_id = m.s1_id AND t.target_id = m.target_id WHERE t.s1_id = a.s1_id) AS tp FROM anchors a),
+es AS (SELECT *, n_true = 0 AS is_singleton, n_pred - tp AS fp, n_true - tp AS fn, CASE WHEN n_true = 0 AND n_pred = 0 THEN 1.0 WHEN tp = 0 THEN 0.0 ELSE tp / n_pred END AS precision,
+  CASE WHEN n_true = 0 AND n_pred = 0 THEN 1.0 WHEN tp = 0 THEN 0.0 ELSE tp / n_true END AS recall, {F05} AS f05 FROM es0)"""
+EVALUATED = [*MATCHED, ENTITY_SQL]
+
+
+def _entity_scores(spark, sf_dir):
+    return E.entity_scores(_anchors(spark, sf_dir), _truth(spark, sf_dir), _matches(spark, sf_dir))
+
+
+@query(sql(*EVALUATED, then="SELECT s1_id, is_singleton, n_true, n_pred, tp, fp, fn, round(precision, 9) AS precision, round(recall, 9) AS recall, round(f05, 9) AS f05 FROM es"))
+def entity_f05(spark, sf_dir):
+    return _entity_scores(spark, sf_dir).select("s1_id", "is_singleton", "n_true", "n_pred", "tp", "fp", "fn", *[F.round(c, 9).alias(c) for c in ("precision", "recall", "f05")])
+
+
+@query(sql(*EVALUATED, then="""SELECT count(*) AS anchors, count(*) FILTER (WHERE is_singleton) AS singletons, count(*) FILTER (WHERE NOT is_singleton) AS matched, round(avg(f05), 9) AS macro_f05, round(avg(precision), 9) AS mean_precision, round(avg(recall), 9) AS mean_recall,
+  round(coalesce(avg(f05) FILTER (WHERE is_singleton), 0), 9) AS singleton_f05, round(coalesce(avg(f05) FILTER (WHERE NOT is_singleton), 0), 9) AS matched_f05, count(*) FILTER (WHERE f05 >= 0.999999) AS perfect, count(*) FILTER (WHERE f05 <= 1e-6) AS zero FROM es"""))
+def macro_f05(spark, sf_dir):
+    return E.macro(_entity_scores(spark, sf_dir))
+
+
+MICRO_COLUMNS = """sum(tp)::BIGINT AS tp, sum(fp)::BIGINT AS fp, sum(fn)::BIGINT AS fn, round(coalesce(sum(tp) / nullif(sum(tp) + sum(fp), 0), 0), 9) AS precision, round(coalesce(sum(tp) / nullif(sum(tp) + sum(fn), 0), 0), 9) AS recall,
+  round(coalesce(2 * (sum(tp) / nullif(sum(tp) + sum(fp), 0)) * (sum(tp) / nullif(sum(tp) + sum(fn), 0)) / nullif((sum(tp) / nullif(sum(tp) + sum(fp), 0)) + (sum(tp) / nullif(sum(tp) + sum(fn), 0)), 0), 0), 9) AS f1,
+  round(coalesce(1.25::DOUBLE * (sum(tp) / nullif(sum(tp) + sum(fp), 0)) * (sum(tp) / nullif(sum(tp) + sum(fn), 0)) / nullif(0.25::DOUBLE * (sum(tp) / nullif(sum(tp) + sum(fp), 0)) + (sum(tp) / nullif(sum(tp) + sum(fn), 0)), 0), 0), 9) AS f05"""
+
+
+@query(sql(*EVALUATED, then=f"SELECT {MICRO_COLUMNS} FROM es"))
+def micro_f05(spark, sf_dir):
+    return E.micro(_entity_scores(spark, sf_dir))
+
+
+@query(sql(*EVALUATED, then=f"SELECT country_canonical AS country, {MICRO_COLUMNS} FROM es JOIN norm ON s1_id = entity_id GROUP BY 1"))
+def country_breakdown(spark, sf_dir):
+    countries = _norm(spark, sf_dir).select(F.col("entity_id").alias("s1_id"), F.col("country_canonical").alias("country"))
+    return E.micro(_entity_scores(spark, sf_dir).join(countries, "s1_id"), ["country"])
+
+
+CURVE_SQL = f"""
+grid AS (SELECT unnest([{", ".join(f"{t}::DOUBLE" for t in E.TAUS)}]) AS tau),
+rk AS (SELECT s1_id, target_id, score, row_number() OVER (PARTITION BY s1_id ORDER BY score DESC, cand_ord) AS rank FROM scored QUALIFY rank <= 8),
+cv0 AS (SELECT tau, s1_id, (SELECT count(*) FROM truth t WHERE t.s1_id = a.s1_id) AS n_true, (SELECT count(*) FROM rk WHERE rk.s1_id = a.s1_id AND score >= tau) AS n_pred,
+  (SELECT count(*) FROM rk JOIN truth t ON t.s1_id = rk.s1_id AND t.target_id = rk.target_id WHERE rk.s1_id = a.s1_id AND score >= tau) AS tp FROM grid, anchors a),
+curve AS (SELECT tau, round(avg({F05}), 9) AS macro_f05, sum(n_pred)::BIGINT AS matches FROM cv0 GROUP BY tau)"""
+
+
+@query(sql(*MATCHED, CURVE_SQL, then="SELECT tau, macro_f05, matches FROM curve"))
+def threshold_curve(spark, sf_dir):
+    return E.threshold_curve(_anchors(spark, sf_dir), _truth(spark, sf_dir), _scored(spark, sf_dir))
+
+
+@query(sql(*MATCHED, CURVE_SQL, then="SELECT tau, macro_f05, matches FROM curve ORDER BY macro_f05 DESC, tau LIMIT 1"))
+def threshold_best(spark, sf_dir):
+    return E.best_threshold(E.threshold_curve(_anchors(spark, sf_dir), _truth(spark, sf_dir), _scored(spark, sf_dir)))
+
+
+@query(sql(*SCORED, B.TRUTH_SQL, then="""SELECT cap, count(*) FILTER (WHERE n > cap) AS truncated_anchors, coalesce(sum(greatest(n - cap, 0)), 0)::BIGINT AS truncated_matches FROM (SELECT unnest([1, 2, 8, 16, 32, 64]) AS cap),
+  (SELECT s1_id, count(*) AS n FROM scored WHERE score >= 0.4 GROUP BY 1) GROUP BY cap"""))
+def cap_audit(spark, sf_dir):
+    n = _scored(spark, sf_dir).where("score >= 0.4").groupBy("s1_id").agg(F.count("*").alias("n"))
+    caps = spark.createDataFrame([(c,) for c in (1, 2, *E.CAPS)], "cap int")
+    return n.crossJoin(F.broadcast(caps)).groupBy("cap").agg(F.count_if(F.col("n") > F.col("cap")).alias("truncated_anchors"), F.sum(F.greatest(F.col("n") - F.col("cap"), F.lit(0).cast("long"))).alias("truncated_matches"))
