@@ -12,9 +12,13 @@ CAPS = (8, 16, 32, 64)
 
 
 def top_matches(scored: DataFrame, tau: float, most: int = RULE_MATCHES, order: str = "cand_ord") -> DataFrame:
-    """s1_id, target_id, score, rank: the best `most` pairs of each anchor from tau on; equal scores keep retrieval order."""
+    """s1_id, target_id, score, rank: the best `most` pairs of each anchor from tau on; equal scores keep retrieval order.
+
+    The threshold stands after the window, where it picks the same rows: before it, the optimiser would write the whole scoring
+    expression out once more for each of its parts."""
     r = F.row_number().over(Window.partitionBy("s1_id").orderBy(F.col("score").desc(), order))
-    return scored.where((F.col("score") >= tau) & (F.col("s1_id") != F.col("target_id"))).withColumn("rank", r).where(F.col("rank") <= most).select("s1_id", "target_id", "score", "rank")
+    ranked = scored.where(F.col("s1_id") != F.col("target_id")).withColumn("rank", r).where(F.col("rank") <= most)
+    return ranked.where(F.col("score") >= tau).select("s1_id", "target_id", "score", "rank")
 
 
 def listed(pairs: DataFrame, name: str, order: str = "target_id") -> DataFrame:
@@ -99,9 +103,12 @@ def error_records(outcomes: DataFrame) -> DataFrame:
         F.when(extra & (c("n_true") == 0), "SINGLETON_FALSE_MERGE").when(extra, "MODEL_FALSE_POSITIVE")
         .when(missed & (c("c") == 0), "BLOCKING_MISS").when(missed & (c("n_pred") > 0), "MODEL_FALSE_NEGATIVE")
     )
-    each = outcomes.where(wrong).withColumn("error_type", kind).where("error_type is not null").select("s1_id", "target_id", "error_type")
-    gone = outcomes.where((c("n_true") > 0) & (c("n_pred") == 0) & (c("n_hit") > 0)).select("s1_id").distinct()
-    return each.unionByName(gone.select("s1_id", F.lit(None).cast("string").alias("target_id"), F.lit("SINGLETON_FALSE_DISMISSAL").alias("error_type")))
+    outcomes = outcomes.withColumn("place", F.row_number().over(Window.partitionBy("s1_id").orderBy("target_id")))
+    gone = (c("place") == 1) & (c("n_true") > 0) & (c("n_pred") == 0) & (c("n_hit") > 0)
+    record = lambda target, error: F.struct(target.alias("target_id"), error.alias("error_type"))
+    own = F.when(wrong & kind.isNotNull(), record(c("target_id"), kind))
+    whole = F.when(gone, record(F.lit(None).cast("string"), F.lit("SINGLETON_FALSE_DISMISSAL")))
+    return outcomes.select("s1_id", F.explode(F.array_compact(F.array(own, whole))).alias("e")).select("s1_id", "e.*")
 
 
 def root_causes(outcomes: DataFrame, scored: DataFrame, tau: float) -> DataFrame:

@@ -130,8 +130,8 @@ def baseline(features: DataFrame, high: float = 0.85, least_address: float = 0.3
 def rule_score(pairs: DataFrame, norm: DataFrame, fuzzy: bool = True, tau: float = TAU, expand: bool = True, expand_address: bool = True) -> DataFrame:
     """pairs with `score`: 0 where the pair is rejected, else the rule engine's score.
 
-    Cheap vetoes come first; the character ratio, the only Python step, is worked out for the rows that need it alone:
-    the rest goes around it and joins again by union. fuzzy=False leaves that step out.
+    Cheap vetoes come first; the character ratio, the only Python step, gets nulls for the rows that don't need it.
+    fuzzy=False leaves that step out.
     """
     c = F.col
     df = paired(pairs, norm)
@@ -157,10 +157,7 @@ def rule_score(pairs: DataFrame, norm: DataFrame, fuzzy: bool = True, tau: float
     df = df.withColumn("n2", F.when((c("n1") < 0.85) & named, joined).otherwise(c("n1"))).withColumn("asim", S.jaccard(c("aa"), c("ta")))
     near = (c("asim") >= 0.82) & (F.size("ta") > 0) & (F.size("aa") > 0)
     asks = ~c("veto") & (((c("n2") < 0.80) & named & ((c("over") > 0) | c("num_match")) & (F.length("aj") >= 6) & (F.length("tj") >= 6)) | near & (c("over") == 0))
-    if fuzzy:
-        df = df.where(~asks | asks.isNull()).withColumn("ratio", F.lit(0.0)).unionByName(df.where(asks).withColumn("ratio", char_ratio("aj", "tj")))
-    else:
-        df = df.withColumn("ratio", F.lit(0.0))
+    df = df.withColumn("ratio", char_ratio(F.when(asks, c("aj")), F.when(asks, c("tj"))) if fuzzy else F.lit(0.0))
     fuzz = (c("n2") < 0.80) & named & ((c("over") > 0) | c("num_match")) & (F.length("aj") >= 6) & (F.length("tj") >= 6) & (c("ratio") >= 0.78)
     df = df.withColumn("n", F.when(fuzz, F.greatest(c("n2"), c("ratio") * 0.90)).otherwise(c("n2")))
     n, s, no_addr = c("n"), c("asim"), F.size("ta") == 0

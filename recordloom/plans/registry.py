@@ -12,6 +12,7 @@ from ..functions.text import char_ngrams
 from ..operators import blocking as B
 from ..operators import checks as C
 from ..operators import evaluate as E
+from ..operators import models as M
 from ..operators import pairs as P
 from ..operators import tfidf as T
 from ..operators.normalise import NORM_SQL, normalise
@@ -431,3 +432,400 @@ def cap_audit(spark, sf_dir):
     n = _scored(spark, sf_dir).where("score >= 0.4").groupBy("s1_id").agg(F.count("*").alias("n"))
     caps = spark.createDataFrame([(c,) for c in (1, 2, *E.CAPS)], "cap int")
     return n.crossJoin(F.broadcast(caps)).groupBy("cap").agg(F.count_if(F.col("n") > F.col("cap")).alias("truncated_anchors"), F.sum(F.greatest(F.col("n") - F.col("cap"), F.lit(0).cast("long"))).alias("truncated_matches"))
+
+
+# --- audits ---
+
+CANDS = [*MATCHED, "cands AS (SELECT s1_id, target_id FROM rcands)"]
+OUTCOMES_SQL = """
+oc0 AS (SELECT s1_id, target_id, max(t) AS t, max(p) AS p, max(c) AS c FROM (SELECT s1_id, target_id, 1 AS t, 0 AS p, 0 AS c FROM truth UNION ALL SELECT s1_id, target_id, 0, 1, 0 FROM matches UNION ALL SELECT s1_id, target_id, 0, 0, 1 FROM cands) GROUP BY ALL),
+oc AS (SELECT *, sum(t) OVER (PARTITION BY s1_id) AS n_true, sum(p) OVER (PARTITION BY s1_id) AS n_pred, sum(t * c) OVER (PARTITION BY s1_id) AS n_hit, sum(t * p) OVER (PARTITION BY s1_id) AS n_tp FROM oc0)"""
+
+
+def _outcomes(spark, sf_dir):
+    return E.pair_outcomes(_anchors(spark, sf_dir), _truth(spark, sf_dir), _matches(spark, sf_dir), _rule_cands(spark, sf_dir))
+
+
+@query(sql(*CANDS, OUTCOMES_SQL, then="""SELECT s1_id, target_id, CASE WHEN t = 0 AND n_true = 0 THEN 'SINGLETON_FALSE_MERGE' WHEN t = 0 THEN 'MODEL_FALSE_POSITIVE' WHEN c = 0 THEN 'BLOCKING_MISS' ELSE 'MODEL_FALSE_NEGATIVE' END AS error_type
+  FROM oc WHERE NOT (n_true = n_tp AND n_pred = n_tp) AND t <> p AND NOT (t = 1 AND c = 1 AND n_pred = 0)
+  UNION ALL SELECT DISTINCT s1_id, NULL, 'SINGLETON_FALSE_DISMISSAL' FROM oc WHERE n_true > 0 AND n_pred = 0 AND n_hit > 0"""))
+def error_taxonomy(spark, sf_dir):
+    return E.error_records(_outcomes(spark, sf_dir))
+
+
+@query(sql(*CANDS, OUTCOMES_SQL, then="""SELECT CASE WHEN t = 0 AND n_true = 0 THEN 'SINGLETON_FALSE_MERGE' WHEN t = 0 THEN 'FALSE_MERGE' WHEN c = 0 THEN 'BLOCKING' WHEN coalesce(score, 0) = 0 THEN 'FEATURE' WHEN score < 0.45 THEN 'MODEL' WHEN score < 0.58 THEN 'THRESHOLD'
+  ELSE 'MULTI_MATCH_TRUNCATION' END AS cause, count(*) AS n FROM oc LEFT JOIN scored USING (s1_id, target_id) WHERE t <> p GROUP BY 1"""))
+def root_cause(spark, sf_dir):
+    return E.root_causes(_outcomes(spark, sf_dir), _scored(spark, sf_dir), P.TAU)
+
+
+@query(sql(*MATCHED, *STANDARD, T.TFIDF_SQL, MERGED, FEATURES_SQL, then="""SELECT CASE WHEN m.s1_id IS NOT NULL THEN 'SUCCESS' WHEN c.s1_id IS NULL THEN 'RETRIEVAL_MISS' WHEN country_contradiction = 1 THEN 'COUNTRY_VETO' WHEN address_numeric_contradiction = 1 THEN 'BUILDING_NUM_VETO'
+  WHEN coalesce(s.score, 0) < 0.58 THEN 'BELOW_THRESHOLD' ELSE 'MATCH_CAP_EXCLUDED' END AS stage, count(*) AS n FROM truth t LEFT JOIN rcands c USING (s1_id, target_id) LEFT JOIN feats f USING (s1_id, target_id) LEFT JOIN scored s USING (s1_id, target_id) LEFT JOIN matches m USING (s1_id, target_id) GROUP BY 1"""))
+def fn_stage_map(spark, sf_dir):
+    return E.stage_map(_truth(spark, sf_dir), _rule_cands(spark, sf_dir), _features(spark, sf_dir), _scored(spark, sf_dir), _matches(spark, sf_dir), P.TAU)
+
+
+@query(sql(*RULES, B.TRUTH_SQL, then="""SELECT count(*) AS anchors, sum(n_true)::BIGINT AS true_pairs, sum(n_hit)::BIGINT AS found_pairs, round(sum(n_hit) / sum(n_true), 9) AS recall,
+  round(count(*) FILTER (WHERE n_true > 0 AND n_hit = n_true) / count(*) FILTER (WHERE n_true > 0), 9) AS full_rate, round(count(*) FILTER (WHERE n_hit > 0 AND n_hit < n_true) / count(*) FILTER (WHERE n_true > 0), 9) AS partial_rate,
+  round(count(*) FILTER (WHERE n_true > 0 AND n_hit = 0) / count(*) FILTER (WHERE n_true > 0), 9) AS zero_rate, round(avg(k), 9) AS mean_candidates, list_sort(list(k))[(floor(count(*) * 0.5) + 1)::INT] AS median_candidates,
+  list_sort(list(k))[(floor(count(*) * 0.9) + 1)::INT] AS p90_candidates, max(k) AS max_candidates, round(1 - sum(k) / (count(*) * 10000000.0::DOUBLE), 12) AS reduction_ratio
+  FROM (SELECT entity_id, (SELECT count(*) FROM rcands c WHERE c.s1_id = e.entity_id) AS k, (SELECT count(*) FROM truth t WHERE t.s1_id = e.entity_id) AS n_true, (SELECT count(*) FROM truth t JOIN rcands c USING (s1_id, target_id) WHERE t.s1_id = e.entity_id) AS n_hit FROM ent e WHERE src = 'S1')"""))
+def recall_audit(spark, sf_dir):
+    return E.recall_audit(_anchors(spark, sf_dir), _truth(spark, sf_dir), _rule_cands(spark, sf_dir))
+
+
+@query(sql(*STANDARD, B.TRUTH_SQL, then="""SELECT count(*) AS anchors, sum(k)::BIGINT AS pairs, round(avg(k), 9) AS mean_candidates, max(k) AS max_candidates, count(*) FILTER (WHERE k = 0) AS zero_anchors,
+  round((SELECT count(*) FROM truth JOIN scands USING (s1_id, target_id)) / (SELECT count(*) FROM truth), 9) AS recall FROM (SELECT e.entity_id, count(c.target_id) AS k FROM ent e LEFT JOIN scands c ON c.s1_id = e.entity_id WHERE e.src = 'S1' GROUP BY 1)"""))
+def blocking_audit(spark, sf_dir):
+    audit = E.recall_audit(_anchors(spark, sf_dir), _truth(spark, sf_dir), _standard_cands(spark, sf_dir))
+    k = _anchors(spark, sf_dir).join(_standard_cands(spark, sf_dir).groupBy("s1_id").agg(F.count("*").alias("k")), "s1_id", "left").fillna(0)
+    return audit.select("anchors", "mean_candidates", "max_candidates", "recall").crossJoin(k.agg(F.sum("k").alias("pairs"), F.count_if(F.col("k") == 0).alias("zero_anchors")))
+
+
+@query(sql(*STANDARD, T.TFIDF_SQL, MERGED, B.TRUTH_SQL, then="""SELECT count(*) AS pairs, count(*) FILTER (WHERE in_standard AND NOT in_tfidf) AS standard_only, count(*) FILTER (WHERE in_tfidf AND NOT in_standard) AS tfidf_only,
+  count(*) FILTER (WHERE in_standard AND in_tfidf) AS both, count(t.s1_id) AS true_found FROM merged LEFT JOIN truth t USING (s1_id, target_id)"""))
+def multipass_audit(spark, sf_dir):
+    m = _merged(spark, sf_dir).join(_truth(spark, sf_dir).withColumn("t", F.lit(1)), ["s1_id", "target_id"], "left")
+    s, f = F.col("in_standard"), F.col("in_tfidf")
+    return m.agg(F.count("*").alias("pairs"), F.count_if(s & ~f).alias("standard_only"), F.count_if(f & ~s).alias("tfidf_only"), F.count_if(s & f).alias("both"), F.count("t").alias("true_found"))
+
+
+@query(sql(*SCORED, then="SELECT CASE WHEN score = 0 THEN '0 zero' WHEN score < 0.3 THEN '1 under .30' WHEN score < 0.5 THEN '2 under .50' WHEN score < 0.58 THEN '3 under tau' ELSE '4 from tau' END AS bucket, count(*) AS n FROM scored GROUP BY 1"))
+def score_histogram(spark, sf_dir):
+    s = F.col("score")
+    bucket = F.when(s == 0, "0 zero").when(s < 0.3, "1 under .30").when(s < 0.5, "2 under .50").when(s < 0.58, "3 under tau").otherwise("4 from tau")
+    return _scored(spark, sf_dir).groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"))
+
+
+@query(sql(*SCORED, B.TRUTH_SQL, then="SELECT t.s1_id IS NOT NULL AS is_true, count(*) AS n, round(min(score), 9) AS lowest, round(quantile_cont(score, 0.05), 9) AS p05, round(avg(score), 9) AS mean, round(quantile_cont(score, 0.95), 9) AS p95, round(max(score), 9) AS highest FROM scored LEFT JOIN truth t USING (s1_id, target_id) GROUP BY 1"))
+def score_separation(spark, sf_dir):
+    x = _scored(spark, sf_dir).join(_truth(spark, sf_dir).withColumn("t", F.lit(1)), ["s1_id", "target_id"], "left")
+    r = lambda c, name: F.round(c, 9).alias(name)
+    return x.groupBy(F.col("t").isNotNull().alias("is_true")).agg(F.count("*").alias("n"), r(F.min("score"), "lowest"), r(F.percentile("score", 0.05), "p05"), r(F.avg("score"), "mean"), r(F.percentile("score", 0.95), "p95"), r(F.max("score"), "highest"))
+
+
+PATTERNS = {
+    "P01_canonical_equal": ("name_canonical_exact_match = 1", None), "P02_jaccard_80": ("name_token_jaccard >= 0.8", None), "P03_subset": ("name_token_containment = 1", None), "P04_edit_85": ("name_levenshtein_sim >= 0.85", None),
+    "P05_postal": ("address_postal_code_match = 1", None), "P06_postal_and_name": ("address_postal_code_match = 1 and name_token_jaccard >= 0.5", None), "P07_address_82": ("address_token_jaccard >= 0.82", None),
+    "P08_no_address": ("address_is_missing = 1 and name_canonical_exact_match = 1", None), "P09_cosine_80": ("name_char_ngram_cosine >= 0.8", None), "P10_composite_85": ("overall_composite_similarity >= 0.85", None),
+}
+
+
+@query(sql(*FEATURE_PARTS, B.TRUTH_SQL, then=" UNION ALL ".join(f"SELECT '{k}' AS pattern, count(t.s1_id) AS true_pairs, count(*) - count(t.s1_id) AS false_pairs FROM feats f LEFT JOIN truth t USING (s1_id, target_id) WHERE {c}" for k, (c, _) in PATTERNS.items())))
+def pattern_mining(spark, sf_dir):
+    """Independent predicates over the features, counted in one pass."""
+    x = _features(spark, sf_dir).join(_truth(spark, sf_dir).withColumn("t", F.lit(1)), ["s1_id", "target_id"], "left")
+    hits = x.select("t", F.explode(F.array(*[F.struct(F.lit(k).alias("pattern"), F.expr(c).alias("holds")) for k, (c, _) in PATTERNS.items()])).alias("p"))
+    return hits.groupBy("p.pattern").agg(F.count_if(F.col("p.holds") & F.col("t").isNotNull()).alias("true_pairs"), F.count_if(F.col("p.holds") & F.col("t").isNull()).alias("false_pairs"))
+
+
+CONFIGS = {"full": "true", "no_address": "name_token_jaccard >= 0.0", "no_numeric": "country_contradiction = 0", "no_country": "address_numeric_contradiction = 0", "no_tfidf": "retrieved_by_standard = 1"}
+
+
+@query(sql(*FEATURE_PARTS, B.TRUTH_SQL, then=" UNION ALL ".join(f"SELECT '{k}' AS config, count(*) AS predicted, count(t.s1_id) AS tp FROM feats LEFT JOIN truth t USING (s1_id, target_id) WHERE {'name_levenshtein_sim' if k == 'no_address' else 'overall_composite_similarity'} >= 0.5 AND {'true' if k in ('no_numeric',) else '(address_numeric_contradiction = 0 OR ' + ('true' if k == 'no_address' else 'false') + ')'} AND {'true' if k == 'no_country' else 'country_contradiction = 0'} AND {c}" for k, c in CONFIGS.items())))
+def ablation(spark, sf_dir):
+    """Predictions and hits with one kind of evidence left out at a time; one pass over the features."""
+    x = _features(spark, sf_dir).join(_truth(spark, sf_dir).withColumn("t", F.lit(1)), ["s1_id", "target_id"], "left")
+    rules = []
+    for k, c in CONFIGS.items():
+        score = "name_levenshtein_sim" if k == "no_address" else "overall_composite_similarity"
+        numeric = "true" if k in ("no_numeric", "no_address") else "address_numeric_contradiction = 0"
+        country = "true" if k == "no_country" else "country_contradiction = 0"
+        rules.append(F.struct(F.lit(k).alias("config"), F.expr(f"{score} >= 0.5 and {numeric} and {country} and {c}").alias("yes")))
+    each = x.select("t", F.explode(F.array(*rules)).alias("r")).where("r.yes")
+    return each.groupBy("r.config").agg(F.count("*").alias("predicted"), F.count("t").alias("tp"))
+
+
+# --- outputs ---
+
+
+@query(sql(*MATCHED, then="SELECT s1_id AS source1_entity_id, coalesce(string_agg(target_id, ',' ORDER BY rank), '') AS matched_entity_ids FROM anchors LEFT JOIN matches USING (s1_id) GROUP BY s1_id"))
+def matching_rows(spark, sf_dir):
+    lists = E.listed(_matches(spark, sf_dir), "ids", "rank")
+    return _anchors(spark, sf_dir).join(lists, "s1_id", "left").select(F.col("s1_id").alias("source1_entity_id"), F.coalesce(F.array_join("ids", ","), F.lit("")).alias("matched_entity_ids"))
+
+
+@query(sql(*RULES, "anchors AS (SELECT entity_id AS s1_id FROM ent WHERE src = 'S1')", then="SELECT s1_id AS source1_entity_id, coalesce(string_agg(target_id, ',' ORDER BY cand_ord), '') AS candidate_entity_ids FROM anchors LEFT JOIN rcands USING (s1_id) GROUP BY s1_id"))
+def candidate_rows(spark, sf_dir):
+    lists = E.listed(_rule_cands(spark, sf_dir), "ids", "cand_ord")
+    return _anchors(spark, sf_dir).join(lists, "s1_id", "left").select(F.col("s1_id").alias("source1_entity_id"), F.coalesce(F.array_join("ids", ","), F.lit("")).alias("candidate_entity_ids"))
+
+
+@query(sql(*MATCHED, then="""SELECT s1_id, target_id, place FROM (SELECT s1_id, target_id, row_number() OVER (PARTITION BY s1_id ORDER BY kind, o, target_id) AS place, sum(1 - kind) OVER (PARTITION BY s1_id) AS n FROM
+  (SELECT s1_id, target_id, min(kind) AS kind, arg_min(o, kind) AS o FROM (SELECT s1_id, target_id, 0 AS kind, rank AS o FROM matches UNION ALL SELECT s1_id, target_id, 1, cand_ord FROM rcands) GROUP BY ALL)) WHERE place <= greatest(5, n)"""))
+def prune_candidates(spark, sf_dir):
+    return E.prune(_matches(spark, sf_dir), _rule_cands(spark, sf_dir), 5).withColumn("place", F.col("place").cast("long"))
+
+
+@query(sql(*FEATURE_PARTS, *MATCHED[:1], then="SELECT f.s1_id, f.target_id FROM feats f WHERE overall_composite_similarity >= 0.3 AND NOT EXISTS (SELECT 1 FROM scands s WHERE s.s1_id = f.s1_id AND s.target_id = f.target_id)"))
+def subset_violations(spark, sf_dir):
+    """Pairs that a looser decision would output though one pass alone never proposed them."""
+    chosen = _features(spark, sf_dir).where("overall_composite_similarity >= 0.3").select("s1_id", "target_id")
+    return chosen.join(_standard_cands(spark, sf_dir), ["s1_id", "target_id"], "left_anti")
+
+
+@query(sql(*MATCHED, *STANDARD, then="""SELECT * FROM (SELECT 'UNKNOWN_ANCHOR' AS rule, count(*) AS n FROM matches WHERE s1_id NOT IN (SELECT s1_id FROM anchors) UNION ALL SELECT 'UNKNOWN_TARGET', count(*) FROM matches WHERE target_id NOT IN (SELECT entity_id FROM ent WHERE src <> 'S1')
+  UNION ALL SELECT 'MATCH_NOT_A_CANDIDATE', count(*) FROM matches m WHERE NOT EXISTS (SELECT 1 FROM scands s WHERE s.s1_id = m.s1_id AND s.target_id = m.target_id)
+  UNION ALL SELECT 'ANCHOR_WITHOUT_CANDIDATES', count(*) FROM anchors WHERE s1_id NOT IN (SELECT s1_id FROM scands)) WHERE n > 0"""))
+def contract_report(spark, sf_dir):
+    targets = entities(spark, sf_dir).where("src <> 'S1'").select(F.col("entity_id").alias("target_id"))
+    return C.contract(_anchors(spark, sf_dir), targets, _matches(spark, sf_dir), _standard_cands(spark, sf_dir))
+
+
+@query(sql(*MATCHED, "ma AS (SELECT s1_id, list(target_id) AS x FROM rk GROUP BY 1), mb AS (SELECT s1_id, list(target_id) AS x FROM rk WHERE score >= 0.58 GROUP BY 1)".replace("FROM rk", "FROM (SELECT s1_id, target_id, score FROM scored WHERE score >= 0.4 QUALIFY row_number() OVER (PARTITION BY s1_id ORDER BY score DESC, cand_ord) <= 8)"),
+           then="SELECT count(*) FILTER (WHERE a.x IS NOT NULL AND b.x IS NOT NULL) AS both, count(*) FILTER (WHERE list_sort(a.x) <> list_sort(b.x)) AS changed, count(*) FILTER (WHERE b.x IS NULL) AS only_old, count(*) FILTER (WHERE a.x IS NULL) AS only_new, coalesce(sum(len(a.x)), 0)::BIGINT AS old_targets, coalesce(sum(len(b.x)), 0)::BIGINT AS new_targets FROM ma a FULL JOIN mb b USING (s1_id)"))
+def output_diff(spark, sf_dir):
+    return E.output_diff(E.listed(_matches(spark, sf_dir, 0.4), "ids"), E.listed(_matches(spark, sf_dir, 0.58), "ids"), "ids")
+
+
+@query(sql(*MATCHED, then="""SELECT count(*) AS anchors, count(*) FILTER (WHERE m = 0) AS singletons, count(*) FILTER (WHERE m > 0) AS matched, sum(c)::BIGINT AS candidate_pairs, sum(m)::BIGINT AS matches, round(avg(c), 9) AS mean_candidates, round(avg(m), 9) AS mean_matches
+  FROM (SELECT s1_id, (SELECT count(*) FROM rcands r WHERE r.s1_id = a.s1_id) AS c, (SELECT count(*) FROM matches x WHERE x.s1_id = a.s1_id) AS m FROM anchors a)"""))
+def inference_stats(spark, sf_dir):
+    n = lambda df, name: df.groupBy("s1_id").agg(F.count("*").alias(name))
+    e = _anchors(spark, sf_dir).join(n(_rule_cands(spark, sf_dir), "c"), "s1_id", "left").join(n(_matches(spark, sf_dir), "m"), "s1_id", "left").fillna(0)
+    return e.agg(F.count("*").alias("anchors"), F.count_if(F.col("m") == 0).alias("singletons"), F.count_if(F.col("m") > 0).alias("matched"), F.sum("c").alias("candidate_pairs"), F.sum("m").alias("matches"), F.round(F.avg("c"), 9).alias("mean_candidates"), F.round(F.avg("m"), 9).alias("mean_matches"))
+
+
+# --- validation, profiles, browsing ---
+
+
+@query(f"""WITH {ENTITIES_SQL}, v AS (SELECT src, entity_id, business_name, business_address, country FROM ent UNION ALL SELECT src, entity_id, business_name, business_address, country FROM ent WHERE num % 50 = 0)
+  SELECT src, 'DUPLICATE_ID' AS rule, count(*) AS n FROM (SELECT src, entity_id FROM v GROUP BY ALL HAVING count(*) > 1) GROUP BY 1 UNION ALL SELECT src, 'MISSING_ADDRESS', count(*) FROM v WHERE lower(business_address) IN ('', 'n/a') GROUP BY 1
+  UNION ALL SELECT src, 'MISSING_COUNTRY', count(*) FROM v WHERE lower(country) IN ('', 'null') GROUP BY 1 UNION ALL SELECT src, 'MISSING_NAME', count(*) FROM v WHERE trim(business_name) = '' GROUP BY 1""")
+def validation_report(spark, sf_dir):
+    """Over the entity view with every fiftieth row twice."""
+    ent = entities(spark, sf_dir)
+    return C.validation(ent.unionByName(ent.where("num % 50 = 0")))
+
+
+LINES_SQL = r"""
+ln AS (SELECT CASE num % 10 WHEN 1 THEN entity_id || chr(9) || business_name WHEN 2 THEN 'X' || entity_id || chr(9) || business_name || chr(9) || business_address || chr(9) || country WHEN 3 THEN '' ELSE '  ' || entity_id || chr(9) || business_name || ' ' || chr(9) || business_address || chr(9) || country END AS value FROM ent),
+lc AS (SELECT value, string_split(value, chr(9)) AS x FROM ln WHERE trim(value) <> ''),
+lf AS (SELECT value, len(x) AS n, list_transform(x, lambda c: CASE WHEN lower(trim(c)) IN ('nan', 'null', 'none', 'n/a', 'na', '#n/a', '<na>') THEN '' ELSE trim(c) END) AS c FROM lc),
+lr AS (SELECT c[1] AS entity_id, coalesce(c[2], '') AS business_name, coalesce(c[3], '') AS business_address, coalesce(c[4], '') AS country, CASE WHEN n <> 4 THEN 'COLUMN_COUNT' WHEN NOT regexp_matches(c[1], '^(S[123])-(\d+)$') THEN 'ID_FORM' WHEN lower(c[2]) = 'undefined' THEN 'NAME_MISSING' WHEN c[4] = '' THEN 'COUNTRY_MISSING' END AS reason FROM lf)"""
+
+
+def _checked_lines(spark, sf_dir):
+    from ..sources.entities import check_lines
+
+    e = entities(spark, sf_dir)
+    row = lambda first, name: F.concat_ws("\t", first, name, "business_address", "country")
+    m = F.col("num") % 10
+    value = F.when(m == 1, F.concat_ws("\t", "entity_id", "business_name")).when(m == 2, row(F.concat(F.lit("X"), "entity_id"), F.col("business_name"))).when(m == 3, F.lit("")).otherwise(row(F.concat(F.lit("  "), "entity_id"), F.concat("business_name", F.lit(" "))))
+    return check_lines(e.select(value.alias("value")))
+
+
+@query(f"WITH {ENTITIES_SQL}, {LINES_SQL} SELECT entity_id, business_name, business_address, country, reason FROM lr")
+def ingest_quarantine(spark, sf_dir):
+    return _checked_lines(spark, sf_dir).select("entity_id", "business_name", "business_address", "country", "reason")
+
+
+@query(f"WITH {ENTITIES_SQL}, {LINES_SQL} SELECT count(*) AS lines, count(*) FILTER (WHERE reason IS NULL) AS valid, count(reason) AS quarantined, count(*) FILTER (WHERE reason IS NULL AND business_name = '') AS empty_names, count(*) FILTER (WHERE reason IS NULL AND business_address = '') AS missing_addresses FROM lr")
+def ingest_stats(spark, sf_dir):
+    good = F.col("reason").isNull()
+    return _checked_lines(spark, sf_dir).agg(F.count("*").alias("lines"), F.count_if(good).alias("valid"), F.count("reason").alias("quarantined"), F.count_if(good & (F.col("business_name") == "")).alias("empty_names"), F.count_if(good & (F.col("business_address") == "")).alias("missing_addresses"))
+
+
+@query("SELECT count(*) AS orphans, count(DISTINCT doc_id) AS orphan_ids FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)")
+def referential_orphans(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("doc_id").join(table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_anti")
+    return d.agg(F.count("*").alias("orphans"), F.countDistinct("doc_id").alias("orphan_ids"))
+
+
+@query("SELECT count(*) AS shared FROM (SELECT md5(text) FROM documents WHERE doc_id % 2 = 0 INTERSECT SELECT md5(text) FROM documents WHERE doc_id % 2 = 1)")
+def split_overlap(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("doc_id", F.md5(F.encode("text", "utf-8")).alias("m"))
+    return d.where("doc_id % 2 = 0").select("m").intersect(d.where("doc_id % 2 = 1").select("m")).agg(F.count("*").alias("shared"))
+
+
+@query(rf"""WITH {ENTITIES_SQL} SELECT src, count(*) AS rows, min(length(business_name)) AS min_chars, max(length(business_name)) AS max_chars, round(avg(length(business_name)), 6) AS mean_chars, round(avg(len(list_filter(regexp_split_to_array(business_name, '\s+'), lambda x: x <> ''))), 6) AS mean_tokens,
+  count(*) FILTER (WHERE regexp_matches(business_name, '[0-9]')) AS digits, count(*) FILTER (WHERE regexp_matches(business_name, '[\x{{900}}-\x{{97F}}]')) AS devanagari, count(*) FILTER (WHERE regexp_matches(business_name, '[\x{{B80}}-\x{{BFF}}]')) AS tamil,
+  count(*) FILTER (WHERE regexp_matches(business_name, '[^\x00-\x7F]')) AS non_ascii, count(*) FILTER (WHERE regexp_matches(lower(business_name), '{C.URL_START}') OR regexp_matches(lower(business_name), '{C.URL_END}')) AS urls,
+  round(100 * count(*) FILTER (WHERE business_address IN ('', 'N/A')) / count(*), 6) AS missing_address_pct FROM ent GROUP BY src""")
+def source_profile(spark, sf_dir):
+    return C.source_profile(entities(spark, sf_dir))
+
+
+@query(sql(B.TRUTH_SQL, then="""SELECT count(*) AS anchors, count(*) FILTER (WHERE n = 0) AS singletons, count(*) FILTER (WHERE n = 1) AS single, count(*) FILTER (WHERE n >= 2) AS multi, sum(n2)::BIGINT AS s2_targets, sum(n3)::BIGINT AS s3_targets, round(avg(n), 9) AS mean_targets, max(n) AS max_targets,
+  count(*) FILTER (WHERE n2 > 0 AND n3 = 0) AS s2_only, count(*) FILTER (WHERE n3 > 0 AND n2 = 0) AS s3_only, count(*) FILTER (WHERE n2 > 0 AND n3 > 0) AS both, (SELECT count(DISTINCT target_id) FROM truth) AS distinct_targets
+  FROM (SELECT e.entity_id, count(t.target_id) AS n, count(*) FILTER (WHERE t.target_id LIKE 'S2-%') AS n2, count(*) FILTER (WHERE t.target_id LIKE 'S3-%') AS n3 FROM ent e LEFT JOIN truth t ON t.s1_id = e.entity_id WHERE e.src = 'S1' GROUP BY 1)"""))
+def gt_profile(spark, sf_dir):
+    return C.truth_profile(_anchors(spark, sf_dir), _truth(spark, sf_dir))
+
+
+@query(f"WITH {ENTITIES_SQL} SELECT src, country, count(*) AS n, round(100 * count(*) / sum(count(*)) OVER (PARTITION BY src), 6) AS pct FROM ent GROUP BY src, country")
+def country_share(spark, sf_dir):
+    return C.country_share(entities(spark, sf_dir))
+
+
+@query(f"""WITH {ENTITIES_SQL}, l AS (SELECT *, length(business_name) AS len FROM ent) SELECT src, count(*) AS rows, round(avg(len), 6) AS mean_len, list_sort(list(len))[(floor(count(*) * 0.5) + 1)::INT] AS median_len, list_sort(list(len))[(floor(count(*) * 0.95) + 1)::INT] AS p95_len,
+  round((count(*) - count(DISTINCT business_name)) / count(*), 9) AS repeat_rate FROM l GROUP BY src""")
+def shift_report(spark, sf_dir):
+    return C.shift_report(entities(spark, sf_dir))
+
+
+def _top_sql(col, words):
+    return f"WITH {ENTITIES_SQL} SELECT word, count(*) AS n FROM (SELECT unnest([{', '.join(repr(w) for w in words)}]) AS word), ent WHERE contains(lower({col}), word) GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10"
+
+
+@query(_top_sql("business_address", C.KEYWORDS))
+def top_keywords(spark, sf_dir):
+    return C.substring_counts(entities(spark, sf_dir), "business_address", C.KEYWORDS)
+
+
+@query(_top_sql("business_name", list(C.LEGAL_FORMS)))
+def top_legal_forms(spark, sf_dir):
+    return C.top_legal_forms(entities(spark, sf_dir))
+
+
+@query(sql(B.TRUTH_SQL, then=f"""SELECT substr(t.target_id, 1, 2) AS target_src, count(*) AS pairs, count(*) FILTER (WHERE a.name_raw = b.name_raw) AS exact_raw, count(*) FILTER (WHERE a.name_canonical = b.name_canonical) AS exact_canonical, round(avg({_jac('a.name_tokens', 'b.name_tokens')}), 9) AS mean_jaccard,
+  count(*) FILTER (WHERE regexp_matches(b.name_raw, '[^\\x00-\\x7F]')) AS non_ascii, count(*) FILTER (WHERE len(a.addr_numbers) > 0 AND len(b.addr_numbers) > 0 AND len(list_intersect(a.addr_numbers, b.addr_numbers)) > 0) AS numbers_match,
+  count(*) FILTER (WHERE len(a.addr_numbers) > 0 AND len(b.addr_numbers) > 0 AND len(list_intersect(a.addr_numbers, b.addr_numbers)) = 0) AS numbers_conflict, count(*) FILTER (WHERE len(a.addr_numbers) = 0 OR len(b.addr_numbers) = 0) AS numbers_na
+  FROM truth t JOIN norm a ON a.entity_id = t.s1_id JOIN norm b ON b.entity_id = t.target_id GROUP BY 1"""))
+def link_transformations(spark, sf_dir):
+    return C.link_transformations(P.paired(_truth(spark, sf_dir), _norm(spark, sf_dir)))
+
+
+@query(f"WITH {ENTITIES_SQL} SELECT entity_id, business_name, country FROM ent WHERE contains(lower(business_name), 'th') AND contains(lower(business_address), 'src1') AND lower(country) = 'u.s.a.'")
+def browse_filter(spark, sf_dir):
+    from ..operators.browse import matching
+
+    return matching(entities(spark, sf_dir), name="TH", address="src1", country="U.S.A.").select("entity_id", "business_name", "country")
+
+
+@query(f"WITH {ENTITIES_SQL} SELECT entity_id, n FROM (SELECT *, row_number() OVER (ORDER BY src, num) AS n FROM ent) WHERE contains(lower(n || ' #' || n || ' ' || entity_id || ' ' || business_name || ' ' || business_address || ' ' || country), 'and ')")
+def browse_search(spark, sf_dir):
+    from ..operators.browse import numbered, search
+
+    return search(numbered(entities(spark, sf_dir)), "AND ").select("entity_id", "n")
+
+
+@query(f"WITH {ENTITIES_SQL} SELECT entity_id, n FROM (SELECT *, row_number() OVER (ORDER BY src, num) AS n FROM ent) WHERE n BETWEEN 51 AND 75")
+def browse_page(spark, sf_dir):
+    from ..operators.browse import numbered, page
+
+    return page(numbered(entities(spark, sf_dir)), offset=50, limit=25).select("entity_id", "n")
+
+
+@query(f"WITH {ENTITIES_SQL} SELECT entity_id, n FROM (SELECT *, row_number() OVER (ORDER BY src, num) AS n FROM ent) WHERE n IN (5, 7) OR n BETWEEN 10 AND 20")
+def browse_rows(spark, sf_dir):
+    from ..operators.browse import numbered, row_list
+
+    return row_list(numbered(entities(spark, sf_dir)), "5,10-20,#7,1-900").select("entity_id", "n")
+
+
+@query(f"WITH {ENTITIES_SQL} SELECT coalesce(src, 'ALL') AS src, count(*) AS rows FROM ent GROUP BY ROLLUP (src)")
+def source_summary(spark, sf_dir):
+    return entities(spark, sf_dir).rollup("src").agg(F.count("*").alias("rows")).select(F.coalesce("src", F.lit("ALL")).alias("src"), "rows")
+
+
+# --- splits, samples, models ---
+
+
+def _country_anchors(spark, sf_dir):
+    return _norm(spark, sf_dir).where("src = 'S1'").select(F.col("entity_id").alias("s1_id"), F.col("country_canonical").alias("country"))
+
+
+SPLIT_SQL = """
+sp0 AS (SELECT entity_id AS s1_id, country_canonical || '/' || CASE WHEN n >= 4 THEN '4+' WHEN n >= 2 THEN '2-3' ELSE n::VARCHAR END AS stratum FROM (SELECT entity_id, country_canonical, (SELECT count(*) FROM truth t WHERE t.s1_id = norm.entity_id) AS n FROM norm WHERE src = 'S1')),
+parts AS (SELECT s1_id, stratum, CASE WHEN row_number() OVER (PARTITION BY stratum ORDER BY md5('split|' || s1_id), s1_id) <= greatest(round(count(*) OVER (PARTITION BY stratum) * 0.2), CASE WHEN count(*) OVER (PARTITION BY stratum) >= 4 THEN 1 ELSE 0 END) THEN 'valid' ELSE 'train' END AS part FROM sp0)"""
+SAMPLE_SQL = """
+lp0 AS (SELECT r.s1_id, r.target_id, CASE WHEN t.s1_id IS NULL THEN 0 ELSE 1 END AS label FROM rcands r LEFT JOIN truth t USING (s1_id, target_id)),
+lp AS (SELECT s1_id, target_id, label FROM lp0 QUALIFY label = 1 OR row_number() OVER (PARTITION BY s1_id, label ORDER BY md5('pairs|' || s1_id || '|' || target_id), target_id) <= 5 * greatest(1, sum(label) OVER (PARTITION BY s1_id)))"""
+
+
+@query(sql(B.TRUTH_SQL, SPLIT_SQL, then="SELECT s1_id, stratum, part FROM parts"))
+def hash_split(spark, sf_dir):
+    return M.split(_country_anchors(spark, sf_dir), _truth(spark, sf_dir))
+
+
+@query(sql(B.TRUTH_SQL, SPLIT_SQL, then="""SELECT count(*) FILTER (WHERE part = 'train') AS train, count(*) FILTER (WHERE part = 'valid') AS valid, count(DISTINCT stratum) AS strata,
+  (SELECT count(*) FROM (SELECT target_id FROM truth JOIN parts USING (s1_id) GROUP BY 1 HAVING count(DISTINCT part) > 1)) AS shared_targets FROM parts"""))
+def split_audit(spark, sf_dir):
+    return M.split_audit(M.split(_country_anchors(spark, sf_dir), _truth(spark, sf_dir)), _truth(spark, sf_dir))
+
+
+@query(sql(*RULES, B.TRUTH_SQL, SAMPLE_SQL, then="SELECT s1_id, target_id, label FROM lp"))
+def pair_sample(spark, sf_dir):
+    return M.labelled_pairs(_rule_cands(spark, sf_dir), _truth(spark, sf_dir))
+
+
+@query(sql(*RULES, B.TRUTH_SQL, SAMPLE_SQL, then="SELECT count(*) AS pairs, sum(label)::BIGINT AS positives, sum(1 - label)::BIGINT AS negatives, count(DISTINCT s1_id) AS anchors, count(DISTINCT target_id) AS targets FROM lp"))
+def pair_summary(spark, sf_dir):
+    return M.pair_summary(M.labelled_pairs(_rule_cands(spark, sf_dir), _truth(spark, sf_dir)))
+
+
+LEARNED = ["name_token_jaccard", "name_levenshtein_sim", "name_char_ngram_cosine", "address_token_jaccard", "address_levenshtein_sim", "address_numeric_jaccard", "country_compatible", "tfidf_retrieval_score"]
+
+
+def _labelled_features(spark, sf_dir):
+    truth = _truth(spark, sf_dir).distinct().withColumn("t", F.lit(1))
+    return _features(spark, sf_dir).join(truth, ["s1_id", "target_id"], "left").withColumn("label", F.coalesce("t", F.lit(0))).select("s1_id", "target_id", "label", *LEARNED)
+
+
+@query()
+def lr_fit_score(spark, sf_dir):
+    x = _labelled_features(spark, sf_dir).persist()
+    return x.select("s1_id", "target_id", "label", M.fit_logistic(x, LEARNED).score().alias("score"))
+
+
+@query()
+def stumps_fit_score(spark, sf_dir):
+    x = _labelled_features(spark, sf_dir).persist()
+    return x.select("s1_id", "target_id", "label", M.fit_stumps(x, LEARNED, trees=10).score().alias("score"))
+
+
+@query()
+def gbt_fit_score(spark, sf_dir):
+    from pyspark.ml.functions import vector_to_array
+
+    x = _labelled_features(spark, sf_dir).persist()
+    return M.library_model(x, LEARNED).transform(x).select("s1_id", "target_id", "label", F.round(vector_to_array("probability")[1], 4).alias("score"))
+
+
+# --- the rest: Python-only functions, streams, points ---
+
+
+@query()
+def fuzzy_ratio(spark, sf_dir):
+    from ..functions.fuzzy import char_ratio
+
+    pairs = P.paired(_rule_cands(spark, sf_dir), _norm(spark, sf_dir))
+    return pairs.select("s1_id", "target_id", char_ratio(F.array_join("a.name_tokens", ""), F.array_join("t.name_tokens", "")).alias("ratio"))
+
+
+@query()
+def indic_fold(spark, sf_dir):
+    """Names with a Devanagari legal form put on, folded to Latin; the oracle corpus has no Indic text of its own."""
+    from ..functions.fuzzy import fold_any
+
+    e = entities(spark, sf_dir).withColumn("business_name", F.concat("business_name", F.lit(" प्राइवेट लिमिटेड")))
+    from ..operators.normalise import normalise_names
+
+    return normalise_names(e, folded=fold_any("name_raw")).select("entity_id", "name_clean", "name_canonical", "name_suffix")
+
+
+@query()
+def point_cloud(spark, sf_dir):
+    from ..sources.sinks import point_cloud as points
+
+    return points(entities(spark, sf_dir))
+
+
+@query("""SELECT user_id, start, count(*) AS n, count(*) > 240 AS limited FROM (SELECT user_id, ts, unnest(range(0, 6)) AS k FROM events),
+  LATERAL (SELECT time_bucket(INTERVAL '10 seconds', ts) - k * INTERVAL '10 seconds' AS start) GROUP BY user_id, start""")
+def request_window(spark, sf_dir):
+    from ..streaming.match import request_counts
+
+    return request_counts(table(spark, sf_dir, "events"))
+
+
+@query(sql(*MATCHED, then="SELECT s1_id, target_id, round(score, 9) AS score, rank FROM matches"))
+def stream_match(spark, sf_dir):
+    """The body of the stream, over all anchors as one micro-batch."""
+    from ..streaming.match import match_batch
+
+    e = entities(spark, sf_dir)
+    norm = _norm(spark, sf_dir).where("src <> 'S1'")
+    found = match_batch(e.where("src = 'S1'"), B.rule_keys(norm), norm, fuzzy=False)
+    return found.select("s1_id", "target_id", F.round("score", 9).alias("score"), F.col("rank").cast("long").alias("rank"))
