@@ -23,7 +23,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import lean, text_of
+from .common import lean, text_of, trim
 
 #: Fixed values of the vocabulary's format: the end mark, white space as the format's patterns see it, the word pattern.
 END = "</w>"
@@ -51,14 +51,17 @@ def _rare() -> re.Pattern:
     any are cut by the tokenizer's own tables."""
     from tokenizers import Regex, pre_tokenizers
 
-    chars = "".join(map(chr, [*range(0x250, 0xD800), *range(0xE000, 0x110000)]))
-    odd = {c for c in chars if unicodedata.category(c) == "Cn"}
-    for kind in (r"\p{L}", r"\p{N}"):
-        theirs: set[str] = set()
-        for run, _ in pre_tokenizers.Split(Regex(kind + "+"), "removed", invert=True).pre_tokenize_str(chars):
-            theirs.update(run)
-        odd |= theirs ^ set(regex.findall(kind, chars))
-    codes = sorted(map(ord, odd))
+    codes = np.concatenate([np.arange(0x250, 0xD800), np.arange(0xE000, 0x110000)])
+    chars = codes.astype("<u4").tobytes().decode("utf-32-le")
+    odd = np.fromiter((unicodedata.category(c) == "Cn" for c in chars), dtype=bool, count=len(chars))
+    for kind in (r"\p{L}+", r"\p{N}+"):
+        differ = np.zeros(len(chars), dtype=bool)
+        for _, (a, b) in pre_tokenizers.Split(Regex(kind), "removed", invert=True).pre_tokenize_str(chars):
+            differ[a:b] ^= True
+        for m in regex.finditer(kind, chars):
+            differ[m.start() : m.end()] ^= True
+        odd |= differ
+    codes = codes[odd].tolist()
     cuts = [0, *(i for i in range(1, len(codes)) if codes[i] != codes[i - 1] + 1), len(codes)]
     return re.compile("[" + "".join(f"{chr(codes[a])}-{chr(codes[b - 1])}" for a, b in zip(cuts, cuts[1:], strict=False)) + "]")
 
@@ -66,7 +69,7 @@ def _rare() -> re.Pattern:
 class TrieBpe:
     """Encoder and decoder of one vocabulary file. `cached` bounds the words whose encodings are kept between batches."""
 
-    def __init__(self, path: str, cached: int = 250_000, max_pairs: int = 250_000):
+    def __init__(self, path: str, cached: int = 120_000, max_pairs: int = 120_000):
         self.path = path
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -252,6 +255,7 @@ def encode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: s
             for part in _slices(batch):
                 ids = bpe.encode_batch(part.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary()), pa.array([bpe.decode(x) for x in ids], pa.string())], names=["doc_id", "ids", "decoded"])
+        trim()
 
     rows = lean(docs).select(docs[id_col].cast("long").alias("doc_id"), text_of(text_col).alias("text"))
     return rows.mapInArrow(run, "doc_id long, ids binary, decoded string")
@@ -269,6 +273,7 @@ def encode_digests(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", tex
                 ids = bpe.encode_batch(part.column(1).to_pylist())
                 out = [pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array([sha(x) for x in ids]), pa.array([sha(bpe.decode(x).encode()) for x in ids])]
                 yield pa.RecordBatch.from_arrays([part.column(0), *out], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        trim()
 
     rows = lean(docs).select(docs[id_col].cast("long").alias("doc_id"), text_of(text_col).alias("text"))
     return rows.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -56,6 +58,13 @@ def lean(df: DataFrame, rows: int = 1000, size: str = "8m") -> DataFrame:
     return df
 
 
+def trim() -> None:
+    """Give freed memory back to the system, at the end of a partition: workers live on and would keep it."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def mix64(h: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers that spreads all bits (the constants are those of splitmix64)."""
     h = h.astype(np.uint64, copy=True)

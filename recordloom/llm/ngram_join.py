@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE_BYTES, lean, mix64, reliable, slices, span_hashes, text_of
+from .common import SPACE_BYTES, lean, mix64, reliable, slices, span_hashes, text_of, trim
 from .components import components
 
 #: Production parameters: likeness in hundredths, words in an n-gram.
@@ -50,7 +50,7 @@ BUCKET_CHARS = 1 << 23
 #: Sets of a list whose pairs are rows at most; sets of a block.
 SHORT, BLOCK = 16, 2000
 #: Bytes of text that a worker packs at a time.
-SLICE = 1 << 23
+SLICE = 1 << 22
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -121,6 +121,7 @@ def set_table(docs: DataFrame, words: int = WORDS, id_col: str = "doc_id", text_
         for b in (x for batch in batches for x in slices(batch, 1, SLICE)):
             sets = token_sets(b.column(1).to_pylist(), words)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_id(s) for s in sets], pa.int64())], names=["doc_id", "n", "set"])
+        trim()
 
     return docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(text_col).alias("text")).mapInArrow(run, "doc_id long, n long, set long")
 
@@ -309,6 +310,7 @@ def candidate_sets(docs: DataFrame, likeness: int = LIKENESS, words: int = WORDS
         for b in batches:
             for part in slices(b, 0, SLICE):
                 yield _batch(list(_pack(part.column(0).to_pylist(), words, buckets, skewed.value)))
+        trim()
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, rows in _by_part(batches):
@@ -319,6 +321,7 @@ def candidate_sets(docs: DataFrame, likeness: int = LIKENESS, words: int = WORDS
                 out += _shared(part, blobs, buckets)
             for a in range(0, len(out), 256):
                 yield _batch(out[a : a + 256])
+        trim()
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [pa.int64(), pa.int64(), pa.float64(), pa.binary(), pa.list_(pa.int64())]
@@ -326,6 +329,7 @@ def candidate_sets(docs: DataFrame, likeness: int = LIKENESS, words: int = WORDS
             out = list(_survivors(rows, buckets, likeness, frequent, long))
             for a in range(0, len(out), 512):
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out[a : a + 512], strict=True), kinds, strict=True)], names=["set", "n", "central", "tokens", "keys"])
+        trim()
 
     parts = min(buckets, max(16, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     dealt = docs.select(text_of(text_col).alias("text")).mapInArrow(pack, _PACKED)

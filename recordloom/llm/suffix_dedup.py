@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lean, reliable, slices, span_hashes, text_of
+from .common import lean, reliable, slices, span_hashes, text_of, trim
 
 #: Production parameters: bytes of a repeat, bytes of an anchor, texts with an anchor that one task may hold.
 WIDTH, ANCHOR, HOT = 200, 64, 200_000
@@ -172,6 +172,7 @@ def _repeated_anchors(keyed: DataFrame, width: int, k: int) -> DataFrame:
                     for c, v in zip(cols, (hashes.view(np.int64), np.full(len(places), key[0]), np.full(len(places), key[1]), places), strict=True):
                         c.append(v)
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c) if c else np.empty(0, np.int64)) for c in cols], names=["anchor", "k1", "k2", "place"])
+        trim()
 
     def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["anchor", "k1", "k2", "place", "rank"]
