@@ -89,7 +89,7 @@ def expected_prefix(file_name: str) -> str | None:
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
-    """path, bytes, sha256, md5, lines of each file under path."""
+    """path, bytes, sha256, md5, lines of each file under path; the file source leaves out files of no bytes."""
     files = spark.read.format("binaryFile").load(path)
     text = F.col("content").cast("string")
     return files.select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"), F.md5("content").alias("md5"), F.regexp_count(text, F.lit("\n")).cast("long").alias("lines"))

@@ -40,7 +40,7 @@ def test_manifest(spark, tmp_path):
     old = spark.createDataFrame(old.collect(), old.schema)
     (d / "b.tsv").write_text("2\n")
     (d / "a.tsv").unlink()
-    (d / "c.tsv").write_text("")
+    (d / "c.tsv").write_text("3\n")
     assert {r.path[-5:]: r.change for r in S.manifest_changes(old, S.manifest(spark, str(d))).collect()} == {"a.tsv": "MISSING", "b.tsv": "CONTENT", "c.tsv": "ADDED"}
 
 
