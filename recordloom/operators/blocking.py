@@ -53,18 +53,19 @@ def standard_keys(norm: DataFrame) -> DataFrame:
     return norm.select("src", "num", "entity_id", F.explode(F.array_distinct(F.array_compact(F.array(*made)))).alias("key"))
 
 
-def postings(keys: DataFrame, cap: int) -> DataFrame:
-    """key, target_id, post_ord: the first `cap` targets of each key in source and row order. The cap is a top-k per key, which
+def postings(keys: DataFrame, cap: int, per_source: bool = False) -> DataFrame:
+    """key, target_id, post_ord: the first `cap` targets of each key (of each source, if asked) in source and row order. The cap is a top-k per key, which
     runs before the shuffle as well, so a key that all rows share sends `cap` rows per task."""
-    first = F.row_number().over(Window.partitionBy("key").orderBy("src", "num"))
+    first = F.row_number().over(Window.partitionBy("key", *["src"] * per_source).orderBy("src", "num"))
     return keys.where("src <> 'S1'").withColumn("post_ord", first).where(F.col("post_ord") <= cap).select("key", F.col("entity_id").alias("target_id"), "post_ord")
 
 
-def probe_rules(keys: DataFrame, posts: DataFrame, cap: int = RULE_CANDIDATES) -> DataFrame:
-    """s1_id, target_id, cand_ord: candidates of each anchor in the order of its keys and their postings, `cap` at most."""
+def probe_rules(keys: DataFrame, posts: DataFrame, cap: int = RULE_CANDIDATES, per_source: bool = False) -> DataFrame:
+    """s1_id, target_id, cand_ord: candidates of each anchor in the order of its keys and their postings, `cap` at most (of each
+    source, if asked)."""
     hits = keys.where("src = 'S1'").select(F.col("entity_id").alias("s1_id"), "key", "key_ord").join(posts, "key").where("s1_id <> target_id")
     each = hits.groupBy("s1_id", "target_id").agg(F.min(F.struct("key_ord", "post_ord")).alias("at"))
-    return each.withColumn("cand_ord", F.row_number().over(Window.partitionBy("s1_id").orderBy("at", "target_id"))).where(F.col("cand_ord") <= cap).select("s1_id", "target_id", "cand_ord")
+    return each.withColumn("cand_ord", F.row_number().over(Window.partitionBy("s1_id", *[F.substring("target_id", 1, 2)] * per_source).orderBy("at", "target_id"))).where(F.col("cand_ord") <= cap).select("s1_id", "target_id", "cand_ord")
 
 
 def probe_standard(keys: DataFrame, posts: DataFrame, cap: int = STANDARD_CANDIDATES) -> DataFrame:

@@ -185,3 +185,35 @@ def output_diff(old: DataFrame, new: DataFrame, col: str) -> DataFrame:
     j = old.select("s1_id", F.col(col).alias("x")).join(new.select("s1_id", F.col(col).alias("y")), "s1_id", "full")
     size = lambda c: F.coalesce(F.sum(F.size(c)), F.lit(0)).cast("long")
     return j.agg(F.count_if(F.col("x").isNotNull() & F.col("y").isNotNull()).alias("both"), F.count_if(F.array_sort("x") != F.array_sort("y")).alias("changed"), F.count_if(F.col("y").isNull()).alias("only_old"), F.count_if(F.col("x").isNull()).alias("only_new"), size("x").alias("old_targets"), size("y").alias("new_targets"))
+
+
+def sweep(details: DataFrame, truth: DataFrame, parts: DataFrame, addresses: tuple[float, ...], jaccards: tuple[float, ...], tau: float = 0.58, most: int = RULE_MATCHES) -> DataFrame:
+    """min_addr, min_jaccard, part, tp, fp, fn for each pair of bounds of the expansion rules, on each part (s1_id, part). Pairs are scored
+    once; each setting is an element of an array, so the grid costs no join."""
+    c = F.col
+    grid = F.array(*[F.struct(F.lit(a).alias("min_addr"), F.lit(j).alias("min_jaccard")) for a in addresses for j in jaccards])
+    x = details.where("not veto").select("s1_id", "target_id", "cand_ord", "score", "addr_sim", "overlap", "same_postal", "jaccard", F.explode(grid).alias("g"))
+    lifted = ((c("addr_sim") >= c("g.min_addr")) & (c("overlap") >= 1)) | (c("same_postal") & (c("jaccard") >= c("g.min_jaccard")))
+    x = x.select("s1_id", "target_id", "cand_ord", "g.*", F.when(c("score") >= tau, c("score")).when(lifted, F.lit(0.585)).otherwise(F.lit(0.0)).alias("final"))
+    rank = F.row_number().over(Window.partitionBy("min_addr", "min_jaccard", "s1_id").orderBy(c("final").desc(), "cand_ord"))
+    pred = x.withColumn("r", rank).where(c("r") <= most).where(c("final") >= tau)
+    hits = pred.join(truth.distinct().withColumn("hit", F.lit(1)), ["s1_id", "target_id"], "left").join(parts.select("s1_id", "part"), "s1_id")
+    got = hits.groupBy("min_addr", "min_jaccard", "part").agg(F.count("hit").alias("tp"), F.count_if(c("hit").isNull()).alias("fp"))
+    total = truth.distinct().join(parts.select("s1_id", "part"), "s1_id").groupBy("part").agg(F.count("*").alias("n"))
+    every = total.select("part", "n", F.explode(grid).alias("g")).select("part", "n", "g.*")
+    out = every.join(got, ["min_addr", "min_jaccard", "part"], "left").fillna(0, ["tp", "fp"])
+    return out.select("min_addr", "min_jaccard", "part", "tp", "fp", (c("n") - c("tp")).alias("fn"))
+
+
+def false_positive_kinds(details: DataFrame, truth: DataFrame, predicted: DataFrame) -> DataFrame:
+    """kind, n of predictions that aren't true, by what their names and addresses share."""
+    wrong = predicted.select("s1_id", "target_id").join(truth, ["s1_id", "target_id"], "left_anti").join(details, ["s1_id", "target_id"])
+    words = lambda col, keep: F.filter(F.split(F.lower(col), r"\s+"), keep)
+    long, short = (lambda x: F.length(x) >= 3), (lambda x: (F.length(x) <= 2) & (x != ""))
+    same = F.array_sort(F.array_distinct(words("a_name", long))) == F.array_sort(F.array_distinct(words("t_name", long)))
+    c = F.col
+    kind = (
+        F.when(same & (words("a_name", short) != words("t_name", short)), "SHORT_ACRONYM_ERASURE").when(same & c("no_address"), "IDENTICAL_NAME_MISSING_ADDR").when(same & (c("addr_sim") > 0), "SHARED_NAME_DIFF_ADDR")
+        .when((c("addr_sim") > 0.8) & (c("name_sim") < 0.5), "SHARED_ADDR_DIFF_NAME").when(c("name_sim") > 0.85, "GENERIC_BRAND_COLLISION").otherwise("OTHER_PARTIAL_OVERLAP")
+    )
+    return wrong.groupBy(kind.alias("kind")).agg(F.count("*").alias("n"))

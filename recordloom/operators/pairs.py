@@ -127,8 +127,8 @@ def baseline(features: DataFrame, high: float = 0.85, least_address: float = 0.3
     return features.select("s1_id", "target_id", match.alias("is_match"), confidence.alias("confidence"), name.alias("rule"))
 
 
-def rule_score(pairs: DataFrame, norm: DataFrame, fuzzy: bool = True, tau: float = TAU, expand: bool = True, expand_address: bool = True) -> DataFrame:
-    """pairs with `score`: 0 where the pair is rejected, else the rule engine's score.
+def rule_score(pairs: DataFrame, norm: DataFrame, fuzzy: bool = True, tau: float = TAU, expand: bool = True, expand_address: bool = True, details: bool = False) -> DataFrame:
+    """pairs with `score`: 0 where the pair is rejected, else the rule engine's score; details adds what it was made from.
 
     Cheap vetoes come first; the character ratio, the only Python step, gets nulls for the rows that don't need it.
     fuzzy=False leaves that step out.
@@ -187,4 +187,5 @@ def rule_score(pairs: DataFrame, norm: DataFrame, fuzzy: bool = True, tau: float
     score = F.lit(0.0)
     for holds, value in reversed(rules):
         score = F.when(holds, value).otherwise(score)
-    return df.select(*pairs.columns, score.alias("score"))
+    more = [n.alias("name_sim"), s.alias("addr_sim"), c("jac").alias("jaccard"), c("over").alias("overlap"), postal.alias("same_postal"), c("veto"), no_addr.alias("no_address"), c("a.name_raw").alias("a_name"), c("t.name_raw").alias("t_name")] if details else []
+    return df.select(*pairs.columns, score.alias("score"), *more)

@@ -829,3 +829,99 @@ def stream_match(spark, sf_dir):
     norm = _norm(spark, sf_dir).where("src <> 'S1'")
     found = match_batch(e.where("src = 'S1'"), B.rule_keys(norm), norm, fuzzy=False)
     return found.select("s1_id", "target_id", F.round("score", 9).alias("score"), F.col("rank").cast("long").alias("rank"))
+
+
+# --- more reports ---
+
+
+def _details(spark, sf_dir):
+    return P.rule_score(_rule_cands(spark, sf_dir), _norm(spark, sf_dir), fuzzy=False, expand_address=False, details=True)
+
+
+DETAILS_SQL = """
+details AS (SELECT s1_id, target_id, cand_ord, veto, s AS addr_sim, n AS name_sim, jac, over, postal, len(ta) = 0 AS no_address, a.name_raw AS a_name, t.name_raw AS t_name, CASE WHEN veto OR n < 0.45 THEN 0.0 WHEN mixed >= 0.58 THEN mixed
+  WHEN named AND ac = tc AND length(ac) >= 10 AND postal AND length(ap) >= 5 THEN 0.59 WHEN both_num AND common AND postal AND subset THEN 0.585 WHEN len(an) >= 3 AND len(an) = len(tn) AND over = len(an) AND postal THEN 0.585
+  WHEN mixed >= 0.56 AND mixed < 0.58 AND len(ta) > 0 AND s >= 0.15 THEN 0.5801::DOUBLE + (mixed - 0.56::DOUBLE) * 0.1::DOUBLE ELSE 0.0 END::DOUBLE AS score FROM q5)"""
+ADDRESSES, JACCARDS = (0.80, 0.82, 0.84, 0.85, 0.86), (0.75, 0.80, 0.85)
+
+
+@query(sql(*MATCHED, SPLIT_SQL, DETAILS_SQL, f"grid2 AS (SELECT a AS min_addr, j AS min_jaccard FROM (SELECT unnest([{', '.join(f'{a}::DOUBLE' for a in ADDRESSES)}]) AS a), (SELECT unnest([{', '.join(f'{j}::DOUBLE' for j in JACCARDS)}]) AS j))",
+           """sw AS (SELECT min_addr, min_jaccard, s1_id, target_id, CASE WHEN score >= 0.58 THEN score WHEN (addr_sim >= min_addr AND over >= 1) OR (postal AND jac >= min_jaccard) THEN 0.585 ELSE 0.0 END AS final, cand_ord FROM details, grid2 WHERE NOT veto),
+sp AS (SELECT * FROM sw QUALIFY row_number() OVER (PARTITION BY min_addr, min_jaccard, s1_id ORDER BY final DESC, cand_ord) <= 8)""",
+           then="""SELECT min_addr, min_jaccard, part, (SELECT count(*) FROM sp JOIN truth USING (s1_id, target_id) JOIN parts p USING (s1_id) WHERE sp.min_addr = g.min_addr AND sp.min_jaccard = g.min_jaccard AND p.part = q.part AND final >= 0.58) AS tp,
+  (SELECT count(*) FROM sp JOIN parts p USING (s1_id) LEFT JOIN truth t USING (s1_id, target_id) WHERE sp.min_addr = g.min_addr AND sp.min_jaccard = g.min_jaccard AND p.part = q.part AND final >= 0.58 AND t.target_id IS NULL) AS fp,
+  n - (SELECT count(*) FROM sp JOIN truth USING (s1_id, target_id) JOIN parts p USING (s1_id) WHERE sp.min_addr = g.min_addr AND sp.min_jaccard = g.min_jaccard AND p.part = q.part AND final >= 0.58) AS fn
+  FROM grid2 g, (SELECT part, count(*) AS n FROM truth JOIN parts USING (s1_id) GROUP BY 1) q"""))
+def parameter_sweep(spark, sf_dir):
+    parts = M.split(_country_anchors(spark, sf_dir), _truth(spark, sf_dir))
+    return E.sweep(_details(spark, sf_dir), _truth(spark, sf_dir), parts, ADDRESSES, JACCARDS)
+
+
+WORDS_SQL = r"list_filter(regexp_split_to_array(lower({c}), '\s+'), lambda x: {cond})"
+LONG_A, LONG_T = (f"list_sort(list_distinct({WORDS_SQL.format(c=c, cond='length(x) >= 3')}))" for c in ("a_name", "t_name"))
+SHORT_A, SHORT_T = (WORDS_SQL.format(c=c, cond="length(x) <= 2 AND x <> ''") for c in ("a_name", "t_name"))
+
+
+@query(sql(*MATCHED, DETAILS_SQL, then=f"""SELECT CASE WHEN same AND short_differ THEN 'SHORT_ACRONYM_ERASURE' WHEN same AND no_address THEN 'IDENTICAL_NAME_MISSING_ADDR' WHEN same AND addr_sim > 0 THEN 'SHARED_NAME_DIFF_ADDR' WHEN addr_sim > 0.8 AND name_sim < 0.5 THEN 'SHARED_ADDR_DIFF_NAME'
+  WHEN name_sim > 0.85 THEN 'GENERIC_BRAND_COLLISION' ELSE 'OTHER_PARTIAL_OVERLAP' END AS kind, count(*) AS n FROM (SELECT d.*, {LONG_A} = {LONG_T} AS same, {SHORT_A} <> {SHORT_T} AS short_differ FROM details d WHERE score >= 0.3 AND NOT EXISTS (SELECT 1 FROM truth t WHERE t.s1_id = d.s1_id AND t.target_id = d.target_id)) GROUP BY 1"""))
+def fp_categories(spark, sf_dir):
+    """Over all pairs that a threshold of 0.3 would output, so that there are some on any table."""
+    d = _details(spark, sf_dir).persist()
+    return E.false_positive_kinds(d, _truth(spark, sf_dir), d.where("score >= 0.3"))
+
+
+@query(f"WITH {ENTITIES_SQL}, u AS (SELECT src, lower(trim(business_name)) IN ('') AS a, lower(trim(business_address)) IN ('', 'n/a') AS b, lower(trim(country)) IN ('', 'null') AS c FROM ent) SELECT src, field, count(*) FILTER (WHERE m) AS missing, round(100 * count(*) FILTER (WHERE m) / count(*), 6) AS pct FROM (SELECT src, 'business_name' AS field, a AS m FROM u UNION ALL SELECT src, 'business_address', b FROM u UNION ALL SELECT src, 'country', c FROM u) GROUP BY 1, 2")
+def missingness(spark, sf_dir):
+    return C.missingness(entities(spark, sf_dir))
+
+
+@query(f"WITH {ENTITIES_SQL} SELECT business_name, count(*) AS n FROM ent GROUP BY 1 HAVING count(*) > 1")
+def duplicate_names(spark, sf_dir):
+    return entities(spark, sf_dir).groupBy("business_name").agg(F.count("*").alias("n")).where("n > 1")
+
+
+@query(sql(B.TRUTH_SQL, then="""SELECT target_src, token, n FROM (SELECT substr(target_id, 1, 2) AS target_src, token, count(*) AS n FROM (SELECT t.target_id, unnest(list_distinct(list_filter(b.name_tokens, lambda x: length(x) >= 3 AND NOT list_contains(a.name_tokens, x)))) AS token
+  FROM truth t JOIN norm a ON a.entity_id = t.s1_id JOIN norm b ON b.entity_id = t.target_id) GROUP BY 1, 2) QUALIFY row_number() OVER (PARTITION BY target_src ORDER BY n DESC, token) <= 15"""))
+def added_tokens(spark, sf_dir):
+    return C.added_tokens(P.paired(_truth(spark, sf_dir), _norm(spark, sf_dir)))
+
+
+@query(sql(B.TRUTH_SQL, then="""SELECT count(*) FILTER (WHERE src = 'S1') AS anchors, count(*) FILTER (WHERE src = 'S1' AND entity_id IN (SELECT s1_id FROM truth)) AS with_truth,
+  (SELECT count(DISTINCT target_id) FROM truth WHERE target_id NOT IN (SELECT entity_id FROM ent)) AS orphans, count(*) FILTER (WHERE src <> 'S1' AND entity_id NOT IN (SELECT target_id FROM truth)) AS never_named FROM ent"""))
+def dataset_coverage(spark, sf_dir):
+    return C.dataset_coverage(entities(spark, sf_dir), _truth(spark, sf_dir))
+
+
+@query(sql(B.TRUTH_SQL, then="SELECT target_id, max(s1_id) AS s1_id FROM truth GROUP BY 1"))
+def reverse_lookup(spark, sf_dir):
+    return C.reverse_lookup(_truth(spark, sf_dir))
+
+
+PER_SOURCE_SQL = """
+posts2 AS (SELECT key, entity_id AS target_id, row_number() OVER (PARTITION BY key, src ORDER BY num) AS post_ord FROM rkeys WHERE src <> 'S1' QUALIFY post_ord <= 300),
+hits2 AS (SELECT k.entity_id AS s1_id, p.target_id, min((k.key_ord, p.post_ord)) AS spot FROM rkeys k JOIN posts2 p USING (key) WHERE k.src = 'S1' GROUP BY ALL),
+rcands AS (SELECT s1_id, target_id, row_number() OVER (PARTITION BY s1_id, substr(target_id, 1, 2) ORDER BY spot, target_id) AS cand_ord FROM hits2 QUALIFY cand_ord <= 150)"""
+
+
+def _per_source_cands(spark, sf_dir):
+    keys = B.rule_keys(_norm(spark, sf_dir))
+    return B.probe_rules(keys, B.postings(keys, B.RULE_POSTINGS, per_source=True), per_source=True)
+
+
+@query(sql(B.RULE_KEYS_SQL, PER_SOURCE_SQL, then="SELECT s1_id, target_id, cand_ord FROM rcands"))
+def candidates_per_source(spark, sf_dir):
+    return _per_source_cands(spark, sf_dir).withColumn("cand_ord", F.col("cand_ord").cast("long"))
+
+
+@query(sql(B.RULE_KEYS_SQL, PER_SOURCE_SQL, SCORE_SQL, then="SELECT s1_id, target_id, round(score, 9) AS score, row_number() OVER (PARTITION BY s1_id ORDER BY score DESC, target_id) AS rank FROM scored WHERE score >= 0.58 QUALIFY rank <= 8"))
+def partitioned_matches(spark, sf_dir):
+    """Sources matched one by one under their own caps, merged and ranked again at full precision, source 2 before source 3."""
+    scored = P.rule_score(_per_source_cands(spark, sf_dir), _norm(spark, sf_dir), fuzzy=False)
+    return E.top_matches(scored, P.TAU, order="target_id").select("s1_id", "target_id", F.round("score", 9).alias("score"), F.col("rank").cast("long").alias("rank"))
+
+
+@query()
+def source_manifest(spark, sf_dir):
+    from ..sources.entities import manifest
+
+    return manifest(spark, f"{sf_dir}/nation.parquet")
