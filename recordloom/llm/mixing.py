@@ -28,6 +28,11 @@ def word_count(text_col: str = "text") -> Column:
     return F.regexp_count(text_of(text_col), F.lit(WORD)).cast("long")
 
 
+def _uniform(text: Column) -> Column:
+    """A number in (0, 1) from 52 bits of the text's md5, which SQL engines share."""
+    return (F.conv(F.substring(F.md5(F.encode(text, "utf-8")), 1, 13), 16, 10).cast("double") + F.lit(0.5)) / F.lit(float(1 << 52))
+
+
 def quality_weight(text_col: str = "text", size: Column | None = None) -> Column:
     """From 0.25 to 1: highest where words have 6 characters on average, white space included."""
     n = F.greatest(F.lit(1), word_count(text_col) if size is None else size)
@@ -85,13 +90,12 @@ def take_counts(docs: DataFrame, quality: Column | None = None, seed: int = 29,
     """
     size = word_count(text_col)
     calc, rest = free_name(docs, "calc"), [F.col(f"`{c}`") for c in docs.columns]
-    crc = F.crc32(F.encode(text_of(text_col), "utf-8"))
-    u = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(id_col), crc), 11) + F.lit(0.5)) / F.lit(float(1 << 53))
+    u = _uniform(F.concat_ws("|", F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.md5(F.encode(text_of(text_col), "utf-8"))))
     q = quality_weight(text_col, size) if quality is None else F.greatest(F.lit(1e-6), F.coalesce(quality, F.lit(1.0)))
     key = -F.log(u) / q
     bins = 1 << max(8, order_bits(docs.count()))
     bin_ = F.least(F.lit(bins - 1), F.floor((1 - F.exp(-key / 2)) * bins)).cast("int")
-    rows = docs.select(*rest, F.struct(key_of(source_col).alias("src"), size.alias("size"), bin_.alias("bin"), F.struct(key.alias("key"), F.coalesce(F.col(id_col), F.lit(-1)).alias("id"), crc.alias("crc")).alias("at")).alias(calc))
+    rows = docs.select(*rest, F.struct(key_of(source_col).alias("src"), size.alias("size"), bin_.alias("bin"), F.struct(key.alias("key"), F.coalesce(F.col(id_col).cast("long"), F.lit(-1)).alias("id")).alias("at")).alias(calc))
 
     slim = reliable(rows.select(f"{calc}.*"))
     targets = source_targets(slim.groupBy("src").agg(F.sum("size").alias("source_size")), share, most, pattern)
@@ -122,3 +126,26 @@ def mix_report(docs: DataFrame, **options) -> DataFrame:
     """doc_id, size, source_size, target, taken for each document."""
     taken = take_counts(docs.select("doc_id", "text", "source"), into="mix", **options)
     return taken.select("doc_id", "mix.size", "mix.source_size", "mix.target", (F.col("mix.size") * F.col("mix.copies")).cast("long").alias("taken"))
+
+
+def mix_sql(seed: int = 29, share: float = 1.5, most: int = 2, pattern: tuple[int, ...] = PATTERN, rounds: int = 3) -> str:
+    """The same rows, with one running sum per source and round."""
+    steps = []
+    for r in range(rounds):
+        free = " AND ".join([f"size <= left{r}", *[f"NOT taken{x}" for x in range(r)]])
+        before, own = (f"s{r - 1}", f"s{r}") if r else ("s", "s0")
+        steps.append(f"""
+a{r} AS (SELECT *, CASE WHEN {free} THEN sum(size) FILTER (WHERE {free}) OVER (PARTITION BY src ORDER BY key, id) END AS up{r} FROM {before}),
+{own} AS (SELECT *, coalesce(up{r} <= left{r}, false) AS taken{r}, left{r} - coalesce(max(up{r}) FILTER (WHERE up{r} <= left{r}) OVER (PARTITION BY src), 0) AS left{r + 1} FROM a{r})""")
+    weights = ", ".join(map(str, pattern))
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(doc_id, -1) AS id, coalesce(text, '') AS t, CASE WHEN source IS NULL THEN chr(1114111) ELSE '=' || source END AS src FROM documents),
+k0 AS (SELECT doc_id, id, src, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) AS size, length(t) AS nc, md5('{seed}|' || coalesce(doc_id::VARCHAR, '') || '|' || md5(t)) AS h FROM d),
+k AS (SELECT doc_id, id, src, size, -ln((('0x' || substr(h, 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496::DOUBLE) / (0.25::DOUBLE + 0.75::DOUBLE * exp(-pow((nc / greatest(1, size) - 6) / 4, 2))) AS key FROM k0),
+z AS (SELECT src, sum(size)::BIGINT AS source_size, ([{weights}])[(row_number() OVER (ORDER BY src) - 1) % {len(pattern)} + 1] AS w FROM k GROUP BY src),
+y AS (SELECT *, {most} * source_size AS cap, {most} * source_size / w AS ratio FROM z),
+x AS (SELECT *, ({share}::DOUBLE * sum(source_size) OVER () - (sum(cap) OVER (ORDER BY ratio, src ROWS UNBOUNDED PRECEDING) - cap)) / sum(w) OVER (ORDER BY ratio, src ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM y),
+v AS (SELECT src, source_size, CASE WHEN level >= ratio THEN cap::DOUBLE ELSE w * max(CASE WHEN level < ratio THEN level END) OVER () END AS target FROM x),
+g AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS epochs FROM v),
+s AS (SELECT k.*, g.source_size, g.target, g.epochs, g.target - g.epochs * g.source_size AS left0 FROM k JOIN g USING (src)),{",".join(steps)}
+SELECT doc_id, size, source_size, target, (size * (epochs + ({" OR ".join(f"taken{r}" for r in range(rounds))})::INT))::BIGINT AS taken FROM s{rounds - 1}"""

@@ -474,3 +474,16 @@ def near_duplicates(docs: DataFrame, likeness: int = LIKENESS, words: int = WORD
     named = named.join(groups, F.col("root") == F.col("group"), "left").select(F.col("set").alias("s"), F.coalesce("least", "own").alias("component_id"))
     full = table.where("n > 0").join(named, F.col("set") == F.col("s")).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     return full.union(table.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+
+
+def near_duplicates_sql(likeness: int = LIKENESS, words: int = WORDS) -> str:
+    """The same rows by all pairs that share an n-gram, and all nodes that each node reaches; for small tables."""
+    return f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+g AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {words} THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - {words} + 2), lambda i: array_to_string(w[i:i + {words - 1}], ' ')) END) AS gram FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY 1),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common FROM g a JOIN g b USING (gram) WHERE a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM p JOIN n a ON x = a.doc_id JOIN n b ON y = b.doc_id WHERE 100 * common >= {likeness} * (a.n + b.n - common)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r AS (SELECT doc_id, doc_id AS other FROM w UNION SELECT r.doc_id, e.y FROM r JOIN e ON r.other = e.x)
+SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.other) AS component_id FROM r LEFT JOIN n ON r.doc_id = n.doc_id GROUP BY r.doc_id"""
