@@ -7,7 +7,7 @@ caps leave, shared by weight among it and all later ones, reaches its cap. So it
 A source takes whole epochs first. What then remains is a sample without replacement: each document has a key
 -ln(u) / quality weight with u a hash in (0, 1), and documents are taken in the order of their keys while the sum fits the
 budget. The gap before the document that doesn't fit is filled in the same way, in the same order, from the documents
-that are no larger than the gap; a few such rounds leave a gap of a few words.
+that are no larger than the gap; a few such rounds leave a gap of a few words, except where only large documents are left.
 
 The running sum over a source isn't made in one task: keys fall into bins of a fixed map, the sums by bin are run up, and
 only the one bin of each source in which the budget ends is ordered. The result is a few cut keys for each source, so
@@ -83,8 +83,8 @@ def _fill(slim: DataFrame, state: DataFrame, bins: int, done: list[str], cut: st
 def take_counts(docs: DataFrame, quality: Column | None = None, seed: int = 29, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", share: float = 1.5, most: int = 2, pattern: tuple[int, ...] = PATTERN, rounds: int = 3, few_sources: int = 100_000, into: str = "mix") -> DataFrame:
     """docs with one more column, a struct: size, source_size, target, copies (times the mix takes the whole document).
 
-    No source passes its target; the first round comes as near as half a document's size on average, each further round
-    much nearer. Null text has size 0; null sources are one source, last in order; null ids count like others. Equal
+    The first round comes as near as half a document's size on average, each further round much nearer; at last the
+    smallest document that is left goes in too, if that brings the sum nearer to the target than without. Null text has size 0; null sources are one source, last in order; null ids count like others. Equal
     rows have equal keys and are taken or left together. A source of size 0 has target 0. Reruns agree. An empty table
     gives no rows. Extra columns are kept; the struct's name must be free.
     """
@@ -105,10 +105,15 @@ def take_counts(docs: DataFrame, quality: Column | None = None, seed: int = 29,
     cuts = [f"cut{r}" for r in range(rounds)]
     for r, cut in enumerate(cuts):
         state = reliable(_fill(slim, F.broadcast(state) if few else state, bins, cuts[:r], cut))
+    free = slim.join(F.broadcast(state) if few else state, "src").where("size > 0 and size < 2 * left")
+    for cut in cuts:
+        free = free.where(~_in_cut(F.col("size"), F.col("bin"), F.col("at"), cut))
+    extra = free.groupBy("src").agg(F.min(F.struct("size", "at")).alias("extra"))
+    state = reliable(state.join(extra.select("src", F.col("extra.at").alias("extra")), "src", "left"))
     by = free_name(docs, "state")
     state = state.select(F.struct(*state.columns).alias(by))
     out = rows.join(F.broadcast(state) if few else state, F.col(f"{calc}.src") == F.col(f"{by}.src"), "left")
-    taken = F.lit(False)
+    taken = F.coalesce(F.col(f"{calc}.at") == F.col(f"{by}.extra"), F.lit(False))
     for cut in cuts:
         taken = taken | _in_cut(F.col(f"{calc}.size"), F.col(f"{calc}.bin"), F.col(f"{calc}.at"), f"{by}.{cut}")
     copies = (F.col(f"{by}.epochs") + taken.cast("int")).cast("int")
@@ -138,6 +143,8 @@ def mix_sql(seed: int = 29, share: float = 1.5, most: int = 2, pattern: tuple[in
 a{r} AS (SELECT *, CASE WHEN {free} THEN sum(size) FILTER (WHERE {free}) OVER (PARTITION BY src ORDER BY key, id) END AS up{r} FROM {before}),
 {own} AS (SELECT *, coalesce(up{r} <= left{r}, false) AS taken{r}, left{r} - coalesce(max(up{r}) FILTER (WHERE up{r} <= left{r}) OVER (PARTITION BY src), 0) AS left{r + 1} FROM a{r})""")
     weights = ", ".join(map(str, pattern))
+    last = " OR ".join(f"taken{r}" for r in range(rounds))
+    fits = f"NOT ({last}) AND size > 0 AND size < 2 * left{rounds}"
     return f"""
 WITH d AS (SELECT doc_id, coalesce(doc_id, -1) AS id, coalesce(text, '') AS t, CASE WHEN source IS NULL THEN chr(1114111) ELSE '=' || source END AS src FROM documents),
 k0 AS (SELECT doc_id, id, src, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) AS size, length(t) AS nc, md5('{seed}|' || coalesce(doc_id::VARCHAR, '') || '|' || md5(t)) AS h FROM d),
@@ -148,4 +155,4 @@ x AS (SELECT *, ({share}::DOUBLE * sum(source_size) OVER () - (sum(cap) OVER (OR
 v AS (SELECT src, source_size, CASE WHEN level >= ratio THEN cap::DOUBLE ELSE w * max(CASE WHEN level < ratio THEN level END) OVER () END AS target FROM x),
 g AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS epochs FROM v),
 s AS (SELECT k.*, g.source_size, g.target, g.epochs, g.target - g.epochs * g.source_size AS left0 FROM k JOIN g USING (src)),{",".join(steps)}
-SELECT doc_id, size, source_size, target, (size * (epochs + ({" OR ".join(f"taken{r}" for r in range(rounds))})::INT))::BIGINT AS taken FROM s{rounds - 1}"""
+SELECT doc_id, size, source_size, target, (size * (epochs + ({last} OR ({fits} AND rank() OVER (PARTITION BY src, {fits} ORDER BY size, key, id) = 1))::INT))::BIGINT AS taken FROM s{rounds - 1}"""
