@@ -3,6 +3,9 @@
 Each line's hash gathers a HyperLogLog sketch of the sites that have it; sketches merge by aggregation, so a line that a
 third of all documents has is reduced on the map side. Lines whose estimate is clearly above the threshold are
 boilerplate, those clearly below aren't, and those near it get an exact distinct count.
+
+The pipeline counts sites over near-distinct texts: a group of near copies counts as one text on one site, so a document
+that is copied to many sites doesn't make boilerplate of its lines.
 """
 
 from __future__ import annotations
@@ -15,9 +18,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import free_name, key_of, lean, reliable, text_of
+from .ngram_join import near_duplicates
 
 #: Production parameters: sites from which a line is boilerplate; log2 of a sketch's registers; hashes that may be broadcast.
 MIN_SITES, LG_K, FEW_LINES = 10, 12, 200_000
+#: Near copies that count as one text: likeness in hundredths, words in an n-gram; texts whose hashes may be broadcast.
+COPY_LIKENESS, COPY_WORDS, FEW_TEXTS = 80, 5, 500_000
 
 
 def _line_hashes(text: Column) -> Column:
@@ -38,6 +44,25 @@ def boilerplate_lines(docs: DataFrame, min_sites: int = MIN_SITES, text_col: str
     return sure.union(pairs.groupBy("line").agg(F.count("*").alias("sites")).where(F.col("sites") >= min_sites).select("line"))
 
 
+def independent_lines(docs: DataFrame, min_sites: int = MIN_SITES, likeness: int = COPY_LIKENESS, words: int = COPY_WORDS, few_texts: int = FEW_TEXTS, text_col: str = "text", site_col: str = "source") -> DataFrame:
+    """line of each of boilerplate_lines that stands on min_sites sites still when sites are counted over near-distinct texts.
+
+    Texts that hold such a line are grouped by near_duplicates, equal ones included. Of a group's sites that have a line,
+    the one of smallest hash counts, so which one is the same in every run and not the same for all groups.
+    """
+    candidates = reliable(boilerplate_lines(docs, min_sites, text_col, site_col))
+    keyed = docs.select(F.xxhash64(text_of(text_col)).alias("doc_id"), text_of(text_col).alias("text"), key_of(site_col).alias("site"))
+    held = keyed.select(F.col("doc_id").alias("held"), "site", F.explode(_line_hashes(F.col("text"))).alias("line")).join(candidates, "line", "left_semi")
+    held = reliable(held.distinct())
+    keys = held.select("held").distinct()
+    if keys.count() <= few_texts:
+        keys = F.broadcast(keys)
+    texts = keyed.select("doc_id", "text").join(keys, F.col("doc_id") == F.col("held"), "left_semi")
+    groups = near_duplicates(texts, likeness, words).select("doc_id", "component_id").distinct()
+    places = held.join(groups, F.col("held") == F.col("doc_id")).groupBy("line", "component_id").agg(F.min(F.struct(F.xxhash64("component_id", "site"), "site")).getField("site").alias("site"))
+    return places.select("line", "site").distinct().groupBy("line").agg(F.count("*").alias("sites")).where(F.col("sites") >= min_sites).select("line")
+
+
 def _clean(text: str, hit: set[int] | frozenset[int], least_kept: float) -> tuple[str, int, int]:
     lines = text.split("\n")
     kept = []
@@ -55,8 +80,8 @@ def _clean(text: str, hit: set[int] | frozenset[int], least_kept: float) -> tupl
 def remove_lines(docs: DataFrame, lines: DataFrame, least_kept: float = 0.5, few_lines: int = FEW_LINES, id_col: str = "doc_id", text_col: str = "text", into: str = "cleaned") -> DataFrame:
     """docs with one more column, a struct: text, n_lines, n_removed.
 
-    A document that would keep less than `least_kept` of its characters stays as it is: it is a copy, which near-duplicate
-    removal is for, not a page with boilerplate. Hashes are broadcast only if there are few_lines of them at most;
+    A document that would keep less than `least_kept` of its characters stays as it is, boilerplate and all; with 0 every
+    line of `lines` goes, whatever is left. Hashes are broadcast only if there are few_lines of them at most;
     beyond, they're joined to the lines of the documents, and each document gets its own.
     """
     lines, docs = reliable(lines), lean(docs)

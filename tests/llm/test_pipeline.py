@@ -42,6 +42,22 @@ def test_odd_rows(spark, few, monkeypatch):
             stage(spark, d, SF).count()
 
 
+@pytest.mark.parametrize("few", [500_000, 0])
+def test_boilerplate_of_any_share_goes_and_copies_stay(spark, few, monkeypatch):
+    monkeypatch.setattr(corpus_pipeline.line_dedup.independent_lines, "__defaults__", (10, 80, 5, few, "text", "source"))
+    menu = ["home news sport weather travel culture money", " read our terms and our privacy notice here ", "all rights are with the owner of this site"]
+    own = [" ".join(f"own{i}x{j}" for j in range(4 if i < 6 else 60)) for i in range(12)]
+    rows = [(i, "\n".join([menu[0], own[i], *menu[1:]]), "en", f"s{i}", 0) for i in range(12)]
+    rows.append((20, "\n".join(menu), "en", "s0", 0))  # nothing else
+    story = ["\n".join(" ".join(f"line{k}word{j}" for j in range(30)) for k in range(4)) + (f" end{i}" if i % 2 else "") for i in range(12)]
+    rows += [(30 + i, t, "en", f"s{i}", 0) for i, t in enumerate(story)]  # exact and near copies on all sites
+    rows += [(50, own[0], "en", "s1", 0), (None, None, None, None, None)]
+    got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.line_stage(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), SF).collect()}
+    assert len(got) == len(rows) and got[20] == ("", 0) and got[None] == (None, None)
+    assert all(got[i] == (own[i], len(own[i])) for i in range(12))
+    assert all(got[30 + i] == (t, 0) for i, t in enumerate(story)) and got[50] == (own[0], 0)
+
+
 def test_tables_stay_apart():
     """Nothing outside the subpackage imports it."""
     import re
