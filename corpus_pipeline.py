@@ -16,6 +16,8 @@ from recordloom.llm.queries import tokenizer_path
 
 #: Ids of dropped documents that may be broadcast; beyond, they are joined by shuffling.
 FEW_IDS = 500_000
+#: Near duplicates of the pipeline: likeness in hundredths, words in a shingle. op9_ngram_join has values of its own.
+LIKENESS, WORDS = 80, 5
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,7 +30,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without boilerplate lines, whatever share of a document they are; n_chars follows the text. Lines that
     only near copies of one text take to many sites stay."""
     name = free_name(docs, "cleaned")
-    out = line_dedup.remove_lines(docs, line_dedup.independent_lines(docs), least_kept=0.0, into=name)
+    out = line_dedup.remove_lines(docs, line_dedup.independent_lines(docs, likeness=LIKENESS, words=WORDS), least_kept=0.0, into=name)
     changed = F.col(f"{name}.n_removed") > 0
     values = {"text": F.when(changed, F.col(f"{name}.text")).otherwise(F.col("text"))}
     if "n_chars" in docs.columns:
@@ -39,7 +41,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked ones: that of smallest id. Rows that repeat an id go with it; rows without an
     id stay."""
-    found, name = ngram_join.near_duplicates(docs), free_name(docs, "gone")
+    found, name = ngram_join.near_duplicates(docs, LIKENESS, WORDS), free_name(docs, "gone")
     gone = reliable(found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(name)).distinct())
     if gone.count() <= FEW_IDS:
         gone = F.broadcast(gone)

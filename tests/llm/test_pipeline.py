@@ -1,5 +1,7 @@
 """The pipeline's stages on the smallest table and on odd rows."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -58,6 +60,22 @@ def test_boilerplate_of_any_share_goes_and_copies_stay(spark, few, monkeypatch):
     assert all(got[30 + i] == (t, 0) for i, t in enumerate(story)) and got[50] == (own[0], 0)
 
 
+def test_near_duplicates_link_five_words_at_four_fifths(spark):
+    r = random.Random(4)
+    rows = []
+    for i in range(0, 60, 2):  # pairs of 5-word likeness about 0.8, by one to three words changed
+        w = [f"w{r.randrange(10**6)}" for _ in range(r.randint(40, 130))]
+        v = list(w)
+        for _ in range(1 + i % 3):
+            v[r.randrange(len(v))] = "changed"
+        rows += [(i, " ".join(w)), (i + 1, " ".join(v))]
+    sets = {i: {tuple(w[j : j + 5]) for j in range(len(w) - 4)} for i, t in rows for w in [t.split()]}
+    like = {i: len(sets[i] & sets[i + 1]) / len(sets[i] | sets[i + 1]) for i in range(0, 60, 2)}
+    assert any(0.8 <= x < 0.83 for x in like.values()) and any(0.75 < x < 0.8 for x in like.values())
+    want = {i for i in sets if i % 2 == 0 or like[i - 1] < 0.8}
+    assert {x.doc_id for x in corpus_pipeline.near_duplicate_stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF).collect()} == want
+
+
 def test_tables_stay_apart():
     """Nothing outside the subpackage imports it."""
     import re
