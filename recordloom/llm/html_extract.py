@@ -3,7 +3,8 @@
 One pass of the standard library's parser cuts a page into lines: a line is the text between two tags that start a new
 block. Each line has its number of text characters and of tags; the ratios, smoothed with a Gaussian over neighbouring
 lines, are clustered by a threshold into content and rest. Lines inside elements that are never an article's own text
-(menus, headers of the page, footers, forms, scripts and the like, found by name, role, class or id) have ratio 0. The
+(menus, headers of the page, footers, forms, scripts and the like, found by name, role, class or id) have ratio 0. A class,
+an id or a form doesn't say that of an element that holds the page's main or article element (see _Lines.layout). The
 region is the smallest element that holds the lines of the content cluster with the most text; all its lines that aren't
 inside such an element are the text, short ones too.
 """
@@ -23,7 +24,7 @@ from .common import lean, text_of
 #: Names of elements, by what they do to lines.
 BLOCKS = frozenset("address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hr html iframe legend li main menu nav ol optgroup option p pre section select summary table tbody td tfoot th thead title tr ul".split())
 EMPTY = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-NEVER = frozenset("head title script style noscript template iframe object svg canvas math audio video nav footer aside form button select option textarea menu dialog label input datalist fieldset".split())
+NEVER = frozenset("head title script style noscript template iframe object svg canvas math audio video nav footer aside button select option textarea menu dialog label input datalist fieldset".split())
 MAINS = frozenset("article main".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 MARKS = re.compile(
@@ -32,6 +33,8 @@ MARKS = re.compile(
     r"|share|sharing|social|comment|comments|disqus|reply|replies|respond|pager|pagination|copyright|legal|skip|hidden|print-only|search)(?:$|[\s_-])",
     re.I,
 )
+#: A class or id with a word that starts so is of an element whose articles aren't the page's own: menus, comments, teasers.
+APART = re.compile(r"(?:^|\s)(?:nav|navbar|navigation|menu|breadcrumbs?|aside|foot|footer|related|recommended|comments?|disqus|reply|replies|respond)(?:$|[\s_-])", re.I)
 #: An element that starts one of these ends an open paragraph; li, dt and so on end their own kind.
 CLOSES_P = BLOCKS - frozenset("br body html head title option optgroup td th tr li dd dt caption legend summary tbody thead tfoot".split())
 OWN_KIND = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",), "p": ("p",)}
@@ -39,13 +42,15 @@ HOLDERS = frozenset("ul ol dl table div article section main body".split())
 
 
 class _Lines(HTMLParser):
-    """lines: (text, tags, path of open elements as ids, whether it's never content)."""
+    """lines: (text, tags, path of open elements as ids, whether it's never content, by layout() too)."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, tuple[int, ...], bool]] = []
         self.open: list[tuple[str, int, bool]] = []  # name, id, never content
         self.kinds: list[str] = []  # name of the element with that id
+        self.marked: dict[int, bool] = {}  # elements with a mark in class or id, and forms; whether articles in them are apart
+        self.mains: list[tuple[str, list[int]]] = []  # main and article elements, and the marked ones around them
         self.parts: list[str] = []
         self.tags = 0
 
@@ -77,14 +82,33 @@ class _Lines(HTMLParser):
         inside = any(self.kinds[x[1]] in MAINS for x in self.open)
         if not never and tag == "header" and not inside:
             never = True
-        if not never and tag not in MAINS and tag not in ("html", "body"):
+        if not never and tag in MAINS:
+            self.mains.append((tag, [x[1] for x in self.open if x[1] in self.marked]))
+        elif not never and tag not in ("html", "body"):
+            if tag == "form":
+                self.marked[len(self.kinds)] = False
             for name, value in attrs:
-                if value and (name in ("class", "id") and MARKS.search(value) or name == "role" and value.strip().lower() in ROLES or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value)) or name == "hidden":
+                if value and (name == "role" and value.strip().lower() in ROLES or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value)) or name == "hidden":
                     never = True
                     break
+                if value and name in ("class", "id") and MARKS.search(value):
+                    self.marked[len(self.kinds)] = self.marked.get(len(self.kinds), False) or bool(APART.search(value))
         self.kinds.append(tag)
         self.open.append((tag, len(self.kinds) - 1, never))
 
+    def layout(self) -> None:
+        """Settle marks when the page has ended. A marked element that holds a main element is layout. So is one that holds an
+        article, if no element around the article sets it apart and no other article has fewer marked elements around it:
+        articles in a widget beside the page's own are teasers. Lines in the other marked elements are never content."""
+        void = {k for tag, around in self.mains if tag == "main" for k in around}
+        rest = [[k for k in around if k not in void] for tag, around in self.mains if tag == "article"]
+        rest = [around for around in rest if not any(self.marked[k] for k in around)]
+        least = min(map(len, rest), default=0)
+        void.update(k for around in rest if len(around) == least for k in around)
+        out = self.marked.keys() - void
+        if out:
+            self.lines = [(text, tags, path, never or not out.isdisjoint(path)) for text, tags, path, never in self.lines]
+
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
         if tag not in EMPTY and tag not in BLOCKS:
@@ -121,6 +145,7 @@ def main_text(html: str | None, sigma: float = 1.0) -> str:
     p.feed(html)
     p.close()
     p.cut()
+    p.layout()
     if not any(not never for _, _, _, never in p.lines):
         return ""
     ratio = np.array([0.0 if never else len(t) / max(1, tags) for t, tags, _, never in p.lines])

@@ -136,6 +136,27 @@ def test_page_without_article_element():
     assert html_extract.main_text(page).split("\n") == ["Head", *(f"Paragraph {i} has some words that make it text." for i in range(5)), "End."]
 
 
+STORY = "<article><h1>Head</h1><p>Paragraph one of the story has some words.</p><p>Paragraph two has some more of them.</p></article>"
+SIDE = '<div class="widget"><p>A widget at the side that says something longer than the whole story does, again and again and again and again.</p></div>'
+
+
+@pytest.mark.parametrize("page", [
+    "<div class='content-sidebar-wrap'><main>%s</main>%s</div>", "<div class='site has-sidebar'>%s%s</div>", "<div class='post no-comments'>%s</div>%s", "<form action=/><div id=all>%s</div>%s</form>",
+    "<div class='comments-open'><main>%s</main></div>%s", "<div class='site has-sidebar'><main>%s</main><ol class='comments'><li><article>A reader writes a lot, much more than the story says, and goes on.</article></ol></div>%s",
+    "<main><div class='content-sidebar-wrap'>%s</div></main>%s", "%s<div class='more-widget'><article>A teaser of another story that is longer than the paragraphs of this one, by far.</article></div>%s",
+])
+def test_marks_of_layout_around_the_article(page):
+    html = "<html><body><nav class=menu><article>Menu article</article></nav>" + page % (STORY, SIDE) + "<footer>(c)</footer></body></html>"
+    assert html_extract.main_text(html).split("\n") == ["Head", "Paragraph one of the story has some words.", "Paragraph two has some more of them."]
+
+
+def test_articles_that_are_apart_stay_out():
+    text = "<div id=content><p>The text of the page, which has no article element.</p><p>It has two paragraphs.</p></div>"
+    for apart in ("<section id=comments class=no-border>%s</section>", "<div class='related-posts'>%s</div>", "<footer>%s</footer>", "<div role=navigation>%s</div>"):
+        page = f"<body>{text}{apart % '<article>Something else that is long, longer than all of the text of the page is, and goes on and on.</article>'}</body>"
+        assert html_extract.main_text(page) == "The text of the page, which has no article element.\nIt has two paragraphs."
+
+
 def test_page_corner_cases(spark):
     rows = [(1, "u", None, 5), (2, None, "", 5), (None, "u", "<p>x", 5), (4, "u", "no markup at all", 5), (4, "u", "no markup at all", 5), (5, "u", "<<<>><p", 5), (6, "u", "<nav>only menu</nav>", 5), (7, "u", "<p>" + "long " * 100_000, 5), (8, "u", "<div>" * 3000 + "deep" + "</div>" * 3000, 5)]
     got = html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string, n_chars int"))
