@@ -38,7 +38,7 @@ def features(text: str) -> list[float]:
         marks / size,
         n[124] / count,
         chain,
-        len(set(words)) / count if count < 400 else len(set(words[:: count // 400])) / len(words[:: count // 400]),
+        np.log1p(len(set(words))) / np.log1p(count),
         np.log1p(len(words)) / 10,
         (n[46] + n[44]) / count,
         n[48:58].sum() / size,

@@ -140,6 +140,14 @@ def test_quality_on_held_out_documents(judged):
     assert all(0 < r.path_rate < 1 and 0 < r.host_rate < 1 for r in got)
 
 
+def test_distinct_words_are_of_the_whole_text():
+    same = ["word"] * 2400
+    between = [f"w{i}" if i % 6 else "word" for i in range(2400)]  # a stride of six words sees no difference
+    far = [quality.features(" ".join(w))[5] for w in (same, between, [f"w{i}" for i in range(2400)])]
+    assert 0 <= far[0] < far[1] < far[2] == 1 and far[1] > 0.9
+    assert quality.features("")[1:] == [0.0] * 9
+
+
 def test_rates_are_shrunk(spark, judged):
     labels = judged.select("doc_id", F.col("truth").alias("quality"))
     few = judged.where("doc_id = 0").withColumn("source", F.lit("rare")).withColumn("doc_id", F.lit(1000).cast("long"))
