@@ -8,27 +8,41 @@ from pyspark.sql import functions as F
 from .common import reliable
 
 
-def _round(now: DataFrame) -> DataFrame:
+#: Edges that one task may hold for a node; nodes with more are at most twice FEW_HUBS, so they may be broadcast.
+HUB, FEW_HUBS = 10_000, 50_000
+
+
+def _least(pairs: DataFrame, bound: int) -> DataFrame:
+    """Pairs (u, v) with m, the smallest v of u. Nodes of more than `bound` pairs get it from partial aggregates, the others
+    from a window."""
+    heavy = pairs.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).where(F.col("n") > bound).select(F.col("u").alias("hub"), F.col("m").alias("known"))
+    every = pairs.join(F.broadcast(heavy), F.col("u") == F.col("hub"), "left")
+    light = every.where("hub is null").select("u", "v", F.min("v").over(Window.partitionBy("u")).alias("m"))
+    return light.union(every.where("hub is not null").select("u", "v", F.col("known").alias("m")))
+
+
+def _round(now: DataFrame, bound: int) -> DataFrame:
     """Each node points its larger neighbours to its smallest one, then its smaller ones and itself."""
     both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    low = F.least(F.col("u"), F.min("v").over(Window.partitionBy("u")))
-    large = both.withColumn("m", low).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    small = large.distinct().withColumn("m", F.min("v").over(Window.partitionBy("u")))
+    large = _least(both, bound).where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
+    small = _least(large.distinct(), bound)
     pair = lambda x: F.struct(F.col(x).alias("u"), F.col("m").alias("v"))
     return small.select(F.explode(F.array(pair("u"), pair("v"))).alias("e")).select("e.*").where("u <> v").distinct()
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def components(edges: DataFrame, a: str = "a", b: str = "b", hub: int = HUB) -> DataFrame:
     """node, root for each node of an edge with another: root is the smallest node of its component.
 
-    Alternating star contraction: the edges stay distributed, a round is two windows over them, and the number of rounds
-    grows with the logarithm of the longest chain. Each round cuts the lineage by checkpoint().
+    Alternating star contraction: the edges stay distributed, a round is two minima over them, and the number of rounds
+    grows with the logarithm of the longest chain. Each round cuts the lineage by checkpoint(). A hub's edges never come
+    together in one task: the bound on a node's edges grows with their number, so that hubs are few. Loops and repeated edges
+    count once; edges with a null are left out; no edges, no rows.
     """
     now = reliable(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct())
-    state = None
-    while True:
-        now = reliable(_round(now))
-        seen = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
+    state = (now.count(), None)
+    while state[0]:
+        now = reliable(_round(now, max(hub, state[0] // FEW_HUBS)))
+        seen = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
         if seen == state:
             break
         state = seen

@@ -32,7 +32,7 @@ def _line_hashes(text: Column) -> Column:
     return F.array_distinct(F.transform(lines, lambda x: F.xxhash64(x)))
 
 
-def boilerplate_lines(docs: DataFrame, min_sites: int = MIN_SITES, text_col: str = "text", site_col: str = "source", lg_k: int = LG_K) -> DataFrame:
+def boilerplate_lines(docs: DataFrame, min_sites: int = MIN_SITES, text_col: str = "text", site_col: str = "source", lg_k: int = LG_K, few_lines: int = FEW_LINES) -> DataFrame:
     """line (64-bit hash) of each line that stands on min_sites or more distinct sites; a null site is a site."""
     lines = docs.select(key_of(site_col).alias("site"), F.explode(_line_hashes(text_of(text_col))).alias("line"))
     near = math.ceil(min_sites * 4 * 1.04 / math.sqrt(1 << lg_k)) + 1  # four standard errors, and rounding
@@ -40,7 +40,8 @@ def boilerplate_lines(docs: DataFrame, min_sites: int = MIN_SITES, text_col: str
     spread = reliable(spread.where(F.col("sites") >= min_sites - near))
     sure = spread.where(F.col("sites") > min_sites + near).select("line")
     unsure = spread.where(F.col("sites") <= min_sites + near).select("line")
-    pairs = lines.join(unsure, "line", "left_semi").distinct()
+    # a line that a third of all documents have must not be shuffled by its hash before it's counted once for each site
+    pairs = lines.join(F.broadcast(unsure), "line", "left_semi").distinct() if unsure.count() <= few_lines else lines.distinct().join(unsure, "line", "left_semi")
     return sure.union(pairs.groupBy("line").agg(F.count("*").alias("sites")).where(F.col("sites") >= min_sites).select("line"))
 
 
@@ -77,11 +78,11 @@ def _clean(text: str, hit: set[int] | frozenset[int], least_kept: float) -> tupl
     return out, len(lines), len(lines) - len(kept)
 
 
-def remove_lines(docs: DataFrame, lines: DataFrame, least_kept: float = 0.5, few_lines: int = FEW_LINES, id_col: str = "doc_id", text_col: str = "text", into: str = "cleaned") -> DataFrame:
+def remove_lines(docs: DataFrame, lines: DataFrame, least_kept: float = 0.0, few_lines: int = FEW_LINES, id_col: str = "doc_id", text_col: str = "text", into: str = "cleaned") -> DataFrame:
     """docs with one more column, a struct: text, n_lines, n_removed.
 
-    A document that would keep less than `least_kept` of its characters stays as it is, boilerplate and all; with 0 every
-    line of `lines` goes, whatever is left. Hashes are broadcast only if there are few_lines of them at most;
+    Every line of `lines` goes, whatever is left. With `least_kept` over 0, a document that would keep less than that share
+    of its characters stays as it is, boilerplate and all; no query or stage asks for that. Hashes are broadcast only if there are few_lines of them at most;
     beyond, they're joined to the lines of the documents, and each document gets its own.
     """
     lines, docs = reliable(lines), lean(docs)
@@ -122,7 +123,7 @@ def line_report(docs: DataFrame, **options) -> DataFrame:
     return out.select("doc_id", "cleaned.n_lines", "cleaned.n_removed", F.length("cleaned.text").cast("long").alias("n_chars"), F.sha2(F.encode("cleaned.text", "utf-8"), 256).alias("kept_sha256"))
 
 
-def line_sql(min_sites: int = MIN_SITES, least_kept: float = 0.5) -> str:
+def line_sql(min_sites: int = MIN_SITES) -> str:
     """The same rows with exact counts throughout."""
     return f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, source FROM documents),
@@ -130,7 +131,5 @@ l AS (SELECT r, doc_id, text, source, unnest(string_split(text, chr(10))) AS lin
 b AS (SELECT trim(line, ' ') AS line FROM l WHERE trim(line, ' ') <> '' GROUP BY 1 HAVING count(DISTINCT coalesce('=' || source, '-')) >= {min_sites}),
 k AS (SELECT l.r, l.doc_id, l.text, l.line, l.i, b.line IS NOT NULL AS hit FROM l LEFT JOIN b ON trim(l.line, ' ') = b.line),
 g AS (SELECT r, doc_id, text, count(*) AS n_lines, count(*) FILTER (WHERE hit) AS n_hit,
-             coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT hit), '') AS kept FROM k GROUP BY ALL),
-o AS (SELECT doc_id, n_lines, CASE WHEN length(kept) < {least_kept} * length(text) THEN 0 ELSE n_hit END AS n_removed,
-             CASE WHEN length(kept) < {least_kept} * length(text) THEN text ELSE kept END AS kept FROM g)
-SELECT doc_id, n_lines, n_removed, length(kept) AS n_chars, sha256(kept) AS kept_sha256 FROM o"""
+             coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT hit), '') AS kept FROM k GROUP BY ALL)
+SELECT doc_id, n_lines, n_hit AS n_removed, length(kept) AS n_chars, sha256(kept) AS kept_sha256 FROM g"""

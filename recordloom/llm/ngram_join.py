@@ -24,11 +24,18 @@ How it runs:
 Tokens that a third of all documents have would fill one bucket. A bounded sample of documents names tokens that are that
 frequent; these are dealt with their sets instead, as shared ones. The sample decides only where a token is handled.
 Equal sets are one set from the start.
+
+Hashes name tokens and sets, and nothing relies on their being different. A second hash with another base tells whether two
+tokens of a text have one name, and whether two sets have one id; at last every link is confirmed on the n-grams of the
+texts themselves. If a name ever stands for two things, all is done again with other names (near_duplicates).
 """
 
 from __future__ import annotations
 
+import itertools
+import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -37,7 +44,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE_BYTES, lean, mix64, reliable, slices, span_hashes, text_of, trim
+from .common import SPACE_BYTES, WORD, lean, mix64, reliable, slices, span_hashes, text_of, trim
 from .components import components
 
 #: Production parameters: likeness in hundredths, words in an n-gram.
@@ -46,7 +53,10 @@ LIKENESS, WORDS = 85, 4
 FREQUENT, LONG = 40, 400
 #: Documents of the sample that names very frequent tokens, and the share of them from which a token is one.
 SKEW_SAMPLE, SKEW_SHARE = 4000, 0.005
-BUCKET_CHARS = 1 << 23
+#: Characters of text whose tokens one bucket has, and one partition at least; buckets that are partitions by themselves.
+BUCKET_CHARS, PART_CHARS, FEW_BUCKETS = 1 << 23, 1 << 26, 64
+#: Linked sets whose texts' keys may be broadcast.
+FEW_SETS = 500_000
 #: Sets of a list whose pairs are rows at most; sets of a block.
 SHORT, BLOCK = 16, 2000
 #: Bytes of text that a worker packs at a time.
@@ -55,10 +65,35 @@ SLICE = 1 << 22
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _FACTORS = [np.uint64(int(xxhash.xxh3_64_intdigest(f"word {i}")) | 1) for i in range(64)]
+_WORD = re.compile(WORD)
+_TO_LOWER = {c: c + 32 for c in range(65, 91)}
+
+
+class Naming(NamedTuple):
+    """How n-grams are named: words in one, number of the hash function, bits of a hash (fewer than 64 only in tests)."""
+
+    words: int = WORDS
+    seed: int = 0
+    bits: int = 64
+
+    @property
+    def base(self) -> int:
+        return (0x9E3779B97F4A7C55 + 0x5851F42D4C957F2E * self.seed) % (1 << 64) | 1
 
+    @property
+    def second(self) -> "Naming":
+        """Names that don't depend on these."""
+        return Naming(self.words, -1 - self.seed)
 
-def token_sets(texts: list[str], words: int = WORDS) -> list[np.ndarray]:
-    """The sorted distinct 64-bit hashes of each text's n-grams: A-Z lower-cased, words between white space; a text with
+
+def grams(text: str, words: int = WORDS) -> frozenset[str]:
+    """The n-grams of a text themselves."""
+    w = _WORD.findall(text.translate(_TO_LOWER))
+    return frozenset(" ".join(w[i : i + words]) for i in range(max(1, len(w) - words + 1))) if w else frozenset()
+
+
+def token_sets(texts: list[str], naming: Naming = Naming()) -> list[np.ndarray]:
+    """The sorted distinct hashes of each text's n-grams: A-Z lower-cased, words between white space; a text with
     fewer words is one token; one without words has none."""
     raw = [t.encode() for t in texts]
     out: list[np.ndarray] = []
@@ -68,17 +103,18 @@ def token_sets(texts: list[str], words: int = WORDS) -> list[np.ndarray]:
         while stop < len(raw) and (stop == at or size + len(raw[stop]) < 1 << 20):
             size += len(raw[stop]) + 1
             stop += 1
-        out += _sets_of(raw[at:stop], words)
+        out += _sets_of(raw[at:stop], naming)
         at = stop
     return out
 
 
-def _sets_of(raw: list[bytes], words: int) -> list[np.ndarray]:
+def _sets_of(raw: list[bytes], naming: Naming) -> list[np.ndarray]:
+    words, mask = naming.words, np.uint64((1 << naming.bits) - 1)
     data = _LOWER[np.frombuffer(b"\n".join(raw) + b"\n", dtype=np.uint8)]
     space = SPACE_BYTES[data]
     edge = np.diff(np.concatenate([[True], space]).astype(np.int8))
     starts, ends = np.nonzero(edge == -1)[0], np.nonzero(edge == 1)[0]
-    h = span_hashes(data, starts, ends)
+    h = span_hashes(data, starts, ends, naming.base)
     offsets = np.concatenate([[0], np.cumsum([len(r) + 1 for r in raw])])
     firsts = np.searchsorted(starts, offsets)
     out = []
@@ -87,7 +123,7 @@ def _sets_of(raw: list[bytes], words: int) -> list[np.ndarray]:
             grams = np.zeros(len(h) - words + 1, dtype=np.uint64)
             for j in range(words):
                 grams += h[j : len(h) - words + 1 + j] * _FACTORS[j]
-            grams = mix64(grams)
+            grams = mix64(grams) & mask
     for a, b in zip(firsts[:-1], firsts[1:], strict=True):
         if b - a >= words:
             out.append(np.unique(grams[a : b - words + 1]))
@@ -96,7 +132,7 @@ def _sets_of(raw: list[bytes], words: int) -> list[np.ndarray]:
                 total = np.uint64(b - a)
                 for j in range(b - a):
                     total = total + h[a + j] * _FACTORS[words + j]
-                out.append(mix64(np.array([total], dtype=np.uint64)))
+                out.append(mix64(np.array([total], dtype=np.uint64)) & mask)
         else:
             out.append(np.empty(0, dtype=np.uint64))
     return out
@@ -114,19 +150,23 @@ def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts, np.diff(np.concatenate([starts, [len(values)]]))
 
 
-def set_table(docs: DataFrame, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n, set: the size and the id of each document's set."""
+def set_table(docs: DataFrame, naming: Naming = Naming()) -> DataFrame:
+    """doc_id, k1, k2, n, set, check, clash of docs with doc_id, k1, k2, text: the size and the id of each document's set, a
+    digest of it under the second naming, and whether two of its tokens have one name."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in (x for batch in batches for x in slices(batch, 1, SLICE)):
-            sets = token_sets(b.column(1).to_pylist(), words)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_id(s) for s in sets], pa.int64())], names=["doc_id", "n", "set"])
+        names = ["doc_id", "k1", "k2", "n", "set", "check", "clash"]
+        for b in (x for batch in batches for x in slices(batch, 3, SLICE)):
+            texts = b.column(3).to_pylist()
+            sets, others = token_sets(texts, naming), token_sets(texts, naming.second)
+            own = [pa.array([len(s) for s in sets], pa.int64()), pa.array([set_id(s) for s in sets], pa.int64()), pa.array([set_id(s) for s in others], pa.int64())]
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], *own, pa.array([len(s) != len(t) for s, t in zip(sets, others, strict=True)], pa.bool_())], names=names)
         trim()
 
-    return docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(text_col).alias("text")).mapInArrow(run, "doc_id long, n long, set long")
+    return docs.select("doc_id", "k1", "k2", "text").mapInArrow(run, "doc_id long, k1 long, k2 long, n long, set long, check long, clash boolean")
 
 
-def skewed_tokens(docs: DataFrame, n_docs: int, words: int = WORDS, sample: int = SKEW_SAMPLE, share: float = SKEW_SHARE, text_col: str = "text") -> np.ndarray:
+def skewed_tokens(docs: DataFrame, n_docs: int, naming: Naming = Naming(), sample: int = SKEW_SAMPLE, share: float = SKEW_SHARE, text_col: str = "text") -> np.ndarray:
     """Sorted tokens that `share` of a sample's distinct sets have, 8 sets at least. Their number is bounded by the mean
     size of a set over share."""
     text = text_of(text_col)
@@ -134,7 +174,7 @@ def skewed_tokens(docs: DataFrame, n_docs: int, words: int = WORDS, sample: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in (x for batch in batches for x in slices(batch, 0, SLICE)):
-            sets = {s.tobytes() for s in token_sets(b.column(0).to_pylist(), words)}
+            sets = {s.tobytes() for s in token_sets(b.column(0).to_pylist(), naming)}
             own = np.concatenate([np.frombuffer(s, dtype=np.uint64) for s in sets] or [np.empty(0, np.uint64)])
             tokens, count = np.unique(own, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64)), pa.array(count)], names=["token", "n"])
@@ -158,16 +198,16 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 4, kinds, strict=True)], names=["part", "kind", "bucket", "payload"])
 
 
-def _pack(texts: list[str], words: int, buckets: int, skewed: np.ndarray) -> Iterator[tuple]:
+def _pack(texts: list[str], naming: Naming, buckets: int, parts: int, skewed: np.ndarray) -> Iterator[tuple]:
     sets = {}
-    for s in token_sets(texts, words):
+    for s in token_sets(texts, naming):
         if len(s):
             sets[set_id(s)] = s
     if not sets:
         return
     ids = np.fromiter(sets, dtype=np.int64)
     sizes = np.fromiter(map(len, sets.values()), dtype=np.uint32)
-    home = (ids.view(np.uint64) % np.uint64(buckets)).astype(np.int32)
+    home = (ids.view(np.uint64) % np.uint64(parts)).astype(np.int32)
     tokens, owner = np.concatenate(list(sets.values())), np.repeat(np.arange(len(ids)), sizes)
     order = np.argsort(home, kind="stable")
     for a, n in zip(*_runs(home[order]), strict=True):
@@ -183,13 +223,13 @@ def _pack(texts: list[str], words: int, buckets: int, skewed: np.ndarray) -> Ite
             for a, n in zip(*_runs(home[who]), strict=True):
                 yield _row(int(home[who[a]]), SKEWED, 0, ids[who[a : a + n]], at[a : a + n])
             tokens, owner = tokens[~known], owner[~known]
-    bucket = ((tokens >> np.uint64(32)) % np.uint64(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.uint32)
+    bucket = (mix64(tokens) % np.uint64(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.uint32)
     order = np.argsort(bucket, kind="stable")
-    bucket, owner, low = bucket[order], owner[order], tokens[order].astype(np.uint32)
+    bucket, owner, tokens = bucket[order], owner[order], tokens[order]
     for a, n in zip(*_runs(bucket), strict=True):
         who = owner[a : a + n]
         starts, count = _runs(who)
-        yield _row(int(bucket[a]), TOKENS, int(bucket[a]), ids[who[starts]], count.astype(np.uint32), low[a : a + n])
+        yield _row(int(bucket[a]) % parts, TOKENS, int(bucket[a]), ids[who[starts]], count.astype(np.uint32), tokens[a : a + n])
 
 
 def _unpack(payload: bytes, *kinds: type, rest: type | None = None) -> list[np.ndarray]:
@@ -202,47 +242,49 @@ def _unpack(payload: bytes, *kinds: type, rest: type | None = None) -> list[np.n
     return out
 
 
-def _shared(bucket: int, blobs: list[bytes], buckets: int) -> Iterator[tuple]:
+def _shared(bucket: int, blobs: list[bytes], parts: int) -> Iterator[tuple]:
     """Tokens of a bucket that two or more sets have, dealt to the homes of those sets."""
-    who, low = [], []
+    who, name = [], []
     for p in blobs:
-        ids, count, tokens = _unpack(p, np.int64, np.uint32, rest=np.uint32)
+        ids, count, tokens = _unpack(p, np.int64, np.uint32, rest=np.uint64)
         who.append(np.repeat(ids, count))
-        low.append(tokens)
+        name.append(tokens)
     blobs.clear()
-    who, low = np.concatenate(who), np.concatenate(low)
-    order = np.argsort(low, kind="stable")
-    who, low = who[order], low[order]
-    starts, count = _runs(low)
+    who, name = np.concatenate(who), np.concatenate(name)
+    order = np.argsort(name, kind="stable")
+    who, name = who[order], name[order]
+    starts, count = _runs(name)
     often = np.repeat(count > 1, count)
-    who, low = who[often], low[often]
-    order = np.lexsort((who, low))
-    who, low = who[order], low[order]
+    who, name = who[often], name[often]
+    order = np.lexsort((who, name))
+    who, name = who[order], name[order]
     new = np.ones(len(who), dtype=bool)
-    new[1:] = (who[1:] != who[:-1]) | (low[1:] != low[:-1])
-    who, low = who[new], low[new]
-    starts, count = _runs(low)
+    new[1:] = (who[1:] != who[:-1]) | (name[1:] != name[:-1])
+    who, name = who[new], name[new]
+    starts, count = _runs(name)
     often = np.repeat(count > 1, count)
     token = np.repeat(np.arange(len(count), dtype=np.uint32), count)[often]
     freq, who = np.minimum(np.repeat(count, count)[often], 65_534).astype(np.uint16), who[often]
-    home = (who.view(np.uint64) % np.uint64(buckets)).astype(np.int32)
+    home = (who.view(np.uint64) % np.uint64(parts)).astype(np.int32)
     order = np.argsort(home, kind="stable")
     who, token, freq, home = who[order], token[order], freq[order], home[order]
     for a, n in zip(*_runs(home), strict=True):
         yield _row(int(home[a]), SHARED, bucket, who[a : a + n], token[a : a + n], freq[a : a + n])
 
 
-def _by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple[int, int, bytes]]]]:
+def _by_part(batches: Iterator[pa.RecordBatch], buckets: bool = False) -> Iterator[tuple[int, list[tuple[int, int, bytes]]]]:
+    """(part, rows) of sorted rows, or (part, rows of one kind and bucket)."""
     now, rows = None, []
     for b in batches:
         for part, kind, bucket, payload in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            if part != now and rows:
-                yield now, rows
+            key = (part, kind, bucket) if buckets else (part,)
+            if key != now and rows:
+                yield now[0], rows
                 rows = []
-            now = part
+            now = key
             rows.append((kind, bucket, payload))
     if rows:
-        yield now, rows
+        yield now[0], rows
 
 
 def keys_of(n: int, tokens: np.ndarray, freq: np.ndarray, likeness: int, frequent: int, long: int) -> np.ndarray:
@@ -300,25 +342,29 @@ def _survivors(rows: list[tuple[int, int, bytes]], skew_bucket: int, likeness: i
             yield int(ids[at[a]]), n, float(f.mean()), np.sort(own).tobytes(), keys_of(n, own, f, likeness, frequent, long).tolist()
 
 
-def candidate_sets(docs: DataFrame, likeness: int = LIKENESS, words: int = WORDS, frequent: int = FREQUENT, long: int = LONG, text_col: str = "text") -> DataFrame:
-    """set, n, central, tokens (packed, sorted ids of its shared tokens), keys: the sets that can have links at all."""
+def candidate_sets(docs: DataFrame, likeness: int = LIKENESS, naming: Naming = Naming(), frequent: int = FREQUENT, long: int = LONG, text_col: str = "text") -> DataFrame:
+    """set, n, central, tokens (packed, sorted ids of its shared tokens), keys: the sets that can have links at all.
+
+    Buckets and partitions follow the number of characters, so a task's share doesn't grow with the corpus.
+    """
     counts = docs.select(F.count("*").alias("n"), F.sum(F.length(text_of(text_col))).alias("c")).first()
-    skewed = docs.sparkSession.sparkContext.broadcast(skewed_tokens(docs, counts["n"], words, text_col=text_col))
+    skewed = docs.sparkSession.sparkContext.broadcast(skewed_tokens(docs, counts["n"], naming, text_col=text_col))
     buckets = int(max(16, (counts["c"] or 0) // BUCKET_CHARS))
+    parts = int(min(buckets, max(FEW_BUCKETS, (counts["c"] or 0) // PART_CHARS)))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for part in slices(b, 0, SLICE):
-                yield _batch(list(_pack(part.column(0).to_pylist(), words, buckets, skewed.value)))
+                yield _batch(list(_pack(part.column(0).to_pylist(), naming, buckets, parts, skewed.value)))
         trim()
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, rows in _by_part(batches):
+        for part, rows in _by_part(batches, buckets=True):
             out = [(part, kind, 0, p) for kind, _, p in rows if kind != TOKENS]
-            blobs = [p for kind, _, p in rows if kind == TOKENS]
-            rows.clear()
-            if blobs:
-                out += _shared(part, blobs, buckets)
+            if rows[0][0] == TOKENS:
+                bucket, blobs = rows[0][1], [p for *_, p in rows]
+                rows.clear()
+                out = list(_shared(bucket, blobs, parts))
             for a in range(0, len(out), 256):
                 yield _batch(out[a : a + 256])
         trim()
@@ -331,9 +377,8 @@ def candidate_sets(docs: DataFrame, likeness: int = LIKENESS, words: int = WORDS
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out[a : a + 512], strict=True), kinds, strict=True)], names=["set", "n", "central", "tokens", "keys"])
         trim()
 
-    parts = min(buckets, max(16, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     dealt = docs.select(text_of(text_col).alias("text")).mapInArrow(pack, _PACKED)
-    dealt = dealt.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(match, _PACKED)
+    dealt = dealt.repartition(parts, "part").sortWithinPartitions("part", "kind", "bucket").mapInArrow(match, _PACKED)
     dealt = dealt.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(gather, "set long, n long, central double, tokens binary, keys array<long>")
     return reliable(dealt)
 
@@ -431,8 +476,9 @@ def _cluster_links(keyed: DataFrame, sets: DataFrame, likeness: int, block: int)
     return dealt.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j").mapInArrow(run, "a long, b long")
 
 
-def set_links(sets: DataFrame, likeness: int = LIKENESS, short: int = SHORT, block: int = BLOCK) -> DataFrame:
-    """node, root of the sets that have links: equal roots exactly where links connect."""
+def set_links(sets: DataFrame, likeness: int = LIKENESS, short: int = SHORT, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+    """(node, root) of the sets that have links: equal roots exactly where links connect; and the links (a, b) found, which
+    connect them."""
     keyed = sets.select("set", "n", F.expr("octet_length(tokens) div 8").alias("m"), "central", F.explode("keys").alias("key"))
     lists = keyed.groupBy("key").agg(F.count("*").alias("size"), F.max(F.struct("central", "set", "n", "m")).alias("pivot")).where("size > 1")
     keyed = reliable(keyed.drop("central").join(lists, "key"))
@@ -454,21 +500,53 @@ def set_links(sets: DataFrame, likeness: int = LIKENESS, short: int = SHORT, blo
         more = more.union(_cluster_links(crowded, sets, likeness, block))
     more = reliable(more)
     if more.isEmpty():
-        return roots
-    return components(links.union(more))
+        return roots, links
+    links = links.union(more)
+    return components(links), links
+
 
+def false_links(links: DataFrame, table: DataFrame, docs: DataFrame, likeness: int, words: int, few: int = FEW_SETS) -> DataFrame:
+    """Of links (a, b), those that the n-grams of the sets' texts don't confirm. Only texts of linked sets move."""
 
-def near_duplicates(docs: DataFrame, likeness: int = LIKENESS, words: int = WORDS, frequent: int = FREQUENT, long: int = LONG, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    @F.pandas_udf("boolean")
+    def unlike(x: pd.Series, y: pd.Series) -> pd.Series:
+        out = []
+        for p, q in zip(x, y, strict=True):
+            one, two = grams(p, words), grams(q, words)
+            common = len(one & two)
+            out.append(100 * common < likeness * (len(one) + len(two) - common))
+        return pd.Series(out, dtype=bool)
+
+    linked = links.select(F.explode(F.array("a", "b")).alias("set")).distinct()
+    keys = reliable(table.join(linked, "set", "left_semi").groupBy("set").agg(F.min(F.struct("k1", "k2")).alias("k")).select("set", F.col("k.k1").alias("x1"), F.col("k.k2").alias("x2")))
+    keys = F.broadcast(keys) if keys.count() <= few else keys
+    texts = docs.join(keys, (F.col("k1") == F.col("x1")) & (F.col("k2") == F.col("x2"))).groupBy("set").agg(F.first("text").alias("text"))
+    one, two = texts.select(F.col("set").alias("a"), F.col("text").alias("t_a")), texts.select(F.col("set").alias("b"), F.col("text").alias("t_b"))
+    return links.join(one, "a").join(two, "b").where(unlike("t_a", "t_b")).select("a", "b")
+
+
+def near_duplicates(docs: DataFrame, likeness: int = LIKENESS, words: int = WORDS, frequent: int = FREQUENT, long: int = LONG, bits: int = 64, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id for each row: the smallest id reachable over links, its own included.
 
     Texts without words, null ones included, are linked with nothing, not even each other. Rows of equal sets are linked.
     Rows with a null id link others but never name a component (null where all ids are null). Repeated rows are rows.
-    Very long texts are whole sets. An empty table gives no rows; other columns are not read.
+    Very long texts are whole sets. An empty table gives no rows; other columns are not read. Links are those of the n-grams,
+    whatever their hashes are: where hashes don't tell n-grams or sets apart, all is done again with other ones (`bits`,
+    for tests, are those of the first).
     """
-    slim = lean(docs).select(docs[id_col].cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    table = reliable(set_table(slim, words))
-    roots = set_links(candidate_sets(slim, likeness, words, frequent, long), likeness)
-    first = table.where("n > 0").groupBy("set").agg(F.min("doc_id").alias("own"))
+    text = text_of(text_col)
+    slim = lean(docs).select(docs[id_col].cast("long").alias("doc_id"), F.xxhash64(F.lit(1), text).alias("k1"), F.xxhash64(F.lit(2), text).alias("k2"), text.alias("text"))
+    for seed in itertools.count():
+        naming = Naming(words, seed, 64 if seed else bits)
+        table = reliable(set_table(slim, naming))
+        first = table.groupBy("set").agg(F.min(F.when(F.col("n") > 0, F.col("doc_id"))).alias("own"), F.max("n").alias("n"), F.max("clash").alias("clash"), (F.min("check") != F.max("check")).alias("twofold"))
+        first = reliable(first)
+        if not first.where("clash or twofold").isEmpty():
+            continue
+        roots, links = set_links(candidate_sets(slim, likeness, naming, frequent, long), likeness)
+        if links.isEmpty() or false_links(links, table, slim, likeness, words).isEmpty():
+            break
+    first = first.where("n > 0").select("set", "own")
     named = first.join(roots, first["set"] == roots["node"], "left").select("set", "own", "root")
     groups = named.where("root is not null").groupBy(F.col("root").alias("group")).agg(F.min("own").alias("least"))
     named = named.join(groups, F.col("root") == F.col("group"), "left").select(F.col("set").alias("s"), F.coalesce("least", "own").alias("component_id"))

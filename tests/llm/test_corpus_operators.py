@@ -365,6 +365,48 @@ def test_near_duplicate_corner_cases(odd):
     assert ngram_join.near_duplicates(odd.limit(0)).collect() == []
 
 
+def test_texts_whose_short_hashes_clash_are_not_linked(spark):
+    rows = [(1, "a246354 b150 c28 d", None, None, 0), (2, "a999454 b960 c14 d", None, None, 0)]  # alike in 36 bits
+    assert sorted(map(tuple, ngram_join.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect())) == [(1, 1, 1), (2, 1, 2)]
+
+
+@pytest.mark.parametrize("bits", [3, 8, 12, 20])
+def test_clashing_hashes_change_nothing(spark, bits):
+    r = random.Random(bits)
+    rows = [(i, " ".join(str(r.randint(0, 9)) for _ in range(r.randint(1, 9))), None, None, 0) for i in range(60)]
+    assert sorted(map(tuple, ngram_join.near_duplicates(spark.createDataFrame(rows, SCHEMA), bits=bits, likeness=60).collect())) == link_brute(rows, likeness=60)
+
+
+@pytest.mark.parametrize("few", [0, 1000])
+def test_links_are_confirmed_on_texts(spark, few):
+    rows = [(1, "a b c d e f"), (2, "A b c d  e f g"), (3, "x y z"), (3, "x y z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").select("doc_id", F.xxhash64(F.lit(1), "text").alias("k1"), F.xxhash64(F.lit(2), "text").alias("k2"), "text")
+    table = ngram_join.set_table(docs)
+    ids = {r.doc_id: r.set for r in table.collect()}
+    links = spark.createDataFrame([(ids[1], ids[2]), (ids[1], ids[3])], "a long, b long")
+    assert [tuple(r) for r in ngram_join.false_links(links, table, docs, 75, 4, few).collect()] == [(ids[1], ids[3])]
+    assert ngram_join.false_links(links, table, docs, 76, 4, few).count() == 2
+
+
+@pytest.mark.parametrize("hub", [1, 3, 10_000])
+def test_hubs(spark, hub):
+    r = random.Random(3)
+    edges = [(0, i) for i in range(1, 60)] + [(500 + i, 400) for i in range(50)] + [(r.randint(600, 700), r.randint(600, 700)) for _ in range(60)] + [(59, 620), (None, 3)]
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        if a is not None and a != b:
+            x, y = sorted((find(a), find(b)))
+            root[y] = x
+    got = components.components(spark.createDataFrame(edges, "a long, b long"), hub=hub).collect()
+    assert {r.node: r.root for r in got} == {x: find(x) for x in root} and len(got) == len(root)
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (103, 101), (7, 7), (200, 150), (150, 200)]
     got = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
@@ -375,7 +417,7 @@ def test_components(spark):
 # --- lines ---
 
 
-def lines_brute(rows, least, kept_share=0.5):
+def lines_brute(rows, least):
     sites = defaultdict(set)
     for _, t, _, s, _ in rows:
         for x in (t or "").split("\n"):
@@ -386,8 +428,6 @@ def lines_brute(rows, least, kept_share=0.5):
         lines = (t or "").split("\n")
         kept = [x for x in lines if len(sites.get(x.strip(" "), ())) < least]
         text = "\n".join(kept)
-        if len(text) < kept_share * len(t or ""):
-            kept, text = lines, t or ""
         out.append((i, len(lines), len(lines) - len(kept), len(text), hashlib.sha256(text.encode()).hexdigest()))
     return sorted(out)
 
@@ -399,6 +439,18 @@ def test_lines(docs, rows, least, few):
     assert any(r.n_removed for r in got) or least == 5
 
 
+def test_lines_go_whatever_is_left(spark):
+    rows = [(i, "same line\nand this one" + (f"\nown {i}" if i % 2 else ""), None, f"s{i}", 0) for i in range(12)]
+    got = {r.doc_id: (r.n_lines, r.n_removed, r.n_chars) for r in line_dedup.line_report(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {i: (3, 2, len(f"own {i}")) if i % 2 else (2, 2, 0) for i in range(12)}
+
+
+@pytest.mark.parametrize("few", [1000, 0])
+def test_exact_counts_with_and_without_broadcast(spark, few):
+    df = spark.createDataFrame([(i, f"line {n}", None, f"site {i}", 0) for n in (9, 10, 11) for i in [*range(n), *range(n)]], SCHEMA)
+    assert line_dedup.boilerplate_lines(df, 10, few_lines=few).count() == 2
+
+
 def test_sketches_near_the_threshold(spark):
     """Spreads around the threshold are exact, though sketches of few registers are not."""
     df = spark.createDataFrame([(i, f"line {n}", None, f"site {i}", 0) for n in range(190, 211) for i in range(n)], SCHEMA)
