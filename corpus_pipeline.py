@@ -30,7 +30,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without boilerplate lines, whatever share of a document they are; n_chars follows the text. Lines that
     only near copies of one text take to many sites stay."""
     name = free_name(docs, "cleaned")
-    out = line_dedup.remove_lines(docs, line_dedup.independent_lines(docs, likeness=LIKENESS, words=WORDS), least_kept=0.0, into=name)
+    out = line_dedup.remove_lines(docs, line_dedup.independent_lines(docs, likeness=LIKENESS, words=WORDS), into=name)
     changed = F.col(f"{name}.n_removed") > 0
     values = {"text": F.when(changed, F.col(f"{name}.text")).otherwise(F.col("text"))}
     if "n_chars" in docs.columns:
