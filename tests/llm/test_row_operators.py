@@ -1,8 +1,10 @@
 """Operators that work row by row: tokens, media, pages."""
 
 import hashlib
+import math
 import random
 import struct
+import time
 import zlib
 
 import numpy as np
@@ -120,14 +122,14 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>v
 <header><h2>Site</h2></header><nav><ul><li><a href=/a>Menu a</a><li><a href=/b>Menu b</a></ul></nav><div class="cookie-notice">We use cookies and more text than the article has, again and again and again.</div>
 <div id=sidebar><p>Side text that is quite long, longer than some paragraphs of the article itself.</div>
 <article><h1>Title &amp; more</h1><p>First&nbsp;paragraph with <b>bold</b>,
-  <i>italic</i> and &eacute;&#8217;.<p>Short.</p><div class="ad">Buy now</div><blockquote>Quoted words that go on.<br>Second line</blockquote>
+  <i>italic</i> and &eacute;&#8217;.<p>Short.</p><div class="ad">Buy now</div><blockquote>Quoted words that go on.<br>Same block<br> <br/>Next block</blockquote>
 <ul><li>one</li><li>two</ul><aside>Related: other</aside><form><input value=x><button>Send</button></form><!-- hidden --></article>
 <section class="comments"><p>A reader says something very long about the article, more than the article says itself, really.</p></section>
 <footer>&copy; Site &middot; footer text</footer></body></html>"""
 
 
 def test_page():
-    want = "Title & more\nFirst paragraph with bold, italic and é’.\nShort.\nQuoted words that go on.\nSecond line\none\ntwo"
+    want = "Title & more\nFirst paragraph with bold, italic and é’.\nShort.\nQuoted words that go on. Same block\nNext block\none\ntwo"
     assert html_extract.main_text(PAGE) == want
 
 
@@ -150,6 +152,71 @@ def test_marks_of_layout_around_the_article(page):
     assert html_extract.main_text(html).split("\n") == ["Head", "Paragraph one of the story has some words.", "Paragraph two has some more of them."]
 
 
+def test_odd_names_around_and_inside():
+    text = "".join(f"<p>Paragraph {i} has some words that make it text, and it goes on a bit.</p>" for i in range(4))
+    want = "\n".join(f"Paragraph {i} has some words that make it text, and it goes on a bit." for i in range(4))
+    for name in ("page search-on", "has-sidebar", "content-sidebar-wrap", "no-comments", "side-by-side", "withBanner header"):
+        assert html_extract.main_text(f"<body><nav><a href=/>Home</a></nav><div class='{name}'><article>{text}</article></div></body>") == want
+        assert html_extract.main_text(f"<body><ul><li><a href=/>Home</a></ul><div class='{name}'>{text}</div><div class=sidebar>Some more words at the side.</div></body>") == want
+    assert html_extract.main_text(f"<article>{text}<div class='side-by-side'><p>Left of it, in words enough.</p><p>Right of it, in words enough.</p></div><p>tail short</p></article>").split("\n")[4:] == ["Left of it, in words enough.", "Right of it, in words enough.", "tail short"]
+
+
+def test_ratios_choose_the_region_where_no_element_tells():
+    teasers = "".join(f"<div><a href=/{i}>Teaser {i} of another story, with a title that is quite long and longer than paragraphs</a></div>" for i in range(30))
+    story = "<div><h2>Head of it</h2><div>A short story in a few words.</div><div>It has two parts, no more than that.</div></div>"
+    want = "Head of it\nA short story in a few words.\nIt has two parts, no more than that."
+    for page in (f"<body><div>{teasers}</div>{story}</body>", f"<body>{story}<div>{teasers}</div></body>", f"<div>{teasers}</div><table><tr><td>{story}</td><td>{teasers}</td></tr></table>"):
+        assert html_extract.main_text(page) == want
+        assert any(html_extract.main_text(page, smoother=lambda v, s, k=k: np.random.default_rng(k).random(len(v))) != want for k in range(5))
+    straight = f"<body><p>{'Words straight in the body. ' * 5}</p>{teasers}</body>"
+    assert html_extract.main_text(straight) == ("Words straight in the body. " * 5).strip()
+
+
+def region_brute(p):
+    """Scores of all elements by walking their lines one by one, and smoothing by its formula."""
+    plain = [(x[2] if x[0] else 0) / max(1, x[3]) for x in p.lines]
+    logs = [math.log1p(x) for x in plain]
+    get = lambda i: logs[min(max(i, 0), len(logs) - 1)]
+    weight = [math.exp(-0.5 * d * d) for d in range(-3, 4)]
+    level = [sum(w * get(i + d) for w, d in zip(weight, range(-3, 4), strict=True)) / sum(weight) for i in range(len(logs))]
+    least = html_extract.threshold(np.array(level))
+    return [sum(p.lines[i][1] * ((level[i] if plain[i] else 0) - least) for i in range(a, b)) for a, b in zip(p.starts, p.ends, strict=True)]
+
+
+def test_regions_against_brute_force():
+    r = random.Random(8)
+    for _ in range(60):
+        def block(depth):
+            kind = r.choice(["div", "section", "table", "ul"])
+            inside = "".join(block(depth - 1) if depth and r.random() < 0.5 else "".join(r.choice(["<i>", "</i>", "word ", "more words here ", "<a href=x>link text</a>"]) for _ in range(r.randint(1, 9))) for _ in range(r.randint(1, 4)))
+            return f"<{kind}>{inside}</{kind}>"
+
+        html = "".join(block(3) for _ in range(3))
+        p = html_extract._Page().finish(html)
+        if not p.lines:
+            continue
+        score = region_brute(p)
+        best = max(range(len(score)), key=lambda k: (round(score[k], 9), -k))
+        if score[best] <= 1e-9 or sum(abs(x - score[best]) < 1e-6 for x in score) > 1:
+            continue
+        want = [x for x in p.lines[p.starts[best] : p.ends[best]] if x[0]]
+        for side in (0, -1):  # three lines of links and more at an end are a menu
+            run = [bool(x[2]) for x in (want[::-1] if side else want)].index(True) if any(x[2] for x in want) else 0
+            if run >= 3:
+                want = want[:-run] if side else want[run:]
+        assert html_extract.main_text(html) == "\n".join(x[0] for x in want)
+
+
+@pytest.mark.parametrize("piece", ["<b>x<br>", "<b><p>x", "<div>x", "<p>x<b>", "<<a ", "<!-", "<li>x<ul>", "<a href=x>y", "<td>x", "</b>x<i>"])
+def test_nesting_is_linear(piece):
+    took = []
+    for size in (1 << 17, 1 << 19):
+        began = time.process_time()
+        html_extract.main_text(piece * (size // len(piece)))
+        took.append(time.process_time() - began)
+    assert took[1] < 9 * took[0] + 0.5
+
+
 def test_articles_that_are_apart_stay_out():
     text = "<div id=content><p>The text of the page, which has no article element.</p><p>It has two paragraphs.</p></div>"
     for apart in ("<section id=comments class=no-border>%s</section>", "<div class='related-posts'>%s</div>", "<footer>%s</footer>", "<div role=navigation>%s</div>"):
