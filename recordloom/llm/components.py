@@ -9,23 +9,25 @@ from .common import reliable
 
 
 #: Edges that one task may hold for a node; nodes with more are at most twice FEW_HUBS, so they may be broadcast.
-HUB, FEW_HUBS = 10_000, 50_000
+HUB, FEW_HUBS = 2_000, 50_000
 
 
-def _least(pairs: DataFrame, bound: int) -> DataFrame:
+def _least(pairs: DataFrame, bound: int, most: int) -> DataFrame:
     """Pairs (u, v) with m, the smallest v of u. Nodes of more than `bound` pairs get it from partial aggregates, the others
     from a window."""
+    if most <= bound:  # no node can have so many
+        return pairs.select("u", "v", F.min("v").over(Window.partitionBy("u")).alias("m"))
     heavy = pairs.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).where(F.col("n") > bound).select(F.col("u").alias("hub"), F.col("m").alias("known"))
     every = pairs.join(F.broadcast(heavy), F.col("u") == F.col("hub"), "left")
     light = every.where("hub is null").select("u", "v", F.min("v").over(Window.partitionBy("u")).alias("m"))
     return light.union(every.where("hub is not null").select("u", "v", F.col("known").alias("m")))
 
 
-def _round(now: DataFrame, bound: int) -> DataFrame:
+def _round(now: DataFrame, bound: int, edges: int) -> DataFrame:
     """Each node points its larger neighbours to its smallest one, then its smaller ones and itself."""
     both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    large = _least(both, bound).where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
-    small = _least(large.distinct(), bound)
+    large = _least(both, bound, edges).where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
+    small = _least(large.distinct(), bound, edges)
     pair = lambda x: F.struct(F.col(x).alias("u"), F.col("m").alias("v"))
     return small.select(F.explode(F.array(pair("u"), pair("v"))).alias("e")).select("e.*").where("u <> v").distinct()
 
@@ -41,7 +43,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", hub: int = HUB) ->
     now = reliable(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct())
     state = (now.count(), None)
     while state[0]:
-        now = reliable(_round(now, max(hub, state[0] // FEW_HUBS)))
+        now = reliable(_round(now, max(hub, state[0] // FEW_HUBS), state[0]))
         seen = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
         if seen == state:
             break

@@ -544,7 +544,7 @@ def near_duplicates(docs: DataFrame, likeness: int = LIKENESS, words: int = WORD
         if not first.where("clash or twofold").isEmpty():
             continue
         roots, links = set_links(candidate_sets(slim, likeness, naming, frequent, long), likeness)
-        if links.isEmpty() or false_links(links, table, slim, likeness, words).isEmpty():
+        if false_links(links, table, slim, likeness, words).isEmpty():
             break
     first = first.where("n > 0").select("set", "own")
     named = first.join(roots, first["set"] == roots["node"], "left").select("set", "own", "root")

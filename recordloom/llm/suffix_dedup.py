@@ -15,9 +15,10 @@ hash (the leftmost of equals). Equal windows have their anchors at equal offsets
 4. Texts gather what covers them, and lose it.
 
 Equal contexts within a text, as periodic passages have by thousands, cover each other at once, and one of them goes on.
-An anchor that more than `hot` texts have isn't brought together in one task: equal contexts are counted by partial
-aggregation, the windows of different ones are hashed and counted in the same way, and those with two places cover bytes.
-The result is the same.
+An anchor that very many texts have isn't brought together in one task. A sample of texts names such anchors before anything
+is shuffled: their places are dealt at random, as they need no company to be known as repeated; anchors that the sample misses
+and more than `hot` texts have are found afterwards. For both, equal contexts are counted by partial aggregation, the windows of
+different ones are hashed and counted in the same way, and those with two places cover bytes. The result is the same.
 """
 
 from __future__ import annotations
@@ -35,6 +36,9 @@ from .common import lean, reliable, slices, span_hashes, text_of, trim
 
 #: Production parameters: bytes of a repeat, bytes of an anchor, texts with an anchor that one task may hold.
 WIDTH, ANCHOR, HOT = 200, 64, 200_000
+#: Texts of the sample at least, places of an anchor in it from which it's hot, tasks that a hot anchor's places are dealt to,
+#: and hot anchors that may be broadcast (beyond, only `hot` counts).
+SAMPLE, OFTEN, DEAL, FEW_HOT = 4000, 32, 997, 1_000_000
 _PIECE = 1 << 19
 
 
@@ -155,23 +159,50 @@ def _batches(rows: Iterator[tuple], schema: str, size: int) -> Iterator[pa.Recor
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held, strict=True), kinds, strict=True)], names=list(names))
 
 
-def _repeated_anchors(keyed: DataFrame, width: int, k: int) -> DataFrame:
-    """anchor, k1, k2, place, rank of the anchors that stand at two places or more; rank numbers an anchor's texts."""
+def hot_anchors(keyed: DataFrame, width: int = WIDTH, k: int = ANCHOR, hot: int = HOT, sample: int = SAMPLE, often: int = OFTEN) -> np.ndarray:
+    """Sorted anchors with `often` places or more in a sample of the texts, by hash. The sample has `sample` texts at
+    least, and enough of a large corpus for anchors that `hot` texts have; their number is bounded by its size over `often`."""
+    rows = keyed.count()
+    step = max(1, min(rows // sample, hot // (2 * often)))
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in (x for batch in batches for x in slices(batch, 0, 1 << 23)):
+            own = [anchors(t.encode(), width, k)[1] for t in set(b.column(0).to_pylist())]
+            names, n = np.unique(np.concatenate([np.empty(0, np.uint64), *own]).view(np.int64), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(n, pa.int64())], names=["anchor", "n"])
+        trim()
+
+    some = keyed.where(F.pmod(F.xxhash64("k1", "k2"), F.lit(step)) == 0).select("text").mapInArrow(find, "anchor long, n long")
+    found = some.groupBy("anchor").agg(F.sum("n").alias("n")).where(F.col("n") >= often).select("anchor").limit(FEW_HOT + 1).toPandas()["anchor"].to_numpy(dtype=np.int64)
+    return np.sort(found) if len(found) <= FEW_HOT else found[:0]
+
+
+def _repeated_anchors(keyed: DataFrame, width: int, k: int, hot: np.ndarray) -> DataFrame:
+    """anchor, k1, k2, place, rank of the anchors that stand at two places or more; rank numbers an anchor's texts, and is -1
+    for those known to be hot."""
+    known_hot = keyed.sparkSession.sparkContext.broadcast(hot)
+
+    def is_hot(names: np.ndarray) -> np.ndarray:
+        table = known_hot.value
+        return table[np.minimum(np.searchsorted(table, names), len(table) - 1)] == names if len(table) else np.zeros(len(names), dtype=bool)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen = set()
             for b in slices(batch, 2, 1 << 23):
-                cols = [[], [], [], []]
+                cols = [[], [], [], [], []]
                 for *key, t in zip(*(c.to_pylist() for c in b.columns), strict=True):
                     raw = t.encode()
                     if len(raw) < width or tuple(key) in seen:
                         continue
                     seen.add(tuple(key))
                     places, hashes = anchors(raw, width, k)
-                    for c, v in zip(cols, (hashes.view(np.int64), np.full(len(places), key[0]), np.full(len(places), key[1]), places), strict=True):
+                    hashes = hashes.view(np.int64)
+                    deal = np.where(is_hot(hashes), 1 + (places + key[0] % DEAL) % DEAL, 0)  # equal rows are dealt alike
+                    for c, v in zip(cols, (hashes, np.full(len(places), key[0]), np.full(len(places), key[1]), places, deal), strict=True):
                         c.append(v)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c) if c else np.empty(0, np.int64)) for c in cols], names=["anchor", "k1", "k2", "place"])
+                flat = [np.concatenate(c) if c else np.empty(0, np.int64) for c in cols]
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in flat[:4]), pa.array(flat[4].astype(np.int16))], names=["anchor", "k1", "k2", "place", "deal"])
         trim()
 
     def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,7 +212,7 @@ def _repeated_anchors(keyed: DataFrame, width: int, k: int) -> DataFrame:
         for b in batches:
             if not b.num_rows:
                 continue
-            now = np.stack([c.to_numpy() for c in b.columns])
+            now = np.stack([c.to_numpy() for c in b.columns[:4]])
             if tail is not None:
                 now = np.concatenate([tail, now], axis=1)
             now = now[:, np.concatenate([[True], (now[:, 1:] != now[:, :-1]).any(axis=0)])]  # copies from several tasks
@@ -194,21 +225,25 @@ def _repeated_anchors(keyed: DataFrame, width: int, k: int) -> DataFrame:
             keep[:-1] |= same
             keep[1:] |= same
             keep[0] |= known
+            sure = is_hot(now[0])
+            keep |= sure
             tail, known, rank = now[:, -1:], bool(keep[-1]), int(ranks[-1])
+            ranks[sure] = -1
             yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in now[:, :-1][:, keep[:-1]]), pa.array(ranks[:-1][keep[:-1]])], names=names)
         if known:
-            yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in tail), pa.array([rank], pa.int64())], names=names)
+            yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in tail), pa.array([-1 if is_hot(tail[0])[0] else rank], pa.int64())], names=names)
 
-    found = keyed.select("k1", "k2", "text").mapInArrow(find, "anchor long, k1 long, k2 long, place long")
-    return found.repartition("anchor").sortWithinPartitions("anchor", "k1", "k2", "place").mapInArrow(repeated, "anchor long, k1 long, k2 long, place long, rank long")
+    found = keyed.select("k1", "k2", "text").mapInArrow(find, "anchor long, k1 long, k2 long, place long, deal short")
+    return found.repartition("anchor", "deal").sortWithinPartitions("anchor", "deal", "k1", "k2", "place").mapInArrow(repeated, "anchor long, k1 long, k2 long, place long, rank long")
 
 
 def covered(keyed: DataFrame, texts: DataFrame, width: int = WIDTH, k: int = ANCHOR, hot: int = HOT) -> DataFrame:
     """k1, k2, start, stop: byte ranges of texts that maximal repeats cover. keyed has k1, k2, text for each row, texts k1,
     k2, text, copies for each text."""
-    places = reliable(_repeated_anchors(keyed, width, k))
-    crowded = reliable(places.where(F.col("rank") >= hot).select(F.col("anchor").alias("crowd")).distinct())
-    by_text = places.groupBy("k1", "k2").agg(F.collect_list(F.struct("place", "anchor")).alias("places"))
+    places = reliable(_repeated_anchors(keyed, width, k, hot_anchors(keyed, width, k, hot)))
+    crowded = reliable(places.where((F.col("rank") >= hot) | (F.col("rank") < 0)).select(F.col("anchor").alias("crowd")).distinct())
+    n_crowded = crowded.count()
+    crowded = F.broadcast(crowded) if n_crowded <= FEW_HOT else crowded
     fields = "anchor long,k1 long,k2 long,place long,stop long,right binary,left binary"
     ranges = "k1 long,k2 long,start long,stop long"
 
@@ -244,13 +279,18 @@ def covered(keyed: DataFrame, texts: DataFrame, width: int = WIDTH, k: int = ANC
 
         yield from _batches(rows(), "w1 long,w2 long,anchor long,c string,shift long,a1 long,a2 long,a long,b1 long,b2 long,b long", 8192)
 
-    found = texts.select("k1", "k2", "text", "copies").join(by_text, ["k1", "k2"]).mapInArrow(contexts, fields)
+    def found(of: DataFrame) -> DataFrame:
+        by_text = of.groupBy("k1", "k2").agg(F.collect_list(F.struct("place", "anchor")).alias("places"))
+        return texts.select("k1", "k2", "text", "copies").join(by_text, ["k1", "k2"]).mapInArrow(contexts, fields)
+
     grouped = lambda df: df.repartition("anchor").sortWithinPartitions("anchor", "right").mapInArrow(cover, ranges)
-    if crowded.isEmpty():
-        return grouped(found)
-    is_crowded = (F.col("anchor") == F.col("crowd")) & F.col("stop").isNull()
-    calm = grouped(found.join(crowded, is_crowded, "left_anti"))
-    dense = found.join(crowded, is_crowded, "left_semi").withColumn("c", F.concat_ws("-", F.sha2("right", 256), F.sha2("left", 256)))
+    if not n_crowded:
+        return grouped(found(places))
+    is_crowded = F.col("anchor") == F.col("crowd")
+    calm = grouped(found(places.join(crowded, is_crowded, "left_anti")))
+    dense = found(places.join(crowded, is_crowded, "left_semi"))
+    calm = calm.union(dense.where("stop is not null").select("k1", "k2", F.col("place").alias("start"), "stop"))
+    dense = dense.where("stop is null").withColumn("c", F.concat_ws("-", F.sha2("right", 256), F.sha2("left", 256)))
     place = F.struct("k1", "k2", "place")
     kinds = dense.groupBy("anchor", "c").agg(F.first("right").alias("right"), F.first("left").alias("left"), F.min(place).alias("low"), F.max(place).alias("high"))
     each = kinds.mapInArrow(windows, "w1 long, w2 long, anchor long, c string, shift long, a1 long, a2 long, a long, b1 long, b2 long, b long")

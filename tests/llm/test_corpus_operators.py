@@ -252,6 +252,19 @@ def test_repeats(docs, rows, width, k, hot):
     assert sorted(map(tuple, got)) == removal_brute(rows, width)
 
 
+@pytest.mark.parametrize(("often", "few"), [(3, 1_000_000), (2, 1_000_000), (3, 2)])
+def test_anchors_known_to_be_hot(spark, rows, often, few, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "FEW_HOT", few)
+    plain = suffix_dedup.hot_anchors
+    monkeypatch.setattr(suffix_dedup, "hot_anchors", lambda keyed, width, k, hot: plain(keyed, width, k, hot, often=often))
+    r = random.Random(6)
+    say = lambda n: " ".join(str(r.randint(0, 999)) for _ in range(n))
+    line = say(30)
+    more = [(2000 + i, f"{say(i % 9)} {line} " * (1 + i % 4) + ("ab" * 200 if i % 5 == 0 else ""), None, None, 0) for i in range(40)]
+    every = rows + more
+    assert sorted(map(tuple, suffix_dedup.removal_report(spark.createDataFrame(every, SCHEMA).repartition(3), width=60, k=20).collect())) == removal_brute(every, 60)
+
+
 def test_repeat_corner_cases(odd, spark):
     got = suffix_dedup.removal_report(odd).collect()
     assert len(got) == 5 and all(r.n_removed == 0 for r in got)
