@@ -127,6 +127,12 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+def claim(df: DataFrame, name: str) -> None:
+    """ValueError if df has a column of that name already."""
+    if name.lower() in {c.lower() for c in df.columns}:
+        raise ValueError(f"the table has a column {name} already; give another name with into=")
+
+
 def slices(batch: pa.RecordBatch, text: int, most: int) -> Iterator[pa.RecordBatch]:
     """The batch in slices of about `most` bytes of the text column with that number; a longer text is alone."""
     if batch.num_rows:

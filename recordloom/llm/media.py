@@ -8,13 +8,16 @@ object at place 0 gives the value its type, whatever type was declared; objects
 from __future__ import annotations
 
 import hashlib
+import re
 import struct
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -144,15 +147,21 @@ def _riff(b: bytes, at: int) -> tuple[int, str, str] | None:
 
 
 def _flac(b: bytes, at: int) -> tuple[int, str, str] | None:
+    """Blocks of metadata, then frames. The format has no length of the whole, so the object is taken to end with the value."""
     i, first = at + 4, True
     while i + 4 <= len(b):
         n = int.from_bytes(b[i + 1 : i + 4], "big")
         if first and (b[i] & 0x7F or n != 34):
             return None
+        if first and i + 38 <= len(b):  # stream parameters: 20 bits of rate, 3 of channels, 5 of sample size
+            packed = int.from_bytes(b[i + 14 : i + 18], "big")
+            rate, channels, bits = packed >> 12, (packed >> 9 & 7) + 1, (packed >> 4 & 31) + 1
+        elif first:
+            return None
         last, first = b[i] & 0x80, False
         i += 4 + n
         if last:
-            return (len(b), "audio/flac", "") if i + 2 <= len(b) and b[i] == 0xFF and b[i + 1] & 0xFC == 0xF8 else None
+            return (len(b), "audio/flac", f"{rate}Hz:{channels}ch:{bits}bit") if i + 2 <= len(b) and b[i] == 0xFF and b[i + 1] & 0xFC == 0xF8 else None
     return None
 
 
@@ -180,23 +189,65 @@ def _mp4(b: bytes, at: int) -> tuple[int, str, str] | None:
     return (i, "video/mp4", b[at + 8 : at + 12].decode("latin-1")) if b"moov" in names or b"mdat" in names or b"moof" in names else None
 
 
-def _pdf(b: bytes, at: int) -> tuple[int, str, str] | None:
+def _pdf(b: bytes, at: int, ends: "Ends") -> tuple[int, str, str] | None:
+    """From the header to the last end mark before the next header; updates of a file append sections with end marks of their
+    own, another file starts with a header."""
     if at + 8 > len(b) or not b[at + 5 : at + 6].isdigit():
         return None
-    mark = b.rfind(b"startxref", at)
-    end = b.find(b"%%EOF", mark) if mark > 0 else -1
-    return (end + 5, "application/pdf", b[at + 5 : at + 8].decode("latin-1")) if end > 0 and b.find(b" obj", at, end) > 0 else None
+    mark = ends.last(b"startxref", at, ends.next(b"%PDF-", at + 5, len(b)))
+    end = ends.next(b"%%EOF", mark, -1) if mark >= 0 else -1
+    return (end + 5, "application/pdf", b[at + 5 : at + 8].decode("latin-1")) if end > 0 and ends.next(b" obj", at, len(b)) < end else None
 
 
-def _zip(b: bytes, at: int) -> tuple[int, str, str] | None:
-    mark = b.find(b"PK\x05\x06", at)
-    if mark < 0 or mark + 22 > len(b):
+def _zip(b: bytes, at: int, ends: "Ends") -> tuple[int, str, str] | None:
+    """The end record that counts its places from here; entries that are stored archives have end records of their own."""
+    mark = ends.zipped().get(at, -1)
+    if mark < 0:
         return None
-    n, size, offset, note = struct.unpack_from("<HIIH", b, mark + 10)
-    return (mark + 22 + note, "application/zip", f"{n} entries") if at + offset + size == mark and mark + 22 + note <= len(b) else None
+    n, note = struct.unpack_from("<H", b, mark + 10)[0], struct.unpack_from("<H", b, mark + 20)[0]
+    return mark + 22 + note, "application/zip", f"{n} entries"
+
+
+class Ends:
+    """Places of end marks in a value, each kind found once."""
+
+    def __init__(self, value: bytes) -> None:
+        self.value = value
+        self.places: dict[bytes, list[int]] = {}
+        self.archives: dict[int, int] | None = None
+
+    def all(self, word: bytes) -> list[int]:
+        if word not in self.places:
+            self.places[word] = [m.start() for m in re.finditer(re.escape(word), self.value)]
+        return self.places[word]
+
+    def next(self, word: bytes, at: int, none: int) -> int:
+        """The first place from `at` on."""
+        places = self.all(word)
+        i = bisect_left(places, at)
+        return places[i] if i < len(places) else none
+
+    def last(self, word: bytes, at: int, stop: int) -> int:
+        """The last place from `at` on that is before `stop`, -1 if there is none."""
+        places = self.all(word)
+        i = bisect_left(places, stop) - 1
+        return places[i] if i >= 0 and places[i] >= at else -1
+
+    def zipped(self) -> dict[int, int]:
+        """The last end record of each archive, by the place where the archive starts."""
+        if self.archives is None:
+            self.archives = {}
+            for mark in self.all(b"PK\x05\x06"):
+                if mark + 22 <= len(self.value):
+                    size, offset, note = struct.unpack_from("<IIH", self.value, mark + 12)
+                    if mark + 22 + note <= len(self.value) and mark >= offset + size:
+                        self.archives[mark - offset - size] = mark
+        return self.archives
 
 
 VALIDATORS = {"image/png": _png, "image/jpeg": _jpeg, "image/gif": _gif, "image/bmp": _bmp, "riff": _riff, "audio/flac": _flac, "audio/ogg": _ogg, "video/mp4": _mp4, "application/pdf": _pdf, "application/zip": _zip}
+#: Validators that search for an end mark; they share one search of the value.
+LOOK_AHEAD = frozenset(("application/pdf", "application/zip"))
 
 
 @lru_cache(maxsize=1)
@@ -213,10 +264,11 @@ def sniff(value: bytes | None) -> list[Found]:
     out: list[Found] = []
     if not value:
         return out
+    ends = Ends(value)
     places = sorted({(stop + 1 - size - before, kind) for stop, (size, before, kind) in _automaton().iter(value.decode("latin-1"))})
     free = 0
     for at, kind in places:
-        if at >= free and (got := VALIDATORS[kind](value, at)):
+        if at >= free and (got := VALIDATORS[kind](value, at, ends) if kind in LOOK_AHEAD else VALIDATORS[kind](value, at)):
             out.append(Found(at, got[0], got[1], got[2]))
             free = got[0]
     return out
@@ -240,6 +292,29 @@ def wav_samples(value: bytes, start: int, end: int) -> bytes:
     raise ValueError("no data chunk")
 
 
+def sample_features(samples: bytes) -> str:
+    """What unsigned 8-bit samples are like: peak, mean, root mean square around the middle, crossings of the middle, entropy in
+    bits, and energy in eight bands of the spectrum (in thousandths, over windows of 192 samples, all of them)."""
+    x = np.frombuffer(samples, dtype=np.uint8)
+    if not len(x):
+        return "peak=0;mean=0;rms=0;cross=0;entropy=0;bands="
+    n, total, square, cross, peak = len(x), 0, 0, 0, 0
+    counts, bands = np.zeros(256, dtype=np.int64), np.zeros(8)
+    for at in range(0, n, 192 << 10):
+        part = x[at : at + (192 << 10)].astype(np.int64) - 128
+        counts += np.bincount(part + 128, minlength=256)
+        total, square, peak = total + int(part.sum()), square + int((part * part).sum()), max(peak, int(np.abs(part).max()))
+        sign = (x[max(0, at - 1) : at + (192 << 10)] >= 128).astype(np.int8)
+        cross += int(np.abs(np.diff(sign)).sum())
+        frames = part[: len(part) // 192 * 192].reshape(-1, 192)
+        if len(frames):
+            power = np.abs(np.fft.rfft(frames - frames.mean(axis=1, keepdims=True), axis=1)[:, 1:97]) ** 2
+            bands += power.sum(axis=0).reshape(8, 12).sum(axis=1)
+    share = counts[counts > 0] / n
+    shown = (1000 * bands / max(bands.sum(), 1e-9)).round().astype(int)
+    return f"peak={peak};mean={total / n:.3f};rms={(square / n) ** 0.5:.3f};cross={cross};entropy={-(share * np.log2(share)).sum() + 0.0:.3f};bands={','.join(map(str, shown))}"
+
+
 def inspect(df: DataFrame, value_col: str, declared_col: str | None = None, id_col: str = "id") -> DataFrame:
     """id, declared, kind, corrected, objects (array of start, end, kind, detail, sha256) for each row of a binary column.
 
@@ -266,17 +341,20 @@ def inspect(df: DataFrame, value_col: str, declared_col: str | None = None, id_c
 
 
 def text_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit: int = 192) -> DataFrame:
-    """doc_id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature.
+    """doc_id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature, declared, kind,
+    corrected, objects.
 
     Each whole text (null: empty) as UTF-8, with spaces up to a positive multiple of `unit`, becomes the samples of a
-    stored WAVE value. The stored bytes alone are then sniffed, the object that spans them is validated and its samples
-    are read back; the digests are of what was read. feature: type, parameters, and types of objects carved from the
-    samples. One row for each row; equal texts give equal values; ids may be null or repeated.
+    stored WAVE value, which is declared to be unknown bytes. The stored bytes alone are then sniffed: the object that
+    spans them is validated and corrects the declared type, its samples are read back, and objects inside the samples are
+    carved (type:place:length, joined by commas). The digests and features are of what was read. feature: type, parameters
+    and sample_features. One row for each row; equal texts give equal values; ids may be null or repeated.
     """
+    names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "declared", "kind", "corrected", "objects"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.bool_(), pa.string()]
+    declared = "application/octet-stream"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
-        types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
         for b in batches:
             rows = []
             for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
@@ -284,9 +362,10 @@ def text_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 stored = wav8(raw + b" " * (-len(raw) % unit or unit * (not raw)))
                 whole = sniff(stored)[0]
                 back = wav_samples(stored, whole.start, whole.end)
-                inner = ",".join(f.kind for f in sniff(back)) or "-"
-                rows.append((i, len(raw), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-16:]), len(stored), hashlib.sha256(stored).hexdigest(), f"{whole.kind};{whole.detail};{len(back)} samples;inside:{inner}"))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 8, types, strict=True)], names=names)
+                objects = ",".join(f"{f.kind}:{f.start}:{f.end - f.start}" for f in sniff(back))
+                feature = f"{whole.kind};{whole.detail};{len(back)} samples;{sample_features(back)}"
+                rows.append((i, len(raw), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-16:]), len(stored), hashlib.sha256(stored).hexdigest(), feature, declared, whole.kind, whole.kind != declared, objects))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * len(names), types, strict=True)], names=names)
 
     rows = lean(docs).select(docs[id_col].cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    return rows.mapInArrow(run, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, declared string, kind string, corrected boolean, objects string")

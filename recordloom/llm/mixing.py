@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, free_name, key_of, order_bits, reliable, text_of
+from .common import WORD, claim, free_name, key_of, order_bits, reliable, text_of
 
 PATTERN = (5, 2, 1)
 
@@ -86,8 +86,9 @@ def take_counts(docs: DataFrame, quality: Column | None = None, seed: int = 29,
     The first round comes as near as half a document's size on average, each further round much nearer; at last the
     smallest document that is left goes in too, if that brings the sum nearer to the target than without. Null text has size 0; null sources are one source, last in order; null ids count like others. Equal
     rows have equal keys and are taken or left together. A source of size 0 has target 0. Reruns agree. An empty table
-    gives no rows. Extra columns are kept; the struct's name must be free.
+    gives no rows. Extra columns are kept; ValueError if the struct's name is taken.
     """
+    claim(docs, into)
     size = word_count(text_col)
     calc, rest = free_name(docs, "calc"), [F.col(f"`{c}`") for c in docs.columns]
     u = _uniform(F.concat_ws("|", F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.md5(F.encode(text_of(text_col), "utf-8"))))

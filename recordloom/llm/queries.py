@@ -30,7 +30,7 @@ def op2_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
-    return quality.classify(docs, read(spark, sf_dir, "labels"), into="found").select("doc_id", "found.*")
+    return quality.classify(docs, read(spark, sf_dir, "labels"), into="found", carry=["doc_id"]).select("doc_id", "found.*")
 
 
 def op4_media(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -143,9 +143,76 @@ def test_quality_on_held_out_documents(judged):
 def test_distinct_words_are_of_the_whole_text():
     same = ["word"] * 2400
     between = [f"w{i}" if i % 6 else "word" for i in range(2400)]  # a stride of six words sees no difference
-    far = [quality.features(" ".join(w))[5] for w in (same, between, [f"w{i}" for i in range(2400)])]
+    far = quality.features([" ".join(w) for w in (same, between, [f"w{i}" for i in range(2400)])])[:, 5]
     assert 0 <= far[0] < far[1] < far[2] == 1 and far[1] > 0.9
-    assert quality.features("")[1:] == [0.0] * 9
+    assert not quality.features(["", " \n"])[:, 1:].any() and quality.features([]).shape == (0, 522)
+
+
+def test_features_by_brute_force(rows):
+    texts = [t or "" for _, t, *_ in rows] + ["A!! b,b 12 É", "x " * 3000]
+    got = quality.features(texts, piece=500)
+    assert (got == quality.features(texts)).all()
+    for t, x in zip(texts, got, strict=True):
+        w = WORD.findall(t)
+        if not w:
+            continue
+        raw, solid = t.encode(), "".join(w).encode()
+        letters = lambda a, b, c, d: sum(a <= v < b or c <= v < d for v in raw)  # noqa: B023, E731
+        low, up = letters(97, 123, 0xA0, 0xC0), letters(65, 91, 0x80, 0xA0)
+        want = [1, up / max(1, low + up), sum(chr(v) in "!#$%&*+<=>@\\^_`{|}~" for v in raw) / len(raw), (len(solid) - low - up) / len(solid), sum(a == b for a, b in zip(w, w[1:], strict=False)) / len(w)]
+        lower = {re.sub("[A-Z]", lambda m: m[0].lower(), y) for y in w}
+        want += [math.log1p(len(lower)) / math.log1p(len(w)), math.log1p(len(w)) / 10, sum(chr(v) in ".," for v in raw) / len(w), sum(48 <= v < 58 for v in raw) / len(raw), min(3, len(solid) / len(w) / 8)]
+        want[4] = sum(a.lower() == b.lower() for a, b in zip(w, w[1:], strict=False)) / len(w)
+        assert x[:10] == pytest.approx(want, abs=1e-5)
+        assert np.linalg.norm(x[10:266]) == pytest.approx(1, abs=1e-4)
+
+
+def test_posteriors_by_brute_force(judged):
+    labels = judged.where("doc_id < 150").select("doc_id", F.col("truth").alias("quality"))
+    weights, base = quality.train(judged, labels)
+    rows = judged.withColumn("lang", F.when(F.col("doc_id") % 3 == 0, "fr").otherwise("en")).orderBy("doc_id").collect()
+    docs = judged.withColumn("lang", F.when(F.col("doc_id") % 3 == 0, "fr").otherwise("en"))
+    e = 1 / (1 + np.exp(-(quality.features([r.text for r in rows]).astype(float) @ weights)))
+    host, path = np.array([r.source for r in rows]), np.array([f"{r.source}/{r.lang}" for r in rows])
+    n, mean = len(e), e.mean()
+
+    def parts(g):
+        groups = [e[g == x] for x in set(g)]
+        return len(groups), sum(((x - x.mean()) ** 2).sum() for x in groups), sum(len(x) ** 2 for x in groups)
+
+    def strength(k, inner, outer, n2, above):
+        noise = max(inner / (n - k), 1e-9)
+        return float(np.clip(noise / max((outer - inner - (k - above) * noise) / max(n - n2 / n, 1.0), 1e-9), 2, 10_000))
+
+    (kh, wh, nh), (kp, wp, np_) = parts(host), parts(path)
+    s_host, s_path = strength(kh, wh, ((e - mean) ** 2).sum(), nh, 1), strength(kp, wp, wh, np_, kh)
+    logit = lambda p: math.log(min(max(p, 1e-6), 1 - 1e-6) / (1 - min(max(p, 1e-6), 1 - 1e-6)))
+    want = []
+    for i in range(n):
+        h, p = e[host == host[i]], e[path == path[i]]
+        rate = (h.sum() - e[i] + s_host * mean) / (len(h) - 1 + s_host)
+        own = (p.sum() - e[i] + s_path * rate) / (len(p) - 1 + s_path)
+        want.append((e[i], rate, own, 1 / (1 + math.exp(-(logit(e[i]) - math.log(base / (1 - base)) + logit(own))))))
+    for carry in (None, ["doc_id"]):
+        got = quality.classify(docs, labels, carry=carry).orderBy("doc_id").select("quality.*").collect()
+        assert np.array([r[:4] for r in got], dtype=float) == pytest.approx(np.array(want), abs=1e-5)
+
+
+def test_sites_change_the_odds_of_equal_texts(spark, judged):
+    labels = judged.where("doc_id < 200").select("doc_id", F.col("truth").alias("quality"))
+    more = [(5000 + i, t, "en", s, 0) for s, t in (("good", "The river moves slowly. Stone and water of the river."), ("bad", "RIVER!! STONE!! WATER!!")) for i in range(60)]
+    open_ = [(9000, "River stone!!", "en", "good", 0), (9001, "River stone!!", "en", "bad", 0)]
+    got = quality.classify(judged.drop("truth").union(spark.createDataFrame(more + open_, SCHEMA)), labels).where("doc_id >= 9000").orderBy("doc_id").select("quality.*").collect()
+    odds = [r.posterior / (1 - r.posterior) for r in got]
+    assert got[0].evidence == got[1].evidence and odds[0] > 20 * odds[1]
+
+
+def test_repeated_labelled_ids_are_one_row(spark, judged):
+    labels = judged.where("doc_id < 100").select("doc_id", F.col("truth").alias("quality"))
+    often = judged.union(judged).union(judged.where("doc_id < 5"))
+    assert quality.train(often, labels)[0] == pytest.approx(quality.train(judged, labels)[0], abs=1e-6)
+    with pytest.raises(ValueError):
+        quality.classify(judged, labels, into="text")
 
 
 def test_rates_are_shrunk(spark, judged):
@@ -218,8 +285,10 @@ def test_heavier_documents_come_first(spark):
 
 
 def test_mix_corner_cases(odd):
-    got = mixing.take_counts(odd)
-    assert got.columns == [*odd.columns, "mix"] and got.count() == 5
+    got = mixing.take_counts(odd, into="mixed")
+    assert got.columns == [*odd.columns, "mixed"] and got.count() == 5
+    with pytest.raises(ValueError):
+        mixing.take_counts(odd)
     out = mixing.mixed_documents(odd)
     assert out.columns == odd.columns
     assert mixing.mixed_documents(odd.limit(0)).count() == 0

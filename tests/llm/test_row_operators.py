@@ -115,7 +115,49 @@ def test_text_media_round_trip(spark):
         want[i] = (len(raw), size, hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]))
     for r in got:
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == want[r.doc_id]
-        assert r.media_bytes == r.payload_bytes + 44 and r.feature.startswith("audio/wav;")
+        assert r.media_bytes == r.payload_bytes + 44 and r.feature.startswith("audio/wav;") and r.corrected and r.kind == "audio/wav"
+    by = {r.doc_id: r for r in got if r.doc_id}
+    assert by[len(texts) - 1].objects.startswith("image/gif:") == ("image/gif" in [f.kind for f in media.sniff(texts[-1].encode())])
+
+
+def test_neighbours_are_carved_apart():
+    import io
+    import zipfile
+
+    def archive(name, inner=b"x"):
+        z = io.BytesIO()
+        with zipfile.ZipFile(z, "w") as f:
+            f.writestr(name, inner)
+        return z.getvalue()
+
+    one, two = archive("a"), archive("b", archive("inside"))
+    values = [PDF, PDF.replace(b"%%EOF", b"%%EOF\n2 0 obj\n<<>>\nendobj\nstartxref\n9\n%%EOF"), one, two, PDF]
+    whole = b"junk".join(values)
+    found = media.sniff(whole)
+    assert [whole[f.start : f.end] for f in found] == values
+
+
+@pytest.mark.parametrize("magic", [m for m, *_ in media.MAGIC] + [b"PK\x03\x04PK\x05\x06", b"%PDF-1 startxref", b"fLaC\x80\0\0\x22"])
+def test_sniffing_is_linear(magic):
+    took = []
+    for size in (1 << 17, 1 << 19):
+        began = time.process_time()
+        media.sniff(magic * (size // len(magic)))
+        took.append(time.process_time() - began)
+    assert took[1] < 9 * took[0] + 0.3
+
+
+def test_features_are_of_the_samples():
+    assert "peak=128;mean=-128.000;rms=128.000;cross=0;entropy=0.000" in media.sample_features(b"\0" * 192)
+    wave = lambda k: bytes(int(128 + 100 * math.sin(2 * math.pi * k * i / 192)) for i in range(192 * 3))
+    for k, band in ((3, 0), (30, 2), (90, 7)):
+        shown = [int(x) for x in media.sample_features(wave(k)).split("bands=")[1].split(",")]
+        assert shown.index(max(shown)) == band and max(shown) > 900
+    r = random.Random(1)
+    long = bytes(r.randrange(256) for _ in range((192 << 10) + 500))
+    x = [v - 128 for v in long]
+    cross = sum((a >= 0) != (b >= 0) for a, b in zip(x, x[1:], strict=False))
+    assert f";mean={sum(x) / len(x):.3f};rms={(sum(v * v for v in x) / len(x)) ** 0.5:.3f};cross={cross};" in media.sample_features(long)
 
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p><p>no</p>";</script></head><body>
