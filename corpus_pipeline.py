@@ -21,14 +21,16 @@ LIKENESS, WORDS = 80, 5
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier keeps."""
+    """Documents that the classifier keeps. Null text is judged as empty text, repeated rows alike; very long texts are read
+    whole; null sources and languages are groups; without labels, or documents, all (none) are kept."""
     name = free_name(docs, "quality")
     return quality.classify(docs, read(spark, sf_dir, "labels"), into=name).where(F.col(f"{name}.keep")).drop(name)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without boilerplate lines, whatever share of a document they are; n_chars follows the text. Lines that
-    only near copies of one text take to many sites stay."""
+    only near copies of one text take to many sites stay. Null text stays null, a document of nothing but boilerplate becomes
+    empty; repeated rows are cleaned alike; a null source is a site."""
     name = free_name(docs, "cleaned")
     out = line_dedup.remove_lines(docs, line_dedup.independent_lines(docs, likeness=LIKENESS, words=WORDS), into=name)
     changed = F.col(f"{name}.n_removed") > 0
@@ -40,7 +42,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked ones: that of smallest id. Rows that repeat an id go with it; rows without an
-    id stay."""
+    id stay. Texts without words, null ones included, are like nothing and stay; an empty table stays empty."""
     found, name = ngram_join.near_duplicates(docs, LIKENESS, WORDS), free_name(docs, "gone")
     gone = reliable(found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(name)).distinct())
     if gone.count() <= FEW_IDS:
@@ -49,12 +51,15 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: a document comes as many times as its source's target takes it."""
-    return mixing.mixed_documents(docs)
+    """The mix: a document comes as many times as its source's target takes it. Its weight is the classifier's posterior, rounded
+    so that reruns agree; texts and tables that are empty have weights and mixes too."""
+    name = free_name(docs, "quality")
+    scored = quality.classify(docs, read(spark, sf_dir, "labels"), into=name)
+    return mixing.mixed_documents(scored, quality=F.greatest(F.lit(0.01), F.round(F.col(f"{name}.posterior"), 3))).drop(name)
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of each row of the mix."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of each row of the mix, repeats included. Null text is encoded as empty."""
     return bpe.encode_digests(docs, tokenizer_path("word_bpe_49k.json"))
 
 
