@@ -54,7 +54,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """The mix: a document comes as many times as its source's target takes it. Its weight is the classifier's posterior, rounded
     so that reruns agree; texts and tables that are empty have weights and mixes too."""
     name = free_name(docs, "quality")
-    scored = quality.classify(docs, read(spark, sf_dir, "labels"), into=name)
+    scored = reliable(quality.classify(docs, read(spark, sf_dir, "labels"), into=name))
     return mixing.mixed_documents(scored, quality=F.greatest(F.lit(0.01), F.round(F.col(f"{name}.posterior"), 3))).drop(name)
 
 
