@@ -378,8 +378,8 @@ def candidate_sets(docs: DataFrame, likeness: int = LIKENESS, naming: Naming = N
         trim()
 
     dealt = docs.select(text_of(text_col).alias("text")).mapInArrow(pack, _PACKED)
-    dealt = dealt.repartition(parts, "part").sortWithinPartitions("part", "kind", "bucket").mapInArrow(match, _PACKED)
-    dealt = dealt.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(gather, "set long, n long, central double, tokens binary, keys array<long>")
+    dealt = dealt.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "kind", "bucket").mapInArrow(match, _PACKED)
+    dealt = dealt.repartitionById(parts, F.col("part")).sortWithinPartitions("part").mapInArrow(gather, "set long, n long, central double, tokens binary, keys array<long>")
     return reliable(dealt)
 
 
@@ -505,8 +505,9 @@ def set_links(sets: DataFrame, likeness: int = LIKENESS, short: int = SHORT, blo
     return components(links), links
 
 
-def false_links(links: DataFrame, table: DataFrame, docs: DataFrame, likeness: int, words: int, few: int = FEW_SETS) -> DataFrame:
-    """Of links (a, b), those that the n-grams of the sets' texts don't confirm. Only texts of linked sets move."""
+def false_links(links: DataFrame, first: DataFrame, docs: DataFrame, likeness: int, words: int, few: int = FEW_SETS) -> DataFrame:
+    """Of links (a, b), those that the n-grams of the sets' texts don't confirm; first has the key k1, k2 of one text of each
+    set. Only texts of linked sets move."""
 
     @F.pandas_udf("boolean")
     def unlike(x: pd.Series, y: pd.Series) -> pd.Series:
@@ -518,7 +519,7 @@ def false_links(links: DataFrame, table: DataFrame, docs: DataFrame, likeness: i
         return pd.Series(out, dtype=bool)
 
     linked = links.select(F.explode(F.array("a", "b")).alias("set")).distinct()
-    keys = reliable(table.join(linked, "set", "left_semi").groupBy("set").agg(F.min(F.struct("k1", "k2")).alias("k")).select("set", F.col("k.k1").alias("x1"), F.col("k.k2").alias("x2")))
+    keys = reliable(first.select("set", F.col("k1").alias("x1"), F.col("k2").alias("x2")).join(linked, "set", "left_semi"))
     keys = F.broadcast(keys) if keys.count() <= few else keys
     texts = docs.join(keys, (F.col("k1") == F.col("x1")) & (F.col("k2") == F.col("x2"))).groupBy("set").agg(F.first("text").alias("text"))
     one, two = texts.select(F.col("set").alias("a"), F.col("text").alias("t_a")), texts.select(F.col("set").alias("b"), F.col("text").alias("t_b"))
@@ -539,12 +540,12 @@ def near_duplicates(docs: DataFrame, likeness: int = LIKENESS, words: int = WORD
     for seed in itertools.count():
         naming = Naming(words, seed, 64 if seed else bits)
         table = reliable(set_table(slim, naming))
-        first = table.groupBy("set").agg(F.min(F.when(F.col("n") > 0, F.col("doc_id"))).alias("own"), F.max("n").alias("n"), F.max("clash").alias("clash"), (F.min("check") != F.max("check")).alias("twofold"))
-        first = reliable(first)
+        first = table.groupBy("set").agg(F.min(F.when(F.col("n") > 0, F.col("doc_id"))).alias("own"), F.max("n").alias("n"), F.min(F.struct("k1", "k2")).alias("k"), F.max("clash").alias("clash"), (F.min("check") != F.max("check")).alias("twofold"))
+        first = reliable(first.select("set", "own", "n", "k.k1", "k.k2", "clash", "twofold"))
         if not first.where("clash or twofold").isEmpty():
             continue
         roots, links = set_links(candidate_sets(slim, likeness, naming, frequent, long), likeness)
-        if false_links(links, table, slim, likeness, words).isEmpty():
+        if false_links(links, first, slim, likeness, words).isEmpty():
             break
     first = first.where("n > 0").select("set", "own")
     named = first.join(roots, first["set"] == roots["node"], "left").select("set", "own", "root")
