@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
+from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,7 +47,41 @@ def reliable(df: DataFrame) -> DataFrame:
     if not sc.getCheckpointDir():
         root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
         sc.setCheckpointDir(root)
-    return df.checkpoint()
+    out = df.checkpoint()
+    if _SCRATCH:
+        _SCRATCH[-1].append(out)
+    return out
+
+
+_SCRATCH: list[list[DataFrame]] = []
+
+
+def forget(df: DataFrame) -> None:
+    """Delete the files of a result of reliable() that nothing reads any more."""
+    with contextlib.suppress(Py4JError):  # a plan of another form keeps its files
+        held = df._jdf.queryExecution().logical().rdd().getCheckpointFile()
+        if held.isDefined():
+            jvm, jsc = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc
+            path = jvm.org.apache.hadoop.fs.Path(held.get())
+            path.getFileSystem(jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[DataFrame]]:
+    """Results of reliable() made inside are deleted at the end, but for those put on the list. The driver's collector then
+    runs, so that shuffles of finished jobs leave the executors' disks too."""
+    _SCRATCH.append([])
+    keep: list[DataFrame] = []
+    try:
+        yield keep
+    finally:
+        for df in _SCRATCH.pop():
+            if all(df is not k for k in keep):
+                forget(df)
+            elif _SCRATCH:
+                _SCRATCH[-1].append(df)
+        gc.collect()
+        spark.sparkContext._jvm.java.lang.System.gc()
 
 
 def lean(df: DataFrame, rows: int = 1000, size: str = "8m") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import reliable
+from .common import forget, reliable, scratch
 
 
 #: Edges that one task may hold for a node; nodes with more are at most twice FEW_HUBS, so they may be broadcast.
@@ -40,13 +40,16 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", hub: int = HUB) ->
     together in one task: the bound on a node's edges grows with their number, so that hubs are few. Loops and repeated edges
     count once; edges with a null are left out; no edges, no rows.
     """
-    now = reliable(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct())
-    state = (now.count(), None)
-    while state[0]:
-        now = reliable(_round(now, max(hub, state[0] // FEW_HUBS), state[0]))
-        seen = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
-        if seen == state:
-            break
-        state = seen
+    with scratch(edges.sparkSession) as keep:
+        now = reliable(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct())
+        state = (now.count(), None)
+        while state[0]:
+            last, now = now, reliable(_round(now, max(hub, state[0] // FEW_HUBS), state[0]))
+            forget(last)
+            seen = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
+            if seen == state:
+                break
+            state = seen
+        keep.append(now)
     roots = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.union(roots.select(F.col("root").alias("node"), "root").distinct())

@@ -52,6 +52,7 @@ def independent_lines(docs: DataFrame, min_sites: int = MIN_SITES, likeness: int
     the one of smallest hash counts, so which one is the same in every run and not the same for all groups.
     """
     candidates = reliable(boilerplate_lines(docs, min_sites, text_col, site_col))
+    candidates = F.broadcast(candidates) if candidates.count() <= few_texts else candidates
     keyed = docs.select(F.xxhash64(text_of(text_col)).alias("doc_id"), text_of(text_col).alias("text"), key_of(site_col).alias("site"))
     held = keyed.select(F.col("doc_id").alias("held"), "site", F.explode(_line_hashes(F.col("text"))).alias("line")).join(candidates, "line", "left_semi")
     held = reliable(held.distinct())

@@ -44,7 +44,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE_BYTES, WORD, lean, mix64, reliable, slices, span_hashes, text_of, trim
+from .common import SPACE_BYTES, WORD, lean, mix64, reliable, scratch, slices, span_hashes, text_of, trim
 from .components import components
 
 #: Production parameters: likeness in hundredths, words in an n-gram.
@@ -526,6 +526,23 @@ def false_links(links: DataFrame, first: DataFrame, docs: DataFrame, likeness: i
     return links.join(one, "a").join(two, "b").where(unlike("t_a", "t_b")).select("a", "b")
 
 
+def _named_links(docs: DataFrame, naming: Naming, likeness: int, frequent: int, long: int, keep: list[DataFrame]) -> tuple[DataFrame, DataFrame, DataFrame] | None:
+    """The table of sets, one row for each set, and the roots of linked ones; None if names clash."""
+    table = reliable(set_table(docs, naming))
+    first = table.groupBy("set").agg(F.min(F.when(F.col("n") > 0, F.col("doc_id"))).alias("own"), F.max("n").alias("n"), F.min(F.struct("k1", "k2")).alias("k"), F.max("clash").alias("clash"), (F.min("check") != F.max("check")).alias("twofold"))
+    first = reliable(first.select("set", "own", "n", "k.k1", "k.k2", "clash", "twofold"))
+    if not first.where("clash or twofold").isEmpty():
+        return None
+    with scratch(docs.sparkSession) as own:
+        roots, links = set_links(candidate_sets(docs, likeness, naming, frequent, long), likeness)
+        roots, links = reliable(roots), reliable(links)
+        own += [roots, links]
+    if not false_links(links, first, docs, likeness, naming.words).isEmpty():
+        return None
+    keep += [table, first, roots]
+    return table, first, roots
+
+
 def near_duplicates(docs: DataFrame, likeness: int = LIKENESS, words: int = WORDS, frequent: int = FREQUENT, long: int = LONG, bits: int = 64, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id for each row: the smallest id reachable over links, its own included.
 
@@ -537,16 +554,13 @@ def near_duplicates(docs: DataFrame, likeness: int = LIKENESS, words: int = WORD
     """
     text = text_of(text_col)
     slim = lean(docs).select(docs[id_col].cast("long").alias("doc_id"), F.xxhash64(F.lit(1), text).alias("k1"), F.xxhash64(F.lit(2), text).alias("k2"), text.alias("text"))
+    spark = docs.sparkSession
     for seed in itertools.count():
         naming = Naming(words, seed, 64 if seed else bits)
-        table = reliable(set_table(slim, naming))
-        first = table.groupBy("set").agg(F.min(F.when(F.col("n") > 0, F.col("doc_id"))).alias("own"), F.max("n").alias("n"), F.min(F.struct("k1", "k2")).alias("k"), F.max("clash").alias("clash"), (F.min("check") != F.max("check")).alias("twofold"))
-        first = reliable(first.select("set", "own", "n", "k.k1", "k.k2", "clash", "twofold"))
-        if not first.where("clash or twofold").isEmpty():
-            continue
-        roots, links = set_links(candidate_sets(slim, likeness, naming, frequent, long), likeness)
-        if false_links(links, first, slim, likeness, words).isEmpty():
-            break
+        with scratch(spark) as keep:
+            if found := _named_links(slim, naming, likeness, frequent, long, keep):
+                break
+    table, first, roots = found
     first = first.where("n > 0").select("set", "own")
     named = first.join(roots, first["set"] == roots["node"], "left").select("set", "own", "root")
     groups = named.where("root is not null").groupBy(F.col("root").alias("group")).agg(F.min("own").alias("least"))
