@@ -55,8 +55,8 @@ FREQUENT, LONG = 40, 400
 SKEW_SAMPLE, SKEW_SHARE = 4000, 0.005
 #: Characters of text whose tokens one bucket has, and one partition at least; buckets that are partitions by themselves.
 BUCKET_CHARS, PART_CHARS, FEW_BUCKETS = 1 << 23, 1 << 26, 64
-#: Linked sets whose texts' keys may be broadcast.
-FEW_SETS = 500_000
+#: Linked sets whose texts' keys may be broadcast, and lists of keys that may be.
+FEW_SETS, FEW_LISTS = 500_000, 200_000
 #: Sets of a list whose pairs are rows at most; sets of a block.
 SHORT, BLOCK = 16, 2000
 #: Bytes of text that a worker packs at a time.
@@ -479,17 +479,21 @@ def _cluster_links(keyed: DataFrame, sets: DataFrame, likeness: int, block: int)
 def set_links(sets: DataFrame, likeness: int = LIKENESS, short: int = SHORT, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """(node, root) of the sets that have links: equal roots exactly where links connect; and the links (a, b) found, which
     connect them."""
-    keyed = sets.select("set", "n", F.expr("octet_length(tokens) div 8").alias("m"), "central", F.explode("keys").alias("key"))
-    lists = keyed.groupBy("key").agg(F.count("*").alias("size"), F.max(F.struct("central", "set", "n", "m")).alias("pivot")).where("size > 1")
-    keyed = reliable(keyed.drop("central").join(lists, "key"))
-    stars = keyed.where((F.col("set") != F.col("pivot.set")) & _fits(F.col("n"), F.col("pivot.n"), F.col("m"), F.col("pivot.m"), likeness))
+    def bounded(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if df.count() <= FEW_LISTS else df
+
+    # a set has its keys by the hundreds: they're met where the sets are, as long as the lists can be sent there
+    slim = sets.select("set", "n", F.expr("octet_length(tokens) div 8").alias("m"), "central", "keys")
+    each = slim.select("set", "n", "m", "central", F.explode("keys").alias("key"))
+    lists = reliable(each.groupBy("key").agg(F.count("*").alias("size"), F.max(F.struct("central", "set", "n", "m")).alias("pivot")).where("size > 1").select("key", "pivot"))
+    stars = each.join(bounded(lists), "key").where((F.col("set") != F.col("pivot.set")) & _fits(F.col("n"), F.col("pivot.n"), F.col("m"), F.col("pivot.m"), likeness))
     stars = reliable(stars.select(F.least("set", "pivot.set").alias("a"), F.greatest("set", "pivot.set").alias("b")).distinct())
     links = reliable(_verified(stars, sets, likeness))
     roots = components(links)
 
-    named = keyed.drop("pivot").join(roots, keyed["set"] == roots["node"], "left").select("key", "size", "set", "n", "m", F.coalesce("root", "set").alias("root"))
-    mixed = named.join(named.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key"), "key", "left_semi")
-    mixed = reliable(mixed)
+    rooted = slim.drop("central").join(roots, slim["set"] == roots["node"], "left").select("set", "n", "m", F.coalesce("root", "set").alias("root"), F.explode("keys").alias("key"))
+    open_ = reliable(rooted.groupBy("key").agg(F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key", "size"))
+    mixed = reliable(rooted.join(bounded(open_), "key").select("key", "size", "set", "n", "m", "root"))
     x, y = mixed.where(F.col("size") <= short).alias("x"), mixed.where(F.col("size") <= short).alias("y")
     differ = (F.col("x.key") == F.col("y.key")) & (F.col("x.set") < F.col("y.set")) & (F.col("x.root") != F.col("y.root"))
     across = x.join(y, differ & _fits(F.col("x.n"), F.col("y.n"), F.col("x.m"), F.col("y.m"), likeness))

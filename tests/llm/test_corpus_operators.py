@@ -408,8 +408,9 @@ def link_brute(rows, words=4, likeness=85):
     return sorted((i, len(sets[i]), find(i)) for i in sets)
 
 
-@pytest.mark.parametrize(("short", "block"), [(2, 3), (2, 2000)])
-def test_long_lists_are_whole(docs, rows, short, block, monkeypatch):
+@pytest.mark.parametrize(("short", "block", "few"), [(2, 3, 0), (2, 2000, 200_000)])
+def test_long_lists_are_whole(docs, rows, short, block, few, monkeypatch):
+    monkeypatch.setattr(ngram_join, "FEW_LISTS", few)
     plain = ngram_join.set_links
     monkeypatch.setattr(ngram_join, "set_links", lambda sets, likeness: plain(sets, likeness, short, block))
     assert sorted(map(tuple, ngram_join.near_duplicates(docs, frequent=1, likeness=70).collect())) == link_brute(rows, likeness=70)
