@@ -56,6 +56,13 @@ def reliable(df: DataFrame) -> DataFrame:
 _SCRATCH: list[list[DataFrame]] = []
 
 
+def release(spark: SparkSession) -> None:
+    """Let shuffles of finished jobs leave the executors' disks: Spark drops them once the driver's collector has seen that
+    nothing refers to them."""
+    gc.collect()
+    spark.sparkContext._jvm.java.lang.System.gc()
+
+
 def forget(df: DataFrame) -> None:
     """Delete the files of a result of reliable() that nothing reads any more."""
     with contextlib.suppress(Py4JError):  # a plan of another form keeps its files
@@ -80,8 +87,7 @@ def scratch(spark: SparkSession) -> Iterator[list[DataFrame]]:
                 forget(df)
             elif _SCRATCH:
                 _SCRATCH[-1].append(df)
-        gc.collect()
-        spark.sparkContext._jvm.java.lang.System.gc()
+        release(spark)
 
 
 def lean(df: DataFrame, rows: int = 1000, size: str = "8m") -> DataFrame:
