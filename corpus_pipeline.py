@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordloom.llm import bpe, line_dedup, mixing, ngram_join, quality
-from recordloom.llm.common import free_name, read, reliable
+from recordloom.llm.common import free_name, read, release, reliable
 from recordloom.llm.queries import tokenizer_path
 
 #: Ids of dropped documents that may be broadcast; beyond, they are joined by shuffling.
@@ -31,6 +31,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without boilerplate lines, whatever share of a document they are; n_chars follows the text. Lines that
     only near copies of one text take to many sites stay. Null text stays null, a document of nothing but boilerplate becomes
     empty; repeated rows are cleaned alike; a null source is a site."""
+    release(spark)
     name = free_name(docs, "cleaned")
     out = line_dedup.remove_lines(docs, line_dedup.independent_lines(docs, likeness=LIKENESS, words=WORDS), into=name)
     changed = F.col(f"{name}.n_removed") > 0
@@ -43,6 +44,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked ones: that of smallest id. Rows that repeat an id go with it; rows without an
     id stay. Texts without words, null ones included, are like nothing and stay; an empty table stays empty."""
+    release(spark)
     found, name = ngram_join.near_duplicates(docs, LIKENESS, WORDS), free_name(docs, "gone")
     gone = reliable(found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(name)).distinct())
     if gone.count() <= FEW_IDS:
@@ -54,7 +56,8 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """The mix: a document comes as many times as its source's target takes it. Its weight is the classifier's posterior, rounded
     so that reruns agree; texts and tables that are empty have weights and mixes too."""
     name = free_name(docs, "quality")
-    scored = reliable(quality.classify(docs, read(spark, sf_dir, "labels"), into=name))
+    release(spark)
+    scored = quality.classify(docs, read(spark, sf_dir, "labels"), into=name)
     return mixing.mixed_documents(scored, quality=F.greatest(F.lit(0.01), F.round(F.col(f"{name}.posterior"), 3))).drop(name)
 
 
