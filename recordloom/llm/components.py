@@ -14,22 +14,21 @@ HUB, FEW_HUBS = 2_000, 50_000
 
 def _least(pairs: DataFrame, bound: int, most: int) -> DataFrame:
     """Pairs (u, v) with m, the smallest v of u. Nodes of more than `bound` pairs get it from partial aggregates, the others
-    from a window."""
+    from a window, in which the pairs of the former are dealt by v."""
     if most <= bound:  # no node can have so many
         return pairs.select("u", "v", F.min("v").over(Window.partitionBy("u")).alias("m"))
     heavy = pairs.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).where(F.col("n") > bound).select(F.col("u").alias("hub"), F.col("m").alias("known"))
-    every = pairs.join(F.broadcast(heavy), F.col("u") == F.col("hub"), "left")
-    light = every.where("hub is null").select("u", "v", F.min("v").over(Window.partitionBy("u")).alias("m"))
-    return light.union(every.where("hub is not null").select("u", "v", F.col("known").alias("m")))
+    every = pairs.join(F.broadcast(heavy), F.col("u") == F.col("hub"), "left").withColumn("deal", F.when(F.col("hub").isNotNull(), F.col("v")))
+    return every.select("u", "v", F.coalesce("known", F.min("v").over(Window.partitionBy("u", "deal"))).alias("m"))
 
 
 def _round(now: DataFrame, bound: int, edges: int) -> DataFrame:
     """Each node points its larger neighbours to its smallest one, then its smaller ones and itself."""
-    both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    pair = lambda x, y: F.struct(F.col(x).alias("u"), F.col(y).alias("v"))
+    both = now.select(F.explode(F.array(pair("u", "v"), pair("v", "u"))).alias("e")).select("e.*")
     large = _least(both, bound, edges).where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
     small = _least(large.distinct(), bound, edges)
-    pair = lambda x: F.struct(F.col(x).alias("u"), F.col("m").alias("v"))
-    return small.select(F.explode(F.array(pair("u"), pair("v"))).alias("e")).select("e.*").where("u <> v").distinct()
+    return small.select(F.explode(F.array(pair("u", "m"), pair("v", "m"))).alias("e")).select("e.*").where("u <> v").distinct()
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", hub: int = HUB) -> DataFrame:
