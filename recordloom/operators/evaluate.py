@@ -34,6 +34,11 @@ def entity_scores(anchors: DataFrame, truth: DataFrame, predicted: DataFrame, ca
     pairs = tagged.groupBy("s1_id", "target_id").agg(F.max("t").alias("t"), F.max("p").alias("p"))
     sums = pairs.groupBy("s1_id").agg(F.sum("t").alias("n_true"), F.sum("p").alias("n_pred"), F.sum(F.col("t") * F.col("p")).alias("tp"))
     e = anchors.select("s1_id").join(sums, "s1_id", "left").fillna(0, ["n_true", "n_pred", "tp"])
+    return rates(e)
+
+
+def rates(e: DataFrame) -> DataFrame:
+    """e, a row with n_true, n_pred and tp for each anchor, with is_singleton, fp, fn, precision, recall and f05."""
     e = e.withColumns({"is_singleton": F.col("n_true") == 0, "fp": F.col("n_pred") - F.col("tp"), "fn": F.col("n_true") - F.col("tp")})
     none = F.col("is_singleton") & (F.col("n_pred") == 0)
     precision = F.when(none, F.lit(1.0)).when(F.col("tp") == 0, F.lit(0.0)).otherwise(F.col("tp") / F.col("n_pred"))
@@ -43,11 +48,11 @@ def entity_scores(anchors: DataFrame, truth: DataFrame, predicted: DataFrame, ca
     return e.withColumn("f05", f05)
 
 
-def macro(scores: DataFrame) -> DataFrame:
-    """One row: counts and means over anchors, means rounded to 9 decimals."""
+def macro(scores: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """One row, or one for each group if named: counts and means over anchors, means rounded to 9 decimals."""
     mean = lambda c, when=None: F.round(F.coalesce(F.avg(F.col(c) if when is None else F.when(when, F.col(c))), F.lit(0.0)), 9)
     single = F.col("is_singleton")
-    return scores.agg(
+    return scores.groupBy(*(by or [])).agg(
         F.count("*").alias("anchors"), F.count_if(single).alias("singletons"), F.count_if(~single).alias("matched"), mean("f05").alias("macro_f05"), mean("precision").alias("mean_precision"),
         mean("recall").alias("mean_recall"), mean("f05", single).alias("singleton_f05"), mean("f05", ~single).alias("matched_f05"),
         F.count_if(F.col("f05") >= 0.999999).alias("perfect"), F.count_if(F.col("f05") <= 1e-6).alias("zero"),

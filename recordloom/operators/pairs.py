@@ -73,20 +73,34 @@ def country_features(df: DataFrame) -> DataFrame:
     })
 
 
-def cross_features(df: DataFrame) -> DataFrame:
-    """What names, addresses and countries say together; reads the rounded features."""
+def composite(address: bool = True, numeric_guard: bool = True, country_guard: bool = True) -> Column:
+    """Weighted similarity of names, addresses and countries, lowered by contradictions, from the rounded features. Switches leave out
+    the address, or what a contradiction of numbers or countries costs."""
     c = F.col
-    high_name = (c("name_token_jaccard") >= 0.70) | (c("name_canonical_exact_match") == 1) | (c("name_levenshtein_sim") >= 0.85)
-    high_addr = (c("address_is_missing") == 0) & ((c("address_token_jaccard") >= 0.50) | (c("address_canonical_exact_match") == 1) | (c("address_levenshtein_sim") >= 0.75))
-    exact = (c("name_exact_match") == 1) | (c("name_clean_exact_match") == 1) | (c("name_canonical_exact_match") == 1)
 
     def part(kind: str) -> Column:
         best = F.greatest(f"{kind}_token_jaccard", f"{kind}_levenshtein_sim", f"{kind}_char_ngram_cosine")
         return F.when(c(f"{kind}_exact_match") == 1, F.lit(1.0)).when(c(f"{kind}_canonical_exact_match") == 1, F.greatest(best, F.lit(0.95))).otherwise(best)
 
     country = F.when(c("country_exact_match") == 1, F.lit(1.0)).when(c("country_compatible") == 1, F.lit(0.8)).otherwise(F.lit(0.0))
-    whole = F.when(c("address_is_missing") == 1, 0.85 * part("name") + 0.15 * country).otherwise(0.55 * part("name") + 0.35 * part("address") + 0.10 * country)
-    whole = whole * F.when(c("country_contradiction") == 1, F.lit(0.15)).otherwise(F.lit(1.0)) * F.when(c("address_numeric_contradiction") == 1, F.lit(0.30)).otherwise(F.lit(1.0))
+    whole = 0.85 * part("name") + 0.15 * country
+    if address:
+        whole = F.when(c("address_is_missing") == 1, whole).otherwise(0.55 * part("name") + 0.35 * part("address") + 0.10 * country)
+    if country_guard:
+        whole = whole * F.when(c("country_contradiction") == 1, F.lit(0.15)).otherwise(F.lit(1.0))
+    if numeric_guard:
+        whole = whole * F.when(c("address_numeric_contradiction") == 1, F.lit(0.30)).otherwise(F.lit(1.0))
+    return whole
+
+
+def cross_features(df: DataFrame) -> DataFrame:
+    """What names, addresses and countries say together; reads the rounded features."""
+    c = F.col
+    high_name = (c("name_token_jaccard") >= 0.70) | (c("name_canonical_exact_match") == 1) | (c("name_levenshtein_sim") >= 0.85)
+    high_addr = (c("address_is_missing") == 0) & ((c("address_token_jaccard") >= 0.50) | (c("address_canonical_exact_match") == 1) | (c("address_levenshtein_sim") >= 0.75))
+    exact = (c("name_exact_match") == 1) | (c("name_clean_exact_match") == 1) | (c("name_canonical_exact_match") == 1)
+
+    whole = composite()
     return df.withColumns({
         "name_and_address_high_sim": _flag(high_name & high_addr), "name_high_address_contradiction": _flag(high_name & (c("address_numeric_contradiction") == 1)),
         "name_exact_diff_country": _flag(exact & (c("country_contradiction") == 1)), "overall_composite_similarity": F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.round(whole, 4))),
@@ -187,5 +201,6 @@ def rule_score(pairs: DataFrame, norm: DataFrame, fuzzy: bool = True, tau: float
     score = F.lit(0.0)
     for holds, value in reversed(rules):
         score = F.when(holds, value).otherwise(score)
-    more = [n.alias("name_sim"), s.alias("addr_sim"), c("jac").alias("jaccard"), c("over").alias("overlap"), postal.alias("same_postal"), c("veto"), no_addr.alias("no_address"), c("a.name_raw").alias("a_name"), c("t.name_raw").alias("t_name")] if details else []
+    more = [n.alias("name_sim"), s.alias("addr_sim"), c("jac").alias("jaccard"), c("over").alias("overlap"), postal.alias("same_postal"), c("veto"), no_addr.alias("no_address"), c("a.name_raw").alias("a_name"), c("t.name_raw").alias("t_name"),
+            "a", "t", "mixed", "an", "tn", "aa", "ta", "x", "y", "ac", "tc", "aj", "tj", "ap", "tp"] if details else []
     return df.select(*pairs.columns, score.alias("score"), *more)

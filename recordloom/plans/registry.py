@@ -504,38 +504,6 @@ def score_separation(spark, sf_dir):
     return x.groupBy(F.col("t").isNotNull().alias("is_true")).agg(F.count("*").alias("n"), r(F.min("score"), "lowest"), r(F.percentile("score", 0.05), "p05"), r(F.avg("score"), "mean"), r(F.percentile("score", 0.95), "p95"), r(F.max("score"), "highest"))
 
 
-PATTERNS = {
-    "P01_canonical_equal": ("name_canonical_exact_match = 1", None), "P02_jaccard_80": ("name_token_jaccard >= 0.8", None), "P03_subset": ("name_token_containment = 1", None), "P04_edit_85": ("name_levenshtein_sim >= 0.85", None),
-    "P05_postal": ("address_postal_code_match = 1", None), "P06_postal_and_name": ("address_postal_code_match = 1 and name_token_jaccard >= 0.5", None), "P07_address_82": ("address_token_jaccard >= 0.82", None),
-    "P08_no_address": ("address_is_missing = 1 and name_canonical_exact_match = 1", None), "P09_cosine_80": ("name_char_ngram_cosine >= 0.8", None), "P10_composite_85": ("overall_composite_similarity >= 0.85", None),
-}
-
-
-@query(sql(*FEATURE_PARTS, B.TRUTH_SQL, then=" UNION ALL ".join(f"SELECT '{k}' AS pattern, count(t.s1_id) AS true_pairs, count(*) - count(t.s1_id) AS false_pairs FROM feats f LEFT JOIN truth t USING (s1_id, target_id) WHERE {c}" for k, (c, _) in PATTERNS.items())))
-def pattern_mining(spark, sf_dir):
-    """Independent predicates over the features, counted in one pass."""
-    x = _features(spark, sf_dir).join(_truth(spark, sf_dir).withColumn("t", F.lit(1)), ["s1_id", "target_id"], "left")
-    hits = x.select("t", F.explode(F.array(*[F.struct(F.lit(k).alias("pattern"), F.expr(c).alias("holds")) for k, (c, _) in PATTERNS.items()])).alias("p"))
-    return hits.groupBy("p.pattern").agg(F.count_if(F.col("p.holds") & F.col("t").isNotNull()).alias("true_pairs"), F.count_if(F.col("p.holds") & F.col("t").isNull()).alias("false_pairs"))
-
-
-CONFIGS = {"full": "true", "no_address": "name_token_jaccard >= 0.0", "no_numeric": "country_contradiction = 0", "no_country": "address_numeric_contradiction = 0", "no_tfidf": "retrieved_by_standard = 1"}
-
-
-@query(sql(*FEATURE_PARTS, B.TRUTH_SQL, then=" UNION ALL ".join(f"SELECT '{k}' AS config, count(*) AS predicted, count(t.s1_id) AS tp FROM feats LEFT JOIN truth t USING (s1_id, target_id) WHERE {'name_levenshtein_sim' if k == 'no_address' else 'overall_composite_similarity'} >= 0.5 AND {'true' if k in ('no_numeric',) else '(address_numeric_contradiction = 0 OR ' + ('true' if k == 'no_address' else 'false') + ')'} AND {'true' if k == 'no_country' else 'country_contradiction = 0'} AND {c}" for k, c in CONFIGS.items())))
-def ablation(spark, sf_dir):
-    """Predictions and hits with one kind of evidence left out at a time; one pass over the features."""
-    x = _features(spark, sf_dir).join(_truth(spark, sf_dir).withColumn("t", F.lit(1)), ["s1_id", "target_id"], "left")
-    rules = []
-    for k, c in CONFIGS.items():
-        score = "name_levenshtein_sim" if k == "no_address" else "overall_composite_similarity"
-        numeric = "true" if k in ("no_numeric", "no_address") else "address_numeric_contradiction = 0"
-        country = "true" if k == "no_country" else "country_contradiction = 0"
-        rules.append(F.struct(F.lit(k).alias("config"), F.expr(f"{score} >= 0.5 and {numeric} and {country} and {c}").alias("yes")))
-    each = x.select("t", F.explode(F.array(*rules)).alias("r")).where("r.yes")
-    return each.groupBy("r.config").agg(F.count("*").alias("predicted"), F.count("t").alias("tp"))
-
-
 # --- outputs ---
 
 
@@ -925,3 +893,6 @@ def source_manifest(spark, sf_dir):
     from ..sources.entities import manifest
 
     return manifest(spark, f"{sf_dir}/nation.parquet")
+
+
+from . import studies  # noqa: E402, F401  (registers its queries)
