@@ -1,5 +1,9 @@
 """Blocking, retrieval, scoring, decisions, metrics and audits on small hand-made tables."""
 
+import math
+from collections import Counter
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -68,6 +72,20 @@ def test_keys(norm):
     assert B.targets_with_keys(B.standard_keys(norm)).count() == 5
 
 
+def test_standard_probe_pairs_few_postings(spark):
+    """Pairing only a key's smallest postings gives what the union of all postings gives."""
+    rows = [("S1", i, f"S1-{i}", k) for i in range(200) for k in ("a", f"b{i % 3}")] + [("S2", i, f"S2-{i}", k) for i in range(400) for k in ("a", f"b{i % 3}", "c")]
+    keys = spark.createDataFrame(rows, "src string, num long, entity_id string, key string")
+    got = {}
+    posts = B.postings(keys, 300)
+    for r in B.probe_standard(keys, posts, 5).collect():
+        got.setdefault(r.s1_id, set()).add(r.target_id)
+    first = {}
+    for r in posts.collect():
+        first.setdefault(r.key, set()).add(r.target_id)
+    assert got == {f"S1-{i}": set(sorted(first["a"] | first[f"b{i % 3}"])[:5]) for i in range(200)}
+
+
 def test_retrieval(spark):
     docs = spark.createDataFrame([("d1", "starbucks coffee"), ("d2", "mcdonalds"), ("d3", "acme logistics"), ("d4", "coffee house"), ("d5", "")], "id string, x string")
     tf = T.counts(docs, "id", "x")
@@ -78,6 +96,35 @@ def test_retrieval(spark):
     assert got["q1", "d1"] > 0.55 and got["q3", "d3"] == pytest.approx(1.0) and len(got) == 2
 
 
+def test_retrieval_of_copies_and_blocks(spark):
+    """All of brute force in any deal of blocks; copies of a name are scored once."""
+    import random
+
+    rng = random.Random(3)
+    words = ["acme", "widget", "north", "star", "coffee", "house", "logistics", "été", "व्यापार"]
+    names = [" ".join(rng.choices(words, k=rng.randint(0, 4))) for _ in range(60)]
+    rows = [(f"S{i % 3 + 1}-{i}", rng.choice(names), i % 3 != 0) for i in range(300)]
+    texts = {i: x for i, x, _ in rows}
+    targets, anchors = [i for i, _, t in rows if t], [i for i, _, t in rows if not t]
+    grams = {i: Counter(f"#{x}#"[j : j + 3] for j in range(len(x))) for i, x in texts.items()}
+    df = Counter(g for i in targets for g in grams[i])
+    n = len(targets)
+    w = {i: {g: (1 + math.log(c)) * (math.log((1 + n) / (1 + df[g])) + 1) for g, c in grams[i].items() if 0 < df[g] <= n * 0.8} for i in texts}
+    norm = {i: math.sqrt(math.fsum(x * x for x in v.values())) for i, v in w.items()}
+    want = set()
+    for a in anchors:
+        scored = [(-round(s, 4), t) for t in targets if norm[a] and norm[t] and (s := math.fsum(x * w[t].get(g, 0) for g, x in w[a].items()) / norm[a] / norm[t]) >= 0.35]
+        want |= {(a, t, -s) for s, t in sorted(scored)[:5]}
+    df = spark.createDataFrame(rows, "id string, text string, target boolean")
+    for block in (10, 100_000):
+        assert {tuple(r) for r in T.similar_texts(df, k=5, block=block).collect()} == want
+    copies = [(f"S{1 + i % 2}-c{i}", "one name that many rows have", i % 2 == 1) for i in range(1200)]
+    got = [tuple(r) for r in T.similar_texts(spark.createDataFrame(copies + rows, "id string, text string, target boolean"), k=2).where(F.col("s1_id").startswith("S1-c")).collect()]
+    assert sorted(got) == sorted((a, t, 1.0) for a, _, t in copies if not t for t in ("S2-c1", "S2-c1001"))
+    assert T.similar_texts(df.where("not target")).count() == T.similar_texts(df.where("target")).count() == T.similar_texts(df.limit(0)).count() == 0
+    assert T.rounded(np.array([0.12345, 0.4, 0.99995, 0.123449])).tolist() == [1235, 4000, 10000, 1234]
+
+
 def test_features(norm, spark):
     pairs = spark.createDataFrame([("S1-1", "S2-1", True, True, 0.9), ("S1-1", "S2-3", True, False, 0.0), ("S1-1", "S3-2", False, False, 0.0)], "s1_id string, target_id string, in_standard boolean, in_tfidf boolean, tfidf double")
     f = {r.target_id: r for r in P.pair_features(pairs, norm).collect()}
