@@ -268,16 +268,20 @@ def covered(keyed: DataFrame, texts: DataFrame, width: int = WIDTH, k: int = ANC
     def cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _batches((x for rows in _groups(batches) for x in _covers(rows, width)), ranges, 8192)
 
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows() -> Iterator[tuple]:
+    def windows(places: bool):
+        """The windows of contexts (kind, right, left, low, high), with the least and greatest place of each if asked."""
+
+        def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
             for b in batches:
-                for anchor, c, right, left, low, high in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                for kind, right, left, low, high in zip(*(c.to_pylist() for c in b.columns), strict=True):
                     whole = left[::-1] + right
                     for i in range(len(whole) - width + 1):
                         h, shift = xxhash.xxh3_128_intdigest(whole[i : i + width]), i - len(left)
-                        yield (h >> 64) - (1 << 63), (h & ((1 << 64) - 1)) - (1 << 63), anchor, c, shift, low["k1"], low["k2"], low["place"] + shift, high["k1"], high["k2"], high["place"] + shift
+                        at = (low["k1"], low["k2"], low["place"] + shift, high["k1"], high["k2"], high["place"] + shift) if places else (kind, shift)
+                        yield (h >> 64) - (1 << 63), (h & ((1 << 64) - 1)) - (1 << 63), *at
 
-        yield from _batches(rows(), "w1 long,w2 long,anchor long,c string,shift long,a1 long,a2 long,a long,b1 long,b2 long,b long", 8192)
+        fields = "w1 long,w2 long," + ("a1 long,a2 long,a long,b1 long,b2 long,b long" if places else "kind long,shift long")
+        return lambda df: df.select("kind", "right", "left", "low", "high").mapInArrow(lambda batches: _batches(rows(batches), fields, 8192), fields)
 
     def found(of: DataFrame) -> DataFrame:
         by_text = of.groupBy("k1", "k2").agg(F.collect_list(F.struct("place", "anchor")).alias("places"))
@@ -290,13 +294,16 @@ def covered(keyed: DataFrame, texts: DataFrame, width: int = WIDTH, k: int = ANC
     calm = grouped(found(places.join(crowded, is_crowded, "left_anti")))
     dense = found(places.join(crowded, is_crowded, "left_semi"))
     calm = calm.union(dense.where("stop is not null").select("k1", "k2", F.col("place").alias("start"), "stop"))
-    dense = dense.where("stop is null").withColumn("c", F.concat_ws("-", F.sha2("right", 256), F.sha2("left", 256)))
+    dense = dense.where("stop is null").withColumn("c", F.unhex(F.sha2(F.concat(F.sha2("right", 256), F.sha2("left", 256)), 256)))
     place = F.struct("k1", "k2", "place")
     kinds = dense.groupBy("anchor", "c").agg(F.first("right").alias("right"), F.first("left").alias("left"), F.min(place).alias("low"), F.max(place).alias("high"))
-    each = kinds.mapInArrow(windows, "w1 long, w2 long, anchor long, c string, shift long, a1 long, a2 long, a long, b1 long, b2 long, b long")
-    twice = each.groupBy("w1", "w2").agg(F.min(F.struct("a1", "a2", "a")).alias("low"), F.max(F.struct("b1", "b2", "b")).alias("high"))
+    kinds = reliable(kinds.where(F.length("right") + F.length("left") >= width)).withColumn("kind", F.monotonically_increasing_id())
+    twice = windows(True)(kinds).groupBy("w1", "w2").agg(F.min(F.struct("a1", "a2", "a")).alias("low"), F.max(F.struct("b1", "b2", "b")).alias("high"))
     twice = twice.where((F.col("low.a1") != F.col("high.b1")) | (F.col("low.a2") != F.col("high.b2")) | (F.col("low.a") != F.col("high.b"))).select("w1", "w2")
-    shifts = each.join(twice, ["w1", "w2"], "left_semi").groupBy("anchor", "c").agg(F.min("shift").alias("from"), F.max("shift").alias("to"))
+    # all of a context that has two places is repeated; of the others, the windows that other contexts have
+    alone = windows(False)(kinds.where(F.col("low") == F.col("high"))).join(twice, ["w1", "w2"], "left_semi").groupBy("kind").agg(F.min("shift").alias("from"), F.max("shift").alias("to"))
+    whole = kinds.where(F.col("low") != F.col("high")).select("kind", (-F.length("left")).cast("long").alias("from"), (F.length("right") - width).cast("long").alias("to"))
+    shifts = kinds.select("kind", "anchor", "c").join(alone.union(whole), "kind").drop("kind")
     return calm.union(dense.join(shifts, ["anchor", "c"]).select("k1", "k2", (F.col("place") + F.col("from")).alias("start"), (F.col("place") + F.col("to") + width).alias("stop")))
 
 
