@@ -136,6 +136,13 @@ def test_features(norm, spark):
     assert decisions["S2-1"].is_match and decisions["S2-1"].confidence == 0.96 and decisions["S3-2"].rule == "REJECT_COUNTRY_CONTRADICTION" and decisions["S2-3"].rule == "REJECT_ADDRESS_NUMERIC_CONTRADICTION"
 
 
+def test_composite_reads_features(norm, spark):
+    """The plan says each edit distance once; without the generator the composite repeated them."""
+    pairs = spark.createDataFrame([("S1-1", "S2-1", True, True, 0.9)], "s1_id string, target_id string, in_standard boolean, in_tfidf boolean, tfidf double")
+    plan = P.pair_features(pairs, norm).select("overall_composite_similarity")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate inline" in plan and plan.count("levenshtein(") <= 2
+
+
 def frame(spark, rows):
     return spark.createDataFrame(rows, "s1_id string, target_id string")
 
