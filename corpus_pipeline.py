@@ -23,6 +23,7 @@ LIKENESS, WORDS = 80, 5
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier keeps. Null text is judged as empty text, repeated rows alike; very long texts are read
     whole; null sources and languages are groups; without labels, or documents, all (none) are kept."""
+    release(spark)
     name = free_name(docs, "quality")
     return quality.classify(docs, read(spark, sf_dir, "labels"), into=name).where(F.col(f"{name}.keep")).drop(name)
 
@@ -63,6 +64,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of each row of the mix, repeats included. Null text is encoded as empty."""
+    release(spark)
     return bpe.encode_digests(docs, tokenizer_path("word_bpe_49k.json"))
 
 

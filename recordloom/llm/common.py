@@ -58,9 +58,31 @@ _SCRATCH: list[list[DataFrame]] = []
 
 def release(spark: SparkSession) -> None:
     """Let shuffles of finished jobs leave the executors' disks: Spark drops them once the driver's collector has seen that
-    nothing refers to them."""
+    nothing refers to them. The driver's freed memory goes back to the system too."""
     gc.collect()
     spark.sparkContext._jvm.java.lang.System.gc()
+    trim_driver(spark)
+
+
+def trim_driver(spark: SparkSession) -> str:
+    """Give memory that the driver freed outside its heap back to the system: each exchange of a plan runs in a thread of its
+    own, and what those threads freed stays with their arenas else. Returns what the Java machine says, nothing from one without that command."""
+    gateway, jvm = spark.sparkContext._gateway, spark.sparkContext._jvm
+    lang = jvm.java.lang
+
+    def array(kind, *values):
+        out = gateway.new_array(kind, len(values))
+        for i, x in enumerate(values):
+            out[i] = x
+        return out
+
+    try:
+        none, words, name = array(lang.Object), array(lang.String), jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand")
+        kinds = array(lang.Class, name.getClass(), lang.Class.forName("java.lang.String"), none.getClass(), words.getClass())
+        call = lang.Class.forName("javax.management.MBeanServerConnection").getMethod("invoke", kinds)  # the server's own class isn't exported
+        return call.invoke(lang.management.ManagementFactory.getPlatformMBeanServer(), array(lang.Object, name, "systemTrimNativeHeap", none, words))
+    except Py4JError:
+        return ""
 
 
 def forget(df: DataFrame) -> None:
