@@ -1,6 +1,7 @@
 """Blocking, retrieval, scoring, decisions, metrics and audits on small hand-made tables."""
 
 import math
+import re
 from collections import Counter
 
 import numpy as np
@@ -235,3 +236,13 @@ def test_browsing(norm):
     assert {r.n for r in row_list(rows, "1, #3, 7-8, 2-900, x").collect()} == {1, 3, 7, 8}
     assert matching(norm, name="acme", country="usa").count() == 2
     assert route("#7", "all", 9) == ("row", 7) and route("70", "all", 9) == ("search", "70") and route("x", "name", 9) == ("name", "x")
+
+
+def test_feature_queries_compute_what_they_return(spark):
+    """The cosines in Python are the dearest features; norm is made once, so nothing behind the candidates reads the table again."""
+    from recordloom.plans import registry
+
+    for name, cosines in (("features_provenance", 0), ("features_address", 1), ("features_name", 1), ("features_cross", 2)):
+        plan = registry.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert len({m for m in re.findall(r"gram_cosine\(.*?\)#(\d+)", plan)}) == cosines, name
+        assert "documents.parquet" not in plan and "Relation [" not in plan, name
