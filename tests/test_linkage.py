@@ -246,3 +246,46 @@ def test_feature_queries_compute_what_they_return(spark):
         plan = registry.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
         assert len({m for m in re.findall(r"gram_cosine\(.*?\)#(\d+)", plan)}) == cosines, name
         assert "documents.parquet" not in plan and "Relation [" not in plan, name
+
+
+def test_threshold_on_the_composite_by_bounds(spark, norm):
+    """Pairs that names, countries and numbers decide need no address; the result is that of the features, for repeated ids as well."""
+    pairs = norm.where("src = 'S1'").select(F.col("entity_id").alias("s1_id")).crossJoin(norm.where("src <> 'S1'").select(F.col("entity_id").alias("target_id")))
+    odd = [("S1-8", "S1", 8, "", "", ""), ("S1-9", "S1", 9, "!!!", None, "US"), ("S2-8", "S2", 8, None, "1 Main St", "USA"), ("S2-9", "S2", 9, "!!!", "n/a", None), ("S3-9", "S3", 9, "Acme Widgets", "12 Elm Road", "US")]
+    more = norm.unionByName(normalise(spark.createDataFrame(odd, "entity_id string, src string, num long, business_name string, business_address string, country string"))).cache()
+    cross = lambda n: n.where("src = 'S1'").select(F.col("entity_id").alias("s1_id")).distinct().crossJoin(n.where("src <> 'S1'").select(F.col("entity_id").alias("target_id")).distinct())
+    for rows in (norm, more, norm.unionByName(norm.where("num = 1"))):
+        pairs = cross(rows)
+        features = P.pair_features(pairs.withColumns({"in_standard": F.lit(False), "in_tfidf": F.lit(True), "tfidf": F.lit(0.5)}), rows).cache()
+        values = sorted({r[0] for r in features.select("overall_composite_similarity").collect()})
+        for least in (0.3, values[len(values) // 2], values[-1]):
+            want = features.where(F.col("overall_composite_similarity") >= least)
+            assert Counter(tuple(r) for r in P.at_least(pairs, rows, least).collect()) == Counter(tuple(r) for r in want.select("s1_id", "target_id").collect())
+    low_high = P._bounds(cross(norm), norm).where("low >= 0.3 or high < 0.3").count()
+    assert low_high > 10  # most are decided
+
+
+def test_cross_features_read_only_what_they_are_made_of(norm):
+    pairs = norm.where("src = 'S1'").select(F.col("entity_id").alias("s1_id")).crossJoin(norm.where("src <> 'S1'").select(F.col("entity_id").alias("target_id"))).withColumns({"in_standard": F.lit(True), "in_tfidf": F.lit(True), "tfidf": F.lit(0.5)})
+    whole = {(r.s1_id, r.target_id): r for r in P.pair_features(pairs, norm).collect()}
+    for name in P.CROSS:
+        df = P.pair_features(pairs, norm, [name])
+        assert {(r.s1_id, r.target_id): r[name] for r in df.collect()} == {k: r[name] for k, r in whole.items()}
+        assert "name_numeric_overlap" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_blocks_of_retrieval_send_few_vectors():
+    """With one pile of documents and twelve of queries, each document was sent twelve times."""
+    assert T.grid(58_008, 110_763) == (4, 3)
+    for n, m in ((0, 0), (10, 10), (700, 100), (58_008, 110_763), (3_000_000, 9_000_000)):
+        a, b = T.grid(n, m)
+        assert a * b >= min(T.TASKS, -(-n // T.FEW)) and a * T.BLOCK >= n and b * T.BLOCK >= m
+        assert m * a + 2 * n * b <= m * max(-(-n // T.BLOCK), min(T.TASKS, -(-n // T.FEW)), 1) + 2 * n * max(-(-m // T.BLOCK), 1)
+
+
+def test_subset_violations_compute_only_pairs_of_one_pass(spark):
+    """The standard candidates aren't made again from the table: the plan reads only what was cut."""
+    from recordloom.plans import registry
+
+    plan = registry.QUERIES["subset_violations"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "documents.parquet" not in plan and "Relation [" not in plan and "name_numeric_overlap" not in plan
