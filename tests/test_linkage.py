@@ -289,3 +289,24 @@ def test_subset_violations_compute_only_pairs_of_one_pass(spark):
 
     plan = registry.QUERIES["subset_violations"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "documents.parquet" not in plan and "Relation [" not in plan and "name_numeric_overlap" not in plan
+
+
+def test_multipass_audit_makes_no_true_pairs(spark):
+    """Copies are compared by text; the square of a group is never made. Repeated ids and null texts count as in the join."""
+    rows = [(f"S{i % 3 + 1}-{i}", f"S{i % 3 + 1}", "ab" * 16 if i < 30 else None if i < 36 else f"{i:032x}") for i in range(60)]
+    rows += [("S1-0", "S1", "cd" * 16), ("S2-1", "S2", "cd" * 16), ("S2-1", "S2", "ab" * 16), ("S1-0", "S1", "ab" * 16)]
+    ent = spark.createDataFrame(rows, "entity_id string, src string, text_md5 string")
+    merged = spark.createDataFrame([(f"S1-{3 * i}", f"S2-{3 * j + 1}", i % 2 == 0, j % 3 == 0 or i % 2 == 1) for i in range(20) for j in range(20)] + [("S1-0", "S2-99", True, False)], "s1_id string, target_id string, in_standard boolean, in_tfidf boolean")
+    from recordloom.sources.entities import truth_pairs
+
+    m = merged.join(truth_pairs(ent).withColumn("t", F.lit(1)), ["s1_id", "target_id"], "left")
+    s, f = F.col("in_standard"), F.col("in_tfidf")
+    want = m.agg(F.count("*"), F.count_if(s & ~f), F.count_if(f & ~s), F.count_if(s & f), F.count("t")).first()
+    got = E.multipass_audit(merged, ent)
+    assert tuple(got.first()) == tuple(want) and want[0] > merged.count() and want[4] > 100
+    assert tuple(E.multipass_audit(merged.limit(0), ent).first()) == (0, 0, 0, 0, 0)
+    assert [x.dataType.simpleString() for x in got.schema] == ["bigint"] * 5
+    from recordloom.plans import registry
+
+    plan = registry.QUERIES["multipass_audit"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert not re.search(r"Join Inner, \(text_md5", plan)
