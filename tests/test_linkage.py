@@ -250,7 +250,6 @@ def test_feature_queries_compute_what_they_return(spark):
 
 def test_threshold_on_the_composite_by_bounds(spark, norm):
     """Pairs that names, countries and numbers decide need no address; the result is that of the features, for repeated ids as well."""
-    pairs = norm.where("src = 'S1'").select(F.col("entity_id").alias("s1_id")).crossJoin(norm.where("src <> 'S1'").select(F.col("entity_id").alias("target_id")))
     odd = [("S1-8", "S1", 8, "", "", ""), ("S1-9", "S1", 9, "!!!", None, "US"), ("S2-8", "S2", 8, None, "1 Main St", "USA"), ("S2-9", "S2", 9, "!!!", "n/a", None), ("S3-9", "S3", 9, "Acme Widgets", "12 Elm Road", "US")]
     more = norm.unionByName(normalise(spark.createDataFrame(odd, "entity_id string, src string, num long, business_name string, business_address string, country string"))).cache()
     cross = lambda n: n.where("src = 'S1'").select(F.col("entity_id").alias("s1_id")).distinct().crossJoin(n.where("src <> 'S1'").select(F.col("entity_id").alias("target_id")).distinct())
